@@ -15,8 +15,10 @@ def safe_div(num, den) -> Column:
 
 
 def pct(num, den, digits: int = 2) -> Column:
-    """round(100 * num / nullif(den, 0), digits) as double."""
-    return F.round(F.lit(100.0) * safe_div(num, den), digits)
+    """round(100 * num / nullif(den, 0), digits) as double; evaluated as
+    (100 * num) / den."""
+    num, den = as_col(num), as_col(den)
+    return F.round(F.lit(100.0) * num.cast("double") / F.when(den != 0, den.cast("double")), digits)
 
 
 def ratio(num, den, digits: int = 3) -> Column:

@@ -249,21 +249,27 @@ def gate(results: DataFrame) -> str:
 
 
 # ------------------------------------------------------------------ negative tests
-def inject_nulls(df: DataFrame, column: str, n: int, order_by: Sequence[str] | None = None) -> DataFrame:
+def _total_order(df: DataFrame, order_by) -> list[Column]:
+    """``order_by`` (names or Columns) completed by every column, ascending."""
+    lead = [(_c(c).asc_nulls_last() if isinstance(c, str) else c) for c in (order_by or [])]
+    return lead + [_c(c).asc_nulls_last() for c in df.columns]
+
+
+def inject_nulls(df: DataFrame, column: str, n: int, order_by=None) -> DataFrame:
     """Append ``n`` copies of existing rows with ``column`` set to NULL.
-    Which rows: the first ``n`` under a total order (all columns by default)."""
-    order = list(order_by or df.columns)
-    picked = df.orderBy(*[_c(c).asc_nulls_last() for c in order]).limit(n)
+    Which rows: the first ``n`` under ``order_by`` completed to a total order.
+    ``limit`` is the feature here (inject exactly n rows): planned as a
+    per-partition top-n then a merge, never a full sort."""
+    picked = df.orderBy(*_total_order(df, order_by)).limit(n)
     return df.unionByName(picked.withColumn(column, F.lit(None).cast(df.schema[column].dataType)))
 
 
 def inject_duplicates(df: DataFrame, n: int, not_null: str | None = None,
-                      order_by: Sequence[str] | None = None) -> DataFrame:
+                      order_by=None) -> DataFrame:
     """Append ``n`` exact copies of existing rows (N2), optionally only rows
     where ``not_null`` is set."""
     src = df if not_null is None else df.filter(_c(not_null).isNotNull())
-    order = list(order_by or df.columns)
-    picked = src.orderBy(*[_c(c).asc_nulls_last() for c in order]).limit(n)
+    picked = src.orderBy(*_total_order(src, order_by)).limit(n)
     return df.unionByName(picked)
 
 

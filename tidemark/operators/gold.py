@@ -190,5 +190,7 @@ def conversion_durations(customers: DataFrame, identity: DataFrame,
     j = firsts.join(paid, "customer_key", "left")
     return j.select(
         "customer_key", "lead_at", "signup_at", "first_paid_at",
-        F.datediff(F.to_date("signup_at"), F.to_date("lead_at")).alias("days_lead_to_signup"),
-        F.datediff(F.to_date("first_paid_at"), F.to_date("signup_at")).alias("days_signup_to_paid"))
+        F.datediff(F.to_date("signup_at"), F.to_date("lead_at")).cast("bigint")
+         .alias("days_lead_to_signup"),
+        F.datediff(F.to_date("first_paid_at"), F.to_date("signup_at")).cast("bigint")
+         .alias("days_signup_to_paid"))

@@ -87,9 +87,11 @@ def _crm_checks():
 def _negative(spark, sf_dir, step: int):
     lh = lake(spark, sf_dir)
     crm = lh.bronze["crm_contacts"]
-    crm = dq.inject_nulls(crm, "contact_email", 3)
+    # the defects go to the rows with the greatest e-mail text, which are clean
+    latest_first = [F.col("contact_email").desc_nulls_last()]
+    crm = dq.inject_nulls(crm, "contact_email", 3, order_by=latest_first)
     if step >= 2:
-        crm = dq.inject_duplicates(crm, 5, not_null="contact_email")
+        crm = dq.inject_duplicates(crm, 5, not_null="contact_email", order_by=latest_first)
     if step >= 3:
         crm = dq.drop_column(crm, "company")
     return dq.run_checks(spark, {"crm_contacts": crm}, _crm_checks(), NOW, EVENTS_NOW,

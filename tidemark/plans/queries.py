@@ -36,4 +36,4 @@ def lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
 
 
 # the query modules register themselves on import
-from tidemark.plans import q_core, q_dq  # noqa: E402,F401
+from tidemark.plans import q_core, q_dq, q_more  # noqa: E402,F401

@@ -176,14 +176,20 @@ def bronze_stripe_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineage(to_strings(src), "stripe_customers", F.lit(FULL_LOAD_RUN))
 
 
-def bronze_app_users(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed once; people with k % 20 = 1 are landed again later with an
-    edited first name (two copies of one key, the later one wins)."""
+def app_users_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """The two landed batches of app users: everyone, then people with
+    k % 20 = 1 again, later, with an edited first name."""
     src = app_users_source(people(spark, sf_dir))
     first = _lineage(to_strings(src), "app_users", F.lit(FULL_LOAD_RUN))
     again = (src.filter((F.col("user_id") - 10000) % 20 == 1)
              .withColumn("first_name", F.lit("Client")))
     second = _lineage(to_strings(again), "app_users", F.lit(RELAND_RUN))
+    return first, second
+
+
+def bronze_app_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both batches appended (two copies of some keys, the later one wins)."""
+    first, second = app_users_runs(spark, sf_dir)
     return first.unionByName(second)
 
 
