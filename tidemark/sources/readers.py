@@ -29,11 +29,20 @@ def _since_filter(df: DataFrame, column: str | None, since) -> DataFrame:
     return df.filter(F.col(f"`{column}`") > F.lit(since).cast(dtype))
 
 
+# No real field holds this, so only unquoted empty fields read as NULL.
+_NO_NULL_TOKEN = "\u0000"
+
+
 def read_csv_strings(spark: SparkSession, path: str, null_values: Iterable[str] | None = None,
                      **options) -> DataFrame:
-    """CSV with header, every column text (S1). Only empty fields are null,
-    unless ``null_values`` lists more tokens (T21)."""
-    reader = spark.read.option("header", True).option("inferSchema", False)
+    """CSV with header, every column text.
+
+    An unquoted empty field is NULL, a quoted empty field ``""`` is the
+    empty string, so a text export round-trips. ``null_values`` adds tokens
+    read as NULL (T21: a pandas reader nulls ``""``, ``NA``, ``null``...,
+    see ``PANDAS_NULL_TOKENS``)."""
+    reader = (spark.read.option("header", True).option("inferSchema", False)
+              .option("nullValue", _NO_NULL_TOKEN))
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.csv(path)
