@@ -60,7 +60,8 @@ def test_snapshot_runs(spark):
     assert s3.select("scd_id").distinct().count() == 4
 
 
-def test_runs_equal_one_pass_rebuild(spark):
+@pytest.mark.parametrize("bucket", [1, 2, 64])
+def test_runs_equal_one_pass_rebuild(spark, bucket):
     """One snapshot run per batch == history_from_log(batch=...), including
     several changes of one key inside one batch and out-of-order times."""
     rnd = random.Random(7)
@@ -87,7 +88,8 @@ def test_runs_equal_one_pass_rebuild(spark):
         snap = scd2.snapshot_timestamp(snap, src, "subscription_id", "sub_updated_at")
         snap = snap.checkpoint()   # cut lineage between runs (shared checkpoint dir)
     rebuilt = scd2.history_from_log(spark.createDataFrame(log, schema), "subscription_id",
-                                    "sub_updated_at", batch="batch", tie_break=["plan"])
+                                    "sub_updated_at", batch="batch", tie_break=["plan"],
+                                    bucket=bucket)
     assert versions(snap) == versions(rebuilt)
 
 

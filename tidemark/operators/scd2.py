@@ -21,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
 
@@ -73,9 +74,22 @@ def snapshot_timestamp(previous: DataFrame | None, source: DataFrame, key: str,
             .unionByName(closing.select(cols)).unionByName(opened.select(cols)))
 
 
+def _bucket_of(df: DataFrame, column: str, bucket) -> Column:
+    """Ordered bucket of a run/time column: ``date_trunc(bucket, t)`` for
+    times; ``floor(n / bucket)`` for run numbers (bucket 64 by default)."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.date_trunc(bucket if isinstance(bucket, str) else "day", F.col(column))
+    if isinstance(dtype, T.NumericType):
+        width = bucket if isinstance(bucket, int) else 64
+        return F.floor(F.col(column) / F.lit(width))
+    return F.col(column)      # no order-preserving coarsening known: one bucket per value
+
+
 def history_from_log(log: DataFrame, key: str, updated_at: str,
                      batch: str | None = None,
-                     tie_break: Sequence[str] = ()) -> DataFrame:
+                     tie_break: Sequence[str] = (),
+                     bucket: str = "day") -> DataFrame:
     """The snapshot table rebuilt from a change log in one pass.
 
     Without ``batch`` every distinct (key, updated_at) is a version. With
@@ -83,22 +97,50 @@ def history_from_log(log: DataFrame, key: str, updated_at: str,
     and a run's change counts only when newer than every earlier run's:
     exactly the result of applying ``snapshot_timestamp`` run by run.
     ``valid_to`` is the next version's ``valid_from``.
+
+    Skew: no step groups a whole key. The per-run reduction is a top-1 per
+    (key, run), reduced map-side before the shuffle. The ordered steps
+    (running maximum, next version) work per (key, ``bucket`` of the run
+    time), and cross bucket borders through one summary row per (key,
+    bucket). After the per-run reduction a (key, day) group holds at most
+    one row per run of that day, whatever the key's share of the log.
     """
     order_tail = [F.col(c).asc_nulls_last() for c in tie_break]
     df = log.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
     if batch is None:
         df = latest_per_key(df, [key, updated_at], order_tail)
+        seq = updated_at
     else:
-        df = latest_per_key(df, [key, batch],
-                            [F.col(updated_at).desc()] + order_tail)
-        earlier = (Window.partitionBy(key).orderBy(F.col(batch).asc())
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        df = (df.withColumn("_prev_max", F.max(updated_at).over(earlier))
-              .filter(F.col("_prev_max").isNull() | (F.col(updated_at) > F.col("_prev_max")))
-              .drop("_prev_max", batch))
-    nxt = F.lead(F.col(updated_at)).over(Window.partitionBy(key).orderBy(F.col(updated_at)))
+        df = latest_per_key(df, [key, batch], [F.col(updated_at).desc()] + order_tail)
+        seq = batch
     payload = [c for c in df.columns if c != batch]
-    return _with_scd(df.select(payload), key, updated_at, nxt).select(*payload, *SCD_COLUMNS)
+    kb = [key, "_b"]
+    df = df.withColumn("_b", _bucket_of(df, seq, bucket))
+
+    if batch is not None:
+        # keep a run's change only when newer than every earlier run's
+        within = (Window.partitionBy(*kb).orderBy(F.col(seq).asc())
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        per_bucket = df.groupBy(*kb).agg(F.max(updated_at).alias("_bmax"))
+        before = (Window.partitionBy(key).orderBy("_b")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        carry = per_bucket.select(*kb, F.max("_bmax").over(before).alias("_carry"))
+        df = (df.withColumn("_pm", F.max(updated_at).over(within))
+              .join(carry, kb, "left")
+              .withColumn("_prev_max", F.greatest("_pm", "_carry"))
+              .filter(F.col("_prev_max").isNull() | (F.col(updated_at) > F.col("_prev_max")))
+              .drop("_pm", "_carry", "_prev_max"))
+
+    # next version: inside the bucket by lead, across buckets by the first
+    # version of the next non-empty bucket of the key
+    nxt_in = F.lead(F.col(updated_at)).over(Window.partitionBy(*kb).orderBy(F.col(updated_at)))
+    firsts = df.groupBy(*kb).agg(F.min(updated_at).alias("_first"))
+    after = Window.partitionBy(key).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
+    nxt_bucket = firsts.select(*kb, F.min("_first").over(after).alias("_next_b"))
+    out = (df.withColumn("_nxt", nxt_in)
+           .join(nxt_bucket, kb, "left")
+           .withColumn("_valid_to", F.coalesce("_nxt", "_next_b")))
+    return _with_scd(out, key, updated_at, F.col("_valid_to")).select(*payload, *SCD_COLUMNS)
 
 
 def state_as_of(history: DataFrame, as_of) -> DataFrame:

@@ -111,7 +111,7 @@ class Lakehouse:
                      "recon_billing_vs_app"],
         }[layer]
         if layer == "bronze":
-            return dict(self.bronze)
+            return {n: self.bronze[n] for n in names}
         return {n: getattr(self, n) for n in names}
 
     def materialize(self, names: list[str], root: str | None = None) -> dict[str, str]:
@@ -121,8 +121,12 @@ class Lakehouse:
         out = {}
         for n in names:
             path = f"{root}/{n}"
-            getattr(self, n).write.mode("overwrite").parquet(path)
-            self.__dict__[n] = self.spark.read.parquet(path)
+            if n in self.bronze.keys():
+                self.bronze[n].write.mode("overwrite").parquet(path)
+                self.bronze[n] = self.spark.read.parquet(path)
+            else:
+                getattr(self, n).write.mode("overwrite").parquet(path)
+                self.__dict__[n] = self.spark.read.parquet(path)
             out[n] = path
         return out
 

@@ -31,7 +31,21 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+_LAKES: dict[tuple[int, str], Lakehouse] = {}
+
+
 def lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """The fixture lakehouse of a session and data folder. Only the plan
+    objects are shared between queries (built once on the driver); every
+    action still computes from the driver's tables."""
+    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    if key not in _LAKES:
+        _LAKES[key] = Lakehouse.from_fixture(spark, sf_dir)
+    return _LAKES[key]
+
+
+def fresh_lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
+    """A private lakehouse, for queries that materialize tables."""
     return Lakehouse.from_fixture(spark, sf_dir)
 
 

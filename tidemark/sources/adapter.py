@@ -28,8 +28,18 @@ DEVICES = ["ios", "android", "web"]
 TABLES = ["customer", "nation", "orders", "events"]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The driver's (read-only) table. One relation per session and path:
+    the footer/schema discovery job runs once, and every query over the
+    same table shares one scan node (so Spark can reuse its exchanges)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def _iso(ts: Column) -> Column:
@@ -176,10 +186,11 @@ def bronze_stripe_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _lineage(to_strings(src), "stripe_customers", F.lit(FULL_LOAD_RUN))
 
 
-def app_users_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def app_users_runs(spark: SparkSession, sf_dir: str,
+                   p: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """The two landed batches of app users: everyone, then people with
     k % 20 = 1 again, later, with an edited first name."""
-    src = app_users_source(people(spark, sf_dir))
+    src = app_users_source(p if p is not None else people(spark, sf_dir))
     first = _lineage(to_strings(src), "app_users", F.lit(FULL_LOAD_RUN))
     again = (src.filter((F.col("user_id") - 10000) % 20 == 1)
              .withColumn("first_name", F.lit("Client")))
@@ -187,9 +198,9 @@ def app_users_runs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return first, second
 
 
-def bronze_app_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+def bronze_app_users(spark: SparkSession, sf_dir: str, p: DataFrame | None = None) -> DataFrame:
     """Both batches appended (two copies of some keys, the later one wins)."""
-    first, second = app_users_runs(spark, sf_dir)
+    first, second = app_users_runs(spark, sf_dir, p)
     return first.unionByName(second)
 
 
@@ -215,6 +226,54 @@ def bronze_app_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.unionByName(again)
 
 
+class LazyBronze(dict):
+    """name -> bronze DataFrame, each built on first use; the shared
+    per-person frame is built once and reused by the three people sources
+    (one plan subtree, so Spark reuses its exchange)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        super().__init__()
+        self.spark, self.sf_dir = spark, sf_dir
+        self._people = None
+
+    def people(self) -> DataFrame:
+        if self._people is None:
+            self._people = people(self.spark, self.sf_dir)
+        return self._people
+
+    def __missing__(self, name: str) -> DataFrame:
+        p = self.people
+        builders = {
+            "crm_contacts": lambda: _lineage(to_strings(crm_contacts_source(p())), "crm_contacts",
+                                             F.lit(FULL_LOAD_RUN)),
+            "stripe_customers": lambda: _lineage(to_strings(stripe_customers_source(p())),
+                                                 "stripe_customers", F.lit(FULL_LOAD_RUN)),
+            "app_users": lambda: bronze_app_users(self.spark, self.sf_dir, p()),
+            "app_subscriptions": lambda: bronze_app_subscriptions(self.spark, self.sf_dir),
+            "app_events": lambda: bronze_app_events(self.spark, self.sf_dir),
+        }
+        if name not in builders:
+            raise KeyError(name)
+        df = builders[name]()
+        self[name] = df
+        return df
+
+    def __iter__(self):
+        return iter(BRONZE_BUILDERS)
+
+    def __len__(self):
+        return len(BRONZE_BUILDERS)
+
+    def keys(self):
+        return list(BRONZE_BUILDERS)
+
+    def items(self):
+        return [(k, self[k]) for k in BRONZE_BUILDERS]
+
+    def values(self):
+        return [self[k] for k in BRONZE_BUILDERS]
+
+
 BRONZE_BUILDERS = {
     "crm_contacts": bronze_crm_contacts,
     "stripe_customers": bronze_stripe_customers,
@@ -225,4 +284,5 @@ BRONZE_BUILDERS = {
 
 
 def bronze_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: fn(spark, sf_dir) for name, fn in BRONZE_BUILDERS.items()}
+    """The five landed tables of the fixture, built lazily on first use."""
+    return LazyBronze(spark, sf_dir)
