@@ -18,7 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import clamp_non_negative, months_between_whole, ratio, ts_literal
+from tidemark.functions import (clamp_non_negative, customer_key_of, months_between_whole, ratio,
+                                ts_literal)
 from tidemark.operators.conform import SOURCE_PRIORITY
 
 DIM_COLUMNS = ["customer_key", "email_domain", "email_masked", "first_name", "last_name_initial",
@@ -37,15 +38,29 @@ def _flag(system: str) -> Column:
     return F.max(F.when(F.col("source_system") == system, 1).otherwise(0))
 
 
-def dim_customer(identity: DataFrame, customers: DataFrame) -> DataFrame:
+def keyed_records(customers: DataFrame, identity: DataFrame | None = None) -> DataFrame:
+    """Customer records with their person key.
+
+    With a stored identity map, an inner join on (source_system,
+    source_id). Without one the key is derived in place from the e-mail
+    hash, exactly as the map derives it: same rows, no self-join shuffle.
+    """
+    if identity is None:
+        return customers.withColumn("customer_key", customer_key_of(F.col("email_hash")))
+    m = identity.select("customer_key", "source_system", "source_id")
+    return m.join(customers, ["source_system", "source_id"], "inner")
+
+
+def dim_customer(identity: DataFrame | None, customers: DataFrame) -> DataFrame:
     """Golden record per person (M9).
 
     Names come from the highest-priority source (app > billing > CRM;
     source id breaks ties, T10; a NULL there stays NULL, T9); attributes
     only one source has use ``max``; first seen is the earliest creation.
+    One aggregation per person, partial before the shuffle, so a person
+    with a huge number of records costs one row per map task.
     """
-    m = identity.select("customer_key", "source_system", "source_id")
-    attrs = m.join(customers, ["source_system", "source_id"], "inner")
+    attrs = keyed_records(customers, identity)
     prio = F.struct(_priority(F.col("source_system")).alias("p"), F.col("source_id").alias("id"))
     return attrs.groupBy("customer_key").agg(
         F.max("email_domain").alias("email_domain"),
@@ -171,16 +186,15 @@ def churn_by_plan(fact: DataFrame) -> DataFrame:
                                      F.col("current_subscriptions")))
 
 
-def conversion_durations(customers: DataFrame, identity: DataFrame,
+def conversion_durations(customers: DataFrame, identity: DataFrame | None,
                          fact: DataFrame) -> DataFrame:
     """Lead -> signup -> first paid durations per person, in days.
 
     lead = earliest CRM record creation, signup = earliest app record
     creation, paid = earliest start of a non-free active version.
     """
-    keyed = identity.select("customer_key", "source_system", "source_id").join(
-        customers.select("source_system", "source_id", "source_created_at"),
-        ["source_system", "source_id"], "inner")
+    keyed = keyed_records(
+        customers.select("source_system", "source_id", "email_hash", "source_created_at"), identity)
     firsts = keyed.groupBy("customer_key").agg(
         F.min(F.when(F.col("source_system") == "crm", F.col("source_created_at"))).alias("lead_at"),
         F.min(F.when(F.col("source_system") == "app", F.col("source_created_at"))).alias("signup_at"))

@@ -96,7 +96,7 @@ LEFT JOIN (SELECT customer_key, min(valid_from) AS first_paid_at FROM fact_subsc
 def q_conversion(spark, sf_dir):
     """Lead -> signup -> first paid durations in days per person."""
     lh = lake(spark, sf_dir)
-    return gold.conversion_durations(lh.customers, lh.identity_map, lh.fact_subscriptions)
+    return gold.conversion_durations(lh.customers, None, lh.fact_subscriptions)
 
 
 @register("scd2_snapshot_two_runs", build("SELECT * FROM snap_two_runs"))
