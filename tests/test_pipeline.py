@@ -1,0 +1,47 @@
+"""End-to-end runs of the pipeline over files written from the fixture."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from tidemark.plans.pipeline import run_pipeline
+from tidemark.plans.q_io import write_source_files
+from tidemark.session import scratch_path
+
+SF = "/root/testdata/sf0.001"
+
+
+def write_sources(spark):
+    return write_source_files(spark, SF)
+
+
+def test_two_runs_track_one_plan_change(spark):
+    reg, paths = write_sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    r1 = run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", scale=0.15,
+                      reference_now="2024-01-10 00:00:00")
+    assert r1.landed["app_subscriptions"] == 1500 and r1.landed["crm_contacts"] == 135
+    n_subs = r1.rows["subscriptions"]
+    assert r1.rows["scd_subscriptions"] == n_subs                  # first run: one open version each
+    assert set(r1.gates) == {"bronze", "silver", "gold"}
+    assert 0 < r1.pass_rate <= 1
+
+    # one subscription changes plan after the first run
+    subs = spark.read.parquet(paths["subs"])
+    one = subs.orderBy("subscription_id", F.col("updated_at").desc()).limit(1)
+    one.withColumn("plan", F.lit("enterprise")).withColumn(
+        "updated_at", F.lit(dt.datetime(2001, 9, 2)).cast("timestamp_ntz")
+    ).write.mode("append").parquet(paths["subs"])
+    r2 = run_pipeline(spark, reg, wh, "2001-09-03 00:00:00", scale=0.15,
+                      reference_now="2024-01-10 00:00:00")
+    assert r2.landed["app_subscriptions"] == 1 and r2.landed["app_users"] == 0
+    assert r2.rows["scd_subscriptions"] == n_subs + 1               # +1 version
+    fact = spark.read.parquet(f"{wh}/gold/fact_subscriptions")
+    assert fact.filter("is_current").count() == n_subs              # +1 history row only
+    assert fact.filter("NOT is_current").count() == 1
+
+    # a third run with nothing new changes nothing
+    r3 = run_pipeline(spark, reg, wh, "2001-09-04 00:00:00", scale=0.15,
+                      reference_now="2024-01-10 00:00:00")
+    assert sum(r3.landed[n] for n in ["app_users", "app_subscriptions", "app_events"]) == 0
+    assert r3.rows["scd_subscriptions"] == n_subs + 1

@@ -139,3 +139,39 @@ def q_stream_dedupe(spark, sf_dir):
     marked.filter("NOT _first").drop("_first").write.mode("append").parquet(src_path)
     streams.run_to_end(streams.dedupe_stream(spark, src_path, schema, target, ckpt, cols))
     return spark.read.parquet(target)
+
+
+def write_source_files(spark, sf_dir) -> tuple[dict, dict]:
+    """The five sources of the fixture as files in their native shapes (CSV
+    export, billing JSON, relational extracts as Parquet, event documents as
+    JSON lines) and a registry pointing at them."""
+    p = adapter.people(spark, sf_dir)
+    paths = {n: scratch_path(spark, f"src-{n}") for n in ["crm", "stripe", "users", "subs", "events"]}
+    (adapter.crm_contacts_source(p).write.option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(paths["crm"]))
+    adapter.stripe_customers_source(p).write.json(paths["stripe"])
+    adapter.app_users_source(p).write.parquet(paths["users"])
+    adapter.app_subscriptions_source(spark, sf_dir).write.parquet(paths["subs"])
+    docs = adapter.app_events_source(spark, sf_dir)
+    docs.write.option("timestampNTZFormat", streams.NTZ_FORMAT).json(paths["events"])
+    reg = registry_with({
+        "crm_contacts": {"path": paths["crm"]},
+        "stripe_customers": {"path": paths["stripe"], "multi_line": False},
+        "app_users": {"type": "parquet", "path": paths["users"]},
+        "app_subscriptions": {"type": "parquet", "path": paths["subs"]},
+        "app_events": {"path": paths["events"], "schema": docs.schema},
+    })
+    return reg, paths
+
+
+@register("pipeline_end_to_end", build("SELECT * FROM mart_mrr"))
+def q_pipeline(spark, sf_dir):
+    """One scheduled run (ingest by registry -> silver -> SCD-2 snapshot
+    -> gold -> checks and gates); returns the written MRR mart."""
+    from tidemark.plans.pipeline import run_pipeline
+    reg, _ = write_source_files(spark, sf_dir)
+    warehouse = scratch_path(spark, "warehouse")
+    run_pipeline(spark, reg, warehouse, adapter.AS_OF, reference_now="2024-02-01 00:00:00",
+                 scale=adapter.read_driver_table(spark, sf_dir, "customer").count() / 1000.0)
+    return spark.read.parquet(f"{warehouse}/gold/mart_mrr")
