@@ -89,48 +89,40 @@ def _bucket_of(df: DataFrame, column: str, bucket) -> Column:
 def history_from_log(log: DataFrame, key: str, updated_at: str,
                      batch: str | None = None,
                      tie_break: Sequence[str] = (),
-                     bucket: str = "day") -> DataFrame:
+                     bucket: str | int = "day") -> DataFrame:
     """The snapshot table rebuilt from a change log in one pass.
 
-    Without ``batch`` every distinct (key, updated_at) is a version. With
-    ``batch`` (the landing run), only the latest change of each run counts,
-    and a run's change counts only when newer than every earlier run's:
-    exactly the result of applying ``snapshot_timestamp`` run by run.
+    With ``batch`` (the landing run), only the latest change of each run
+    counts, and a run's change counts only when newer than every earlier
+    run's: exactly the result of applying ``snapshot_timestamp`` run by
+    run. Without ``batch`` every distinct (key, updated_at) is a version.
     ``valid_to`` is the next version's ``valid_from``.
 
-    Skew: no step groups a whole key. The per-run reduction is a top-1 per
-    (key, run), reduced map-side before the shuffle. The ordered steps
-    (running maximum, next version) work per (key, ``bucket`` of the run
-    time), and cross bucket borders through one summary row per (key,
-    bucket). After the per-run reduction a (key, day) group holds at most
-    one row per run of that day, whatever the key's share of the log.
+    Skew. The first step is a top-1 per (key, run) (or per (key, time)),
+    reduced map-side before its shuffle, so a key holding a third of the
+    log leaves each map task as one row per run. With ``batch`` a key then
+    has at most one row per landing run, a bound set by the schedule, not
+    by the data: two windows over the key (one shuffle) finish the job.
+    Without ``batch`` the number of versions per key is unbounded, so the
+    ordered steps run per (key, ``bucket`` of time) and cross bucket borders
+    through one summary row per (key, bucket).
     """
     order_tail = [F.col(c).asc_nulls_last() for c in tie_break]
     df = log.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
-    if batch is None:
-        df = latest_per_key(df, [key, updated_at], order_tail)
-        seq = updated_at
-    else:
+    if batch is not None:
         df = latest_per_key(df, [key, batch], [F.col(updated_at).desc()] + order_tail)
-        seq = batch
-    payload = [c for c in df.columns if c != batch]
+        payload = [c for c in df.columns if c != batch]
+        earlier = (Window.partitionBy(key).orderBy(F.col(batch).asc())
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        kept = (df.withColumn("_prev_max", F.max(updated_at).over(earlier))
+                .filter(F.col("_prev_max").isNull() | (F.col(updated_at) > F.col("_prev_max"))))
+        nxt = F.lead(F.col(updated_at)).over(Window.partitionBy(key).orderBy(F.col(updated_at)))
+        return _with_scd(kept.select(payload), key, updated_at, nxt).select(*payload, *SCD_COLUMNS)
+
+    df = latest_per_key(df, [key, updated_at], order_tail)
+    payload = list(df.columns)
     kb = [key, "_b"]
-    df = df.withColumn("_b", _bucket_of(df, seq, bucket))
-
-    if batch is not None:
-        # keep a run's change only when newer than every earlier run's
-        within = (Window.partitionBy(*kb).orderBy(F.col(seq).asc())
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        per_bucket = df.groupBy(*kb).agg(F.max(updated_at).alias("_bmax"))
-        before = (Window.partitionBy(key).orderBy("_b")
-                  .rowsBetween(Window.unboundedPreceding, -1))
-        carry = per_bucket.select(*kb, F.max("_bmax").over(before).alias("_carry"))
-        df = (df.withColumn("_pm", F.max(updated_at).over(within))
-              .join(carry, kb, "left")
-              .withColumn("_prev_max", F.greatest("_pm", "_carry"))
-              .filter(F.col("_prev_max").isNull() | (F.col(updated_at) > F.col("_prev_max")))
-              .drop("_pm", "_carry", "_prev_max"))
-
+    df = df.withColumn("_b", _bucket_of(df, updated_at, bucket))
     # next version: inside the bucket by lead, across buckets by the first
     # version of the next non-empty bucket of the key
     nxt_in = F.lead(F.col(updated_at)).over(Window.partitionBy(*kb).orderBy(F.col(updated_at)))
