@@ -40,6 +40,11 @@ def test_two_runs_track_one_plan_change(spark):
     assert fact.filter("is_current").count() == n_subs              # +1 history row only
     assert fact.filter("NOT is_current").count() == 1
 
+    # the history is append-only and run-partitioned; a partition left by a run that
+    # died before swapping in its open versions is dropped by the next run
+    hist = f"{wh}/snapshots/scd_subscriptions/history"
+    spark.read.parquet(f"{hist}/run_id=20010903T000000").write.parquet(f"{hist}/run_id=20010903T120000")
+
     # a third run with nothing new changes nothing
     r3 = run_pipeline(spark, reg, wh, "2001-09-04 00:00:00", scale=0.15,
                       reference_now="2024-01-10 00:00:00")

@@ -43,6 +43,34 @@ def _with_scd(df: DataFrame, key: str, updated_at: str, valid_to: Column) -> Dat
     })
 
 
+def snapshot_changes(open_rows: DataFrame | None, source: DataFrame, key: str,
+                     updated_at: str) -> tuple[DataFrame, DataFrame]:
+    """One run against the open versions only: returns (open versions after
+    the run, versions closed by the run). Closed history is not read, so a
+    run costs O(keys), not O(history)."""
+    payload = source.columns
+    cols = [*payload, *SCD_COLUMNS]
+    if open_rows is None:
+        opened = _with_scd(source, key, updated_at, F.lit(None).cast("timestamp")).select(cols)
+        return opened, opened.limit(0)
+    o = open_rows.select([F.col(c).alias(f"o__{c}") for c in cols])
+    s = source.select([F.col(c).alias(f"s__{c}") for c in payload])
+    j = o.join(s, F.col(f"o__{key}") == F.col(f"s__{key}"), "full_outer")
+    o_upd, s_upd = F.col(f"o__{updated_at}"), F.col(f"s__{updated_at}")
+    has_o, has_s = F.col(f"o__{key}").isNotNull(), F.col(f"s__{key}").isNotNull()
+    newer = has_o & has_s & (s_upd > o_upd)
+    kept_open = j.filter(has_o & ~F.coalesce(newer, F.lit(False))).select(
+        [F.col(f"o__{c}").alias(c) for c in cols])
+    closing = j.filter(newer).select(
+        *[F.col(f"o__{c}").alias(c) for c in payload],
+        F.col("o__scd_id").alias("scd_id"), F.col("o__valid_from").alias("valid_from"),
+        s_upd.alias("valid_to"))
+    opened = _with_scd(
+        j.filter(newer | (has_s & ~has_o)).select([F.col(f"s__{c}").alias(c) for c in payload]),
+        key, updated_at, F.lit(None).cast("timestamp")).select(cols)
+    return kept_open.unionByName(opened), closing.select(cols)
+
+
 def snapshot_timestamp(previous: DataFrame | None, source: DataFrame, key: str,
                        updated_at: str) -> DataFrame:
     """One snapshot run (M8). ``previous`` is the snapshot so far (or None

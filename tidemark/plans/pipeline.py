@@ -6,9 +6,10 @@ Parquet folders under ``warehouse`` (``bronze/``, ``silver/``,
 executor recomputes from the last written table, never from the sources.
 
 The subscription snapshot is the incremental SCD-2 path: each run applies
-``snapshot_timestamp`` to the stored snapshot and the current silver
-subscriptions, writes the result to a stage folder and swaps it in (a
-table cannot be overwritten while it is read).
+``snapshot_changes`` to the stored open versions and the current silver
+subscriptions; the open versions are replaced (stage and swap: a table
+cannot be overwritten while it is read) and the versions the run closed
+are appended to the run-partitioned history, which is never rewritten.
 
 Row counts of every written table are measured while writing
 (``DataFrame.observe``), without a second pass (E5).
@@ -62,6 +63,55 @@ def _swap_in(spark: SparkSession, df: DataFrame, path: str, name: str, rows: dic
     landing._swap(spark, stage, path)
 
 
+def _run_id(as_of) -> str:
+    """Sortable, path-safe id of a run: 20010901T000000."""
+    if isinstance(as_of, str):
+        as_of = _dt.datetime.fromisoformat(as_of)
+    return as_of.strftime("%Y%m%dT%H%M%S")
+
+
+def _history_runs(spark: SparkSession, hist_path: str) -> list[str]:
+    if not landing.path_exists(spark, hist_path):
+        return []
+    fs, p = landing._fs(spark, hist_path)
+    return [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
+            if st.getPath().getName().startswith("run_id=")]
+
+
+def _snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str,
+                  rows: dict[str, int]) -> DataFrame:
+    """Apply one SCD-2 run to a snapshot stored as ``current`` (open
+    versions, replaced each run) + ``history`` (closed versions, append-only,
+    one partition per run). A run reads and rewrites only the open versions;
+    the history grows by the versions it closed.
+
+    Commit order: the closed versions go to ``history/run_id=<run>`` first
+    (overwrite: a retried run rewrites the same partition), then ``current``
+    is swapped in, stamped with the run id. A history partition newer than
+    the run stamped on ``current`` belongs to a run that died before its
+    swap: it is dropped before the next run starts.
+    """
+    cur_path, hist_path = f"{root}/current", f"{root}/history"
+    open_rows, last_run = None, None
+    if landing.table_exists(spark, cur_path):
+        cur = spark.read.parquet(cur_path)
+        last_run = cur.agg(F.max("_run")).first()[0]
+        open_rows = cur.drop("_run")
+    for r in _history_runs(spark, hist_path):
+        if last_run is None or r > last_run:
+            landing.drop_table(spark, f"{hist_path}/run_id={r}")
+    new_open, closed = scd2.snapshot_changes(open_rows, source, "subscription_id",
+                                             "sub_updated_at")
+    _write(closed, f"{hist_path}/run_id={run_id}", "scd_closed_by_run", rows)
+    _swap_in(spark, new_open.withColumn("_run", F.lit(run_id)), cur_path, "scd_open", rows)
+    snapshot = spark.read.parquet(cur_path).drop("_run")
+    if landing.path_exists(spark, hist_path):
+        snapshot = snapshot.unionByName(
+            spark.read.option("basePath", hist_path).parquet(hist_path).drop("run_id"))
+    rows["scd_subscriptions"] = snapshot.count()
+    return snapshot
+
+
 def _iso(as_of) -> str:
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
@@ -78,7 +128,7 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
     as_of_text = str(as_of)
     if full_refresh:                                   # S28: reset incremental tables
         landing.reset(spark, registry, warehouse)
-        landing.drop_table(spark, f"{warehouse}/snapshots/scd_subscriptions")
+        landing.drop_table(spark, f"{warehouse}/snapshots/scd_subscriptions")   # S27
     landed = landing.ingest(spark, registry, warehouse, names, run_ts=_iso(as_of))
 
     bronze = {}
@@ -93,12 +143,9 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
         _write(getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/silver/{n}")
 
-    snap_path = f"{warehouse}/snapshots/scd_subscriptions"
-    previous = spark.read.parquet(snap_path) if landing.table_exists(spark, snap_path) else None
-    snap = scd2.snapshot_timestamp(previous, lh.subscriptions.select(SNAPSHOT_COLUMNS),
-                                   "subscription_id", "sub_updated_at")
-    _swap_in(spark, snap, snap_path, "scd_subscriptions", rows)
-    lh.__dict__["scd_subscriptions"] = spark.read.parquet(snap_path)
+    lh.__dict__["scd_subscriptions"] = _snapshot_run(
+        spark, lh.subscriptions.select(SNAPSHOT_COLUMNS), f"{warehouse}/snapshots/scd_subscriptions",
+        _run_id(as_of), rows)
 
     for n in GOLD:
         _write(getattr(lh, n), f"{warehouse}/gold/{n}", n, rows)
