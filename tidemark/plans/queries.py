@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans.model import Lakehouse, to_ntz
-from tidemark.session import pin_time_zone
+from tidemark.session import pin_time_zone, session_key
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,14 +31,14 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
-_LAKES: dict[tuple[int, str], Lakehouse] = {}
+_LAKES: dict[tuple[tuple[str, str], str], Lakehouse] = {}
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
     """The fixture lakehouse of a session and data folder. Only the plan
     objects are shared between queries (built once on the driver); every
     action still computes from the driver's tables."""
-    key = (id(spark._jsparkSession), sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     if key not in _LAKES:
         _LAKES[key] = Lakehouse.from_fixture(spark, sf_dir)
     return _LAKES[key]

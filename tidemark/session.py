@@ -65,6 +65,12 @@ def shared_dir(spark: SparkSession) -> str:
     return d
 
 
+def session_key(spark: SparkSession) -> tuple[str, str]:
+    """Identity of a live session (application + session), for caches of
+    plan objects that must never outlive the session they belong to."""
+    return (spark.sparkContext.applicationId, str(spark._jsparkSession.sessionUUID()))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared folder."""
     base = shared_dir(spark)

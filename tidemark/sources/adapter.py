@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import session_key
 from tidemark.sources.landing import to_strings
 
 # Fixed values of the fixture.
@@ -28,7 +29,7 @@ DEVICES = ["ios", "android", "web"]
 TABLES = ["customer", "nation", "orders", "events"]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: dict[tuple[tuple[str, str], str], DataFrame] = {}
 
 
 def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +37,7 @@ def read_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the footer/schema discovery job runs once, and every query over the
     same table shares one scan node (so Spark can reuse its exchanges)."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (session_key(spark), path)
     if key not in _TABLES:
         _TABLES[key] = spark.read.parquet(path)
     return _TABLES[key]
