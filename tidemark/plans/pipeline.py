@@ -23,7 +23,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import dq, rules, scd2
+from tidemark.operators import dedupe, dq, rules, scd2, silver
 from tidemark.plans.model import Lakehouse
 from tidemark.sources import landing
 from tidemark.sources.registry import plan_pricing
@@ -50,9 +50,13 @@ class PipelineRun:
         return sum(c["outcome"] == "pass" for c in self.checks) / len(self.checks)
 
 
-def _write(df: DataFrame, path: str, name: str, rows: dict[str, int]) -> None:
+def _write(df: DataFrame, path: str, name: str, rows: dict[str, int],
+           partition_by: str | None = None) -> None:
     obs = Observation(f"rows_{name}")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    w = df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.parquet(path)
     rows[name] = int(obs.get.get("n", 0))
 
 
@@ -112,6 +116,52 @@ def _snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str
     return snapshot
 
 
+def _event_order():
+    return [F.col("_ingested_at").desc_nulls_last(), F.col("app_version").asc_nulls_last(),
+            F.col("event_at").asc_nulls_last()]
+
+
+def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str, run_text: str,
+                rows: dict[str, int]) -> DataFrame:
+    """Silver events, partitioned by event date and merged incrementally.
+
+    First run: the whole bronze table, latest copy per event id. Later
+    runs: only this run's landed rows (the bronze files of one run carry one
+    ``_ingested_at``, so Parquet statistics skip the other row groups) are
+    reduced to one copy per id and merged into the date partitions they
+    touch; those partitions alone are read and rewritten (dynamic partition
+    overwrite through a stage folder). Copies of an event share its event
+    time, hence its partition, so the result equals a full rebuild.
+    """
+    if bronze is None:
+        return spark.read.parquet(path) if landing.table_exists(spark, path) else None
+    dated = lambda df: df.withColumn("event_date", F.to_date("event_at"))
+    if not landing.table_exists(spark, path):
+        _write(dated(silver.events_latest(bronze)).repartition("event_date"),
+               path, "events_merged", rows, partition_by="event_date")
+        return spark.read.parquet(path)
+    batch = dated(silver.events_latest(bronze.filter(F.col("_ingested_at") == run_text)))
+    dates = [r[0] for r in batch.select("event_date").distinct().collect()]  # a few dates
+    if dates:
+        known = [d for d in dates if d is not None]
+        touched = F.col("event_date").isin(known) if known else F.lit(False)
+        if len(known) < len(dates):
+            touched = touched | F.col("event_date").isNull()
+        current = spark.read.parquet(path).filter(touched)
+        merged = dedupe.latest_per_key(current.unionByName(batch.select(current.columns)),
+                                       ["event_id"], _event_order())
+        stage = path.rstrip("/") + "__stage"
+        landing.drop_table(spark, stage)
+        _write(merged.repartition("event_date"), stage, "events_merged", rows,
+               partition_by="event_date")
+        (spark.read.parquet(stage).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
+        landing.drop_table(spark, stage)
+    else:
+        rows["events_merged"] = 0
+    return spark.read.parquet(path)
+
+
 def _iso(as_of) -> str:
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
@@ -123,13 +173,16 @@ def _iso(as_of) -> str:
 def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
                  full_refresh: bool = False, names=None, scale: float = 1.0,
                  reference_now=None, gate_layers=("bronze", "silver", "gold"),
-                 raise_on_fail: bool = False) -> PipelineRun:
-    """Run the whole pipeline once at logical time ``as_of``."""
+                 raise_on_fail: bool = False, lookback=None) -> PipelineRun:
+    """Run the whole pipeline once at logical time ``as_of``. ``lookback``
+    (a timedelta) re-reads that much before each watermark (E6)."""
     as_of_text = str(as_of)
     if full_refresh:                                   # S28: reset incremental tables
         landing.reset(spark, registry, warehouse)
         landing.drop_table(spark, f"{warehouse}/snapshots/scd_subscriptions")   # S27
-    landed = landing.ingest(spark, registry, warehouse, names, run_ts=_iso(as_of))
+        landing.drop_table(spark, f"{warehouse}/silver/events")
+    landed = landing.ingest(spark, registry, warehouse, names, run_ts=_iso(as_of),
+                            lookback=lookback)
 
     bronze = {}
     for name, cfg in registry.items():
@@ -140,6 +193,10 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
     rows: dict[str, int] = {}
 
     for n in SILVER:        # identity_map comes after customers: it reads the written table
+        if n == "events":
+            lh.__dict__[n] = _events_run(spark, bronze.get("app_events"),
+                                         f"{warehouse}/silver/events", _iso(as_of), rows)
+            continue
         _write(getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/silver/{n}")
 
