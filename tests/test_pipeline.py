@@ -74,3 +74,7 @@ def test_incremental_events_equal_full_rebuild(spark):
     inc = spark.read.parquet(f"{wh}/silver/events").drop("event_date")
     got = {tuple(r) for r in inc.select(*silver.EVENT_COLUMNS).collect()}
     assert got == full
+    subs_full = {tuple(r) for r in silver.subscriptions_latest(
+        landing.read_table(spark, f"{wh}/bronze/app_subscriptions")).collect()}
+    subs_inc = {tuple(r) for r in spark.read.parquet(f"{wh}/silver/subscriptions").collect()}
+    assert subs_inc == subs_full

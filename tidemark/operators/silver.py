@@ -50,6 +50,14 @@ def source_overlap(identity: DataFrame, events: DataFrame | None = None,
 
 
 # --------------------------------------------------------------- subscriptions
+def subscription_order(updated: str = "_upd", ingested: str = "_ing") -> list:
+    """Total order among the changes of one subscription: latest change
+    time, then latest landing, then the attributes (T11, T12)."""
+    return [F.col(updated).desc_nulls_last(), F.col(ingested).desc_nulls_last(),
+            F.col("plan").asc_nulls_last(), F.col("status").asc_nulls_last(),
+            F.col("account_id").asc_nulls_last()]
+
+
 def subscriptions_latest(bronze: DataFrame) -> DataFrame:
     """Current state per subscription (M6): the change with the latest
     ``updated_at`` (as a timestamp, T12), later landing breaking ties."""
@@ -57,10 +65,7 @@ def subscriptions_latest(bronze: DataFrame) -> DataFrame:
         "_upd": try_instant(F.col("updated_at")),
         "_ing": from_iso8601(F.col("_ingested_at")),
     })
-    latest = latest_per_key(ordered, ["subscription_id"],
-                            [F.col("_upd").desc_nulls_last(), F.col("_ing").desc_nulls_last(),
-                             F.col("plan").asc_nulls_last(), F.col("status").asc_nulls_last(),
-                             F.col("account_id").asc_nulls_last()])
+    latest = latest_per_key(ordered, ["subscription_id"], subscription_order())
     return latest.select(
         "subscription_id", "account_id", "plan", "status",
         try_instant(F.col("started_at")).alias("sub_started_at"),
