@@ -55,6 +55,7 @@ def registry_with(overrides: dict[str, dict]) -> dict[str, dict]:
 
 
 def plan_pricing(spark: SparkSession) -> DataFrame:
-    """The seed table. Four literal rows: a proven size bound, so joins
-    broadcast it."""
-    return spark.createDataFrame(PLAN_PRICING, "plan string, monthly_price int")
+    """The seed table: a local relation of four literal rows (exact size
+    statistics, a proven bound), so joins broadcast it."""
+    rows = ", ".join(f"('{plan}', {price})" for plan, price in PLAN_PRICING)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS seed(plan, monthly_price)")
