@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tidemark.plans.pipeline import run_pipeline
+from tidemark.plans.runner import run_pipeline
 from tidemark.plans.q_io import write_source_files
 from tidemark.session import scratch_path
 

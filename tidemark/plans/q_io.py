@@ -165,11 +165,11 @@ def write_source_files(spark, sf_dir) -> tuple[dict, dict]:
     return reg, paths
 
 
-@register("pipeline_end_to_end", build("SELECT * FROM mart_mrr"))
-def q_pipeline(spark, sf_dir):
+@register("scheduled_run_mrr", build("SELECT * FROM mart_mrr"))
+def q_scheduled_run(spark, sf_dir):
     """One scheduled run (ingest by registry -> silver -> SCD-2 snapshot
     -> gold -> checks and gates); returns the written MRR mart."""
-    from tidemark.plans.pipeline import run_pipeline
+    from tidemark.plans.runner import run_pipeline
     reg, _ = write_source_files(spark, sf_dir)
     warehouse = scratch_path(spark, "warehouse")
     run_pipeline(spark, reg, warehouse, adapter.AS_OF, reference_now="2024-02-01 00:00:00",
