@@ -110,3 +110,22 @@ def test_unknown_connector(spark):
 def test_where_files_go(spark):
     base = spark.sparkContext.getCheckpointDir()
     assert base and scratch_path(spark, "x").startswith(base.rstrip("/"))
+
+
+def test_document_export_reader(spark):
+    d = local_path(scratch_path(spark, "docs"))
+    os.makedirs(d)
+    with open(f"{d}/events.json", "w") as f:
+        for i, ts in enumerate(["2024-01-01T00:00:00", "2024-01-02T00:00:00", "2024-01-03T00:00:00"]):
+            f.write(json.dumps({"_id": {"$oid": f"x{i}"}, "event_id": f"e{i}", "timestamp": ts,
+                                "properties": {"tags": ["a", "b"], "page": "/p"}}) + "\n")
+    cfg = {"type": "mongodb", "path": d, "watermark": "timestamp",
+           "schema": "_id struct<`$oid`: string>, event_id string, timestamp timestamp_ntz, "
+                     "properties struct<tags: array<string>, page: string>"}
+    df = readers.read_source(spark, cfg, since="2024-01-01 12:00:00")
+    assert "_id" not in df.columns
+    assert sorted(r["event_id"] for r in df.collect()) == ["e1", "e2"]     # strictly newer only
+    bronze = landing.to_bronze(df, "app_events", "r1")
+    r = bronze.filter("event_id = 'e1'").first()
+    assert r["properties.tags"] == '["a","b"]' and r["properties.page"] == "/p"
+    assert r["timestamp"] == "2024-01-02 00:00:00"

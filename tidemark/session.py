@@ -26,6 +26,23 @@ CORE_CONF = {
 }
 
 
+# Starting point for a large cluster (~100 TB inputs, ~1000 executors). AQE
+# coalesces the generous initial shuffle width down to ~256 MB partitions,
+# splits skewed join partitions, and turns joins into broadcasts only from
+# measured sizes; file splits of 512 MB keep scan tasks in the tens of
+# thousands rather than millions.
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "8000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.master(master).appName(app_name)
