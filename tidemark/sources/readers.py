@@ -8,6 +8,7 @@ source prunes row groups with it.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,14 @@ PANDAS_NULL_TOKENS = [
 ]
 
 
+def as_schema(schema):
+    """A schema from a StructType, a DDL string or its JSON form (registry
+    files carry JSON)."""
+    if isinstance(schema, str) and schema.lstrip().startswith("{"):
+        return T.StructType.fromJson(json.loads(schema))
+    return schema
+
+
 def _since_filter(df: DataFrame, column: str | None, since) -> DataFrame:
     """Keep rows strictly newer than the watermark (T17: strict '>')."""
     if since is None or column is None:
@@ -62,7 +71,7 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None
     """
     reader = spark.read.option("multiLine", multi_line)
     if schema is not None:
-        reader = reader.schema(schema)
+        reader = reader.schema(as_schema(schema))
     return reader.json(path)
 
 
@@ -102,7 +111,7 @@ def read_documents(spark: SparkSession, cfg: dict, since=None) -> DataFrame:
     else:
         reader = spark.read
         if cfg.get("schema") is not None:
-            reader = reader.schema(cfg["schema"])
+            reader = reader.schema(as_schema(cfg["schema"]))
         fmt = cfg.get("format", "json")
         df = reader.format(fmt).load(cfg["path"])
     if "_id" in df.columns:

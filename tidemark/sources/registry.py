@@ -54,6 +54,21 @@ def registry_with(overrides: dict[str, dict]) -> dict[str, dict]:
     return out
 
 
+def load_registry(path: str) -> dict[str, dict]:
+    """A registry file (YAML or JSON): either ``{sources: {name: cfg}}`` or
+    ``{name: cfg}``. Read on the driver; it is configuration, not data."""
+    import json
+
+    with open(path) as fh:
+        text = fh.read()
+    try:
+        import yaml
+        doc = yaml.safe_load(text)
+    except ImportError:
+        doc = json.loads(text)
+    return dict(doc.get("sources", doc))
+
+
 def plan_pricing(spark: SparkSession) -> DataFrame:
     """The seed table: a local relation of four literal rows (exact size
     statistics, a proven bound), so joins broadcast it."""
