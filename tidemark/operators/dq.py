@@ -163,44 +163,54 @@ def count_of(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ engine
+def _verdict(c: Check, value: Column, scale: float, error: bool = False) -> Column:
+    """One result row as a struct: the check's labels, its value, its outcome."""
+    v = value.cast("double")
+    outcome = F.lit("error") if error else outcome_of(v, c.fail, c.warn, scale)
+    return F.struct(F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
+                    F.lit(c.name).alias("check_name"), v.alias("value"),
+                    outcome.alias("outcome"))
+
+
 def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequence[Check],
                as_of, reference_now=None, scale: float = 1.0) -> DataFrame:
     """Evaluate ``checks``; one row per check (layer, table_name, check_name,
     value, outcome). ``as_of`` is "now" (Q6, Q11); ``reference_now`` the
-    logical clock of event-time checks (defaults to ``as_of``)."""
+    logical clock of event-time checks (defaults to ``as_of``). Every
+    partial result already carries its labels and outcome, so the final
+    result is a plain union of one-row (or few-row) frames."""
     now = ts_literal(as_of)
     ref = ts_literal(reference_now if reference_now is not None else as_of)
-    value_frames: list[DataFrame] = []
-    errors: set[int] = set()
-    by_table: dict[str, list[tuple[int, Check]]] = {}
-    for i, chk in enumerate(checks):
-        by_table.setdefault(chk.table, []).append((i, chk))
+    parts: list[DataFrame] = []
+    one = spark.range(1)
+
+    def literal(c: Check, value, error: bool = False) -> DataFrame:
+        return one.select(_verdict(c, F.lit(value), scale, error).alias("r"))
+
+    by_table: dict[str, list[Check]] = {}
+    for chk in checks:
+        by_table.setdefault(chk.table, []).append(chk)
 
     for tname, items in by_table.items():
         df = tables.get(tname)
-        aggs = [(i, c) for i, c in items if c.kind in AGG_KINDS]
+        aggs = [c for c in items if c.kind in AGG_KINDS]
         if df is not None:
             # a check on a column the table no longer has cannot run: NULL value, "error"
-            broken = [(i, c) for i, c in aggs if c.column is not None and c.column not in df.columns]
-            for i, _ in broken:
-                errors.add(i)
-                value_frames.append(spark.range(1).select(F.lit(i).alias("idx"),
-                                                          F.lit(None).cast("double").alias("value")))
-            aggs = [x for x in aggs if x not in broken]
-        if aggs and df is not None:
-            exprs = []
-            for i, c in aggs:
-                clock = ref if c.params.get("clock") == "reference" else now
-                exprs.append(_agg_expr(c, df, clock).cast("double").alias(f"m{i}"))
-            row = df.agg(*exprs)
-            value_frames.append(row.select(F.explode(F.array(*[
-                F.struct(F.lit(i).alias("idx"), F.col(f"m{i}").alias("value")) for i, _ in aggs
-            ])).alias("s")).select("s.idx", "s.value"))
-        for i, c in items:
+            broken = [c for c in aggs if c.column is not None and c.column not in df.columns]
+            parts.extend(literal(c, None, error=True) for c in broken)
+            aggs = [c for c in aggs if c not in broken]
+            if aggs:
+                # all aggregate-shaped metrics of the table: one scan, one aggregation
+                exprs = [_agg_expr(c, df, ref if c.params.get("clock") == "reference" else now)
+                         .cast("double").alias(f"m{k}") for k, c in enumerate(aggs)]
+                row = df.agg(*exprs)
+                parts.append(row.select(F.explode(F.array(*[
+                    _verdict(c, F.col(f"m{k}"), scale) for k, c in enumerate(aggs)])).alias("r")))
+        for c in items:
             if c.kind in GROUP_KINDS and df is not None:
-                cols = c.params.get("columns", [c.column])
-                v = duplicate_count(df, cols, c.params.get("ignore_nulls", True))
-                value_frames.append(v.select(F.lit(i).alias("idx"), F.col("value").cast("double")))
+                v = duplicate_count(df, c.params.get("columns", [c.column]),
+                                    c.params.get("ignore_nulls", True))
+                parts.append(v.select(_verdict(c, F.col("value"), scale).alias("r")))
             elif c.kind in SCHEMA_KINDS:
                 if df is None:
                     n = float(len(c.params.get("required", []))) if c.kind == "schema" else 0.0
@@ -208,26 +218,16 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
                     n = float(len(missing_columns(df, c.params["required"])))
                 else:
                     n = float(len(df.columns))
-                value_frames.append(spark.range(1).select(F.lit(i).alias("idx"),
-                                                          F.lit(n).alias("value")))
+                parts.append(literal(c, n))
             elif c.kind in CROSS_KINDS:
                 fn: Callable = c.params["metric"]
-                v = fn(tables, now if c.params.get("clock") != "reference" else ref)
-                value_frames.append(v.select(F.lit(i).alias("idx"),
-                                             F.col(v.columns[0]).cast("double").alias("value")))
-
-    values = value_frames[0]
-    for v in value_frames[1:]:
-        values = values.unionByName(v)
-    meta = spark.createDataFrame(
-        [(i, c.layer, c.table, c.name) for i, c in enumerate(checks)],
-        "idx int, layer string, table_name string, check_name string")
-    j = values.join(F.broadcast(meta), "idx")   # one row per check: bounded by the rule list
-    outcome = None
-    for i, c in enumerate(checks):
-        o = F.lit("error") if i in errors else outcome_of(F.col("value"), c.fail, c.warn, scale)
-        outcome = F.when(F.col("idx") == i, o) if outcome is None else outcome.when(F.col("idx") == i, o)
-    return j.select("layer", "table_name", "check_name", "value", outcome.alias("outcome"))
+                v = fn(tables, ref if c.params.get("clock") == "reference" else now)
+                parts.append(v.select(_verdict(c, F.col(v.columns[0]), scale).alias("r")))
+
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("r.*")
 
 
 class GateError(RuntimeError):
