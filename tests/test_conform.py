@@ -96,3 +96,18 @@ def test_events_latest_copy_and_missing_columns(spark):
     assert ev["e1"]["app_version"] == "2.0" and ev["e1"]["duration_s"] == 5.0
     assert ev["e2"]["event_at"] is None                  # bad time -> NULL, row kept
     assert ev["e2"]["page"] is None                      # column absent from this landing
+
+
+def test_event_identity_stitch_cases(spark):
+    ev = spark.createDataFrame([
+        ("e1", "a1", "u1"), ("e2", "a1", None),      # anonymous before login, same anon id
+        ("e3", "a2", None),                           # never logged in
+        ("e4", "a3", "u9"), ("e5", "a3", None),      # user without an app record
+    ], "event_id string, anonymous_id string, user_id string")
+    ident = spark.createDataFrame([("K1", "app", "u1", "h"), ("K2", "crm", "u9", "h")],
+                                  "customer_key string, source_system string, source_id string, email_hash string")
+    got = {r["event_id"]: (r["resolved_user_id"], r["customer_key"], r["resolution"])
+           for r in silver.event_identity_stitch(ev, None, ident).collect()}
+    assert got == {"e1": ("u1", "K1", "user"), "e2": ("u1", "K1", "anonymous_link"),
+                   "e3": (None, None, "unresolved"), "e4": ("u9", None, "user"),
+                   "e5": ("u9", None, "anonymous_link")}

@@ -132,20 +132,33 @@ def event_identity_stitch(events: DataFrame, customers: DataFrame,
     with a user id carries that user to its other events (before and after
     login), then user id -> app record -> customer key.
 
-    The anonymous-id -> user link table is one row per anonymous id
-    (smallest user id when several), built with a partial aggregation.
+    Each event is joined once: events with a user id against the
+    user -> person map, anonymous events against the anonymous-id ->
+    (user, person) map. Both maps are user-scale (one row per user / per
+    anonymous id, built with partial aggregations); the event table moves
+    through one shuffle, and a hot anonymous id is split by AQE's skew join.
     """
+    app_keys = (identity.filter(F.col("source_system") == "app")
+                .select(F.col("source_id").alias("user_id"), "customer_key"))
     links = (events.filter(F.col("user_id").isNotNull() & F.col("anonymous_id").isNotNull())
              .groupBy("anonymous_id").agg(F.min("user_id").alias("linked_user_id")))
-    app_keys = (identity.filter(F.col("source_system") == "app")
-                .select(F.col("source_id").alias("resolved_user_id"), "customer_key"))
-    resolved = (events.join(links, "anonymous_id", "left")
-                .withColumn("resolved_user_id", F.coalesce(F.col("user_id"), F.col("linked_user_id"))))
-    return (resolved.join(app_keys, "resolved_user_id", "left")
-            .select("event_id", "anonymous_id", "user_id", "resolved_user_id", "customer_key",
-                    F.when(F.col("user_id").isNotNull(), "user")
-                     .when(F.col("resolved_user_id").isNotNull(), "anonymous_link")
+    anon_map = links.join(app_keys.withColumnRenamed("user_id", "linked_user_id"),
+                          "linked_user_id", "left")
+    cols = ["event_id", "anonymous_id", "user_id", "resolved_user_id", "customer_key", "resolution"]
+    known = (events.filter(F.col("user_id").isNotNull())
+             .select("event_id", "anonymous_id", "user_id")
+             .join(app_keys, "user_id", "left")
+             .select("event_id", "anonymous_id", "user_id",
+                     F.col("user_id").alias("resolved_user_id"), "customer_key",
+                     F.lit("user").alias("resolution")))
+    anon = (events.filter(F.col("user_id").isNull())
+            .select("event_id", "anonymous_id", "user_id")
+            .join(anon_map, "anonymous_id", "left")
+            .select("event_id", "anonymous_id", "user_id",
+                    F.col("linked_user_id").alias("resolved_user_id"), "customer_key",
+                    F.when(F.col("linked_user_id").isNotNull(), "anonymous_link")
                      .otherwise("unresolved").alias("resolution")))
+    return known.select(cols).unionByName(anon.select(cols))
 
 
 def subscription_log(bronze: DataFrame) -> DataFrame:
