@@ -95,3 +95,6 @@ def test_gate(spark):
     with pytest.raises(dq.GateError) as e:
         dq.gate(mk([]).limit(0))
     assert e.value.code == 3
+    with pytest.raises(dq.GateError) as e:
+        dq.gate(mk(["pass", "error"]))
+    assert e.value.code == 3

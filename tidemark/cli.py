@@ -91,8 +91,11 @@ def main(argv=None) -> int:
     rows = [r.asDict() for r in res.collect()]          # one row per check
     for r in rows:
         print(json.dumps(r, default=str))
+    counts: dict[str, int] = {}
+    for r in rows:
+        counts[r["outcome"]] = counts.get(r["outcome"], 0) + 1
     try:
-        dq.gate(spark.createDataFrame(rows, res.schema))
+        dq.gate_counts(counts)
     except dq.GateError as e:
         print(str(e), file=sys.stderr)
         return e.code

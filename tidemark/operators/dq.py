@@ -236,18 +236,25 @@ class GateError(RuntimeError):
         self.code = code
 
 
-def gate(results: DataFrame) -> str:
-    """Layer gate (Q12): no results -> error code 3; any fail -> blocked
-    (code 2); warnings alone pass. Returns "pass" or "warn"."""
-    rows = results.select("outcome").groupBy("outcome").count().collect()
-    counts = {r["outcome"]: r["count"] for r in rows}
-    if not counts:
+def gate_counts(counts: dict[str, int]) -> str:
+    """Layer gate (Q12) over outcome counts: no results -> code 3; a check
+    that could not run ("error") -> code 3; any fail -> blocked (code 2);
+    warnings alone pass. Returns "pass" or "warn"."""
+    if not counts or sum(counts.values()) == 0:
         raise GateError(3, "no check results")
     if counts.get("fail", 0) > 0:
         raise GateError(2, f"{counts['fail']} check(s) failed")
+    if counts.get("error", 0) > 0:
+        raise GateError(3, f"{counts['error']} check(s) could not run")
     return "warn" if counts.get("warn", 0) > 0 else "pass"
 
 
+def gate(results: DataFrame) -> str:
+    """Gate a result table: only the outcome counts reach the driver."""
+    rows = results.groupBy("outcome").count().collect()
+    return gate_counts({r["outcome"]: r["count"] for r in rows})
+
+
 # ------------------------------------------------------------------ negative tests
 def _total_order(df: DataFrame, order_by) -> list[Column]:
     """``order_by`` (names or Columns) completed by every column, ascending."""
