@@ -114,3 +114,19 @@ def test_fact_bridges_through_account(spark):
     got = {r["subscription_id"]: r for r in gold.fact_subscriptions(hist, dim).collect()}
     assert got["s1"]["customer_key"] == "K1" and got["s1"]["is_current"] is True
     assert got["s2"]["customer_key"] is None and got["s2"]["is_current"] is False
+
+
+def test_second_account_needs_the_record_bridge(spark):
+    c = people(spark)                       # p2 has two app accounts: acct2 and acct3
+    dim = gold.dim_customer(None, c)
+    hist = spark.createDataFrame([
+        ("s2", "acct2", "pro", "active", D, D, "id2", D, None),
+        ("s3", "acct3", "pro", "active", D, D, "id3", D, None),
+    ], "subscription_id string, account_id string, plan string, status string, "
+       "sub_started_at timestamp, sub_updated_at timestamp, scd_id string, valid_from timestamp, "
+       "valid_to timestamp")
+    by_dim = {r["subscription_id"]: r["customer_key"] for r in gold.fact_subscriptions(hist, dim).collect()}
+    assert by_dim["s2"] is None and by_dim["s3"] is not None          # T14 as modelled
+    by_rec = {r["subscription_id"]: r["customer_key"] for r in
+              gold.fact_subscriptions(hist, dim, gold.account_bridge(c)).collect()}
+    assert by_rec["s2"] == by_rec["s3"] == by_dim["s3"]

@@ -83,10 +83,25 @@ FACT_COLUMNS = ["subscription_version_key", "subscription_id", "customer_key", "
                 "plan", "status", "sub_started_at", "valid_from", "valid_to", "is_current"]
 
 
-def fact_subscriptions(history: DataFrame, dim: DataFrame) -> DataFrame:
+def account_bridge(customers: DataFrame, identity: DataFrame | None = None) -> DataFrame:
+    """account_id -> customer_key through every app record (not only the
+    dimension's one ``max(account_id)`` per person, T14)."""
+    recs = keyed_records(customers.filter(F.col("source_system") == "app"), identity)
+    return (recs.filter(F.col("account_id").isNotNull())
+            .select("account_id", "customer_key").dropDuplicates(["account_id", "customer_key"]))
+
+
+def fact_subscriptions(history: DataFrame, dim: DataFrame,
+                       bridge: DataFrame | None = None) -> DataFrame:
     """Subscription versions bridged to the person through the app account
-    (M10). Left join: versions whose account has no person keep a NULL key."""
-    accounts = (dim.filter(F.col("account_id").isNotNull())
+    (M10). Left join: versions whose account has no person keep a NULL key.
+
+    By default the bridge is the dimension's ``account_id`` (one per
+    person, as modelled: a second account of the same person finds no
+    person). Pass ``bridge=account_bridge(customers)`` to reach every
+    account of every person."""
+    src = bridge if bridge is not None else dim
+    accounts = (src.filter(F.col("account_id").isNotNull())
                 .select(F.col("account_id").alias("_acct"), "customer_key"))
     return (history.join(accounts, history.account_id == accounts._acct, "left")
             .select(F.col("scd_id").alias("subscription_version_key"),
