@@ -174,16 +174,18 @@ def read_watermark(spark: SparkSession, path: str, column: str | None = None):
 
 
 def watermark_of(df: DataFrame, column: str):
-    """max of the column, typed when the text parses as a timestamp."""
+    """max of the column as text (S17), rendered by Spark in the session
+    zone, so the later ``wm > since`` comparison reads it back the same way.
+    Text columns are compared as timestamps when they parse as such."""
     c = F.col(f"`{column}`")
     dtype = df.schema[column].dataType
     if isinstance(dtype, T.StringType):
-        parsed = c.try_cast("timestamp")
-        row = df.agg(F.max(parsed).alias("t"), F.max(c).alias("s")).first()
+        row = df.agg(F.max(c.try_cast("timestamp")).cast("string").alias("t"),
+                     F.max(c).alias("s")).first()
         value = row["t"] if row["t"] is not None else row["s"]
     else:
-        value = df.agg(F.max(c)).first()[0]
-    return None if value is None else str(value)
+        value = df.agg(F.max(c).cast("string")).first()[0]
+    return value
 
 
 def _write_watermark(spark: SparkSession, path: str, run_ts: str, watermark: str) -> None:
