@@ -130,3 +130,10 @@ def test_second_account_needs_the_record_bridge(spark):
     by_rec = {r["subscription_id"]: r["customer_key"] for r in
               gold.fact_subscriptions(hist, dim, gold.account_bridge(c)).collect()}
     assert by_rec["s2"] == by_rec["s3"] == by_dim["s3"]
+
+
+def test_report_order(spark):
+    df = spark.createDataFrame([("pro", 3, 99, 297), ("basic", 2, 29, 58), ("enterprise", 1, 299, 299)],
+                               "plan string, active_subscriptions long, monthly_price int, mrr long")
+    assert [r["plan"] for r in gold.report(df, "mart_mrr").collect()] == ["enterprise", "pro", "basic"]
+    assert [r["plan"] for r in gold.report(df, "mart_mrr", limit=1).collect()] == ["enterprise"]

@@ -223,3 +223,22 @@ def conversion_durations(customers: DataFrame, identity: DataFrame | None,
          .alias("days_lead_to_signup"),
         F.datediff(F.to_date("first_paid_at"), F.to_date("signup_at")).cast("bigint")
          .alias("days_signup_to_paid"))
+
+
+# How each mart is presented (the models' ORDER BY clauses).
+REPORT_ORDER = {
+    "mart_mrr": [("mrr", False)],
+    "mart_ltv": [("ltv_to_date", False)],
+    "recon_billing_vs_app": [("recon_status", True)],
+}
+
+
+def report(df: DataFrame, name: str, limit: int | None = None) -> DataFrame:
+    """A mart in its presentation order (O1, O2), with a stable tie-break on
+    every other column; ``limit`` gives a top-n report (O3). Tables carry no
+    order (T20): sort when reading, not when writing."""
+    keys = REPORT_ORDER.get(name, [])
+    cols = [F.col(c).desc_nulls_last() if not asc else F.col(c).asc_nulls_last() for c, asc in keys]
+    cols += [F.col(c).asc_nulls_last() for c in df.columns if c not in dict(keys)]
+    out = df.orderBy(*cols)
+    return out.limit(limit) if limit is not None else out

@@ -234,16 +234,21 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
     run = PipelineRun(as_of_text, landed, rows)
     tables = dict(lh.bronze)
     tables.update({n: getattr(lh, n) for n in SILVER + GOLD})
-    for layer in gate_layers:
-        checks = [c for c in rules.checks_for(layer) if c.table in tables]
-        if not checks:
+    layer_checks = {layer: [c for c in rules.checks_for(layer) if c.table in tables]
+                    for layer in gate_layers}
+    all_checks = [c for cs in layer_checks.values() for c in cs]
+    collected = []
+    if all_checks:      # every layer's checks in one job; one verdict row per check
+        res = dq.run_checks(spark, tables, all_checks, as_of_text, reference_now, scale=scale)
+        collected = [r.asDict() for r in res.collect()]
+    run.checks.extend(collected)
+    for layer, cs in layer_checks.items():
+        if not cs:
             continue
-        res = dq.run_checks(spark, tables, checks, as_of_text, reference_now, scale=scale)
-        collected = [r.asDict() for r in res.collect()]          # one row per check
-        run.checks.extend(collected)
         counts: dict[str, int] = {}
         for r in collected:
-            counts[r["outcome"]] = counts.get(r["outcome"], 0) + 1
+            if r["layer"] == layer:
+                counts[r["outcome"]] = counts.get(r["outcome"], 0) + 1
         try:
             run.gates[layer] = dq.gate_counts(counts)
         except dq.GateError as e:
