@@ -226,7 +226,7 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
 
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.union(p)          # every part is the same single struct column
     return out.select("r.*")
 
 
