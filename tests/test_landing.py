@@ -129,3 +129,34 @@ def test_document_export_reader(spark):
     r = bronze.filter("event_id = 'e1'").first()
     assert r["properties.tags"] == '["a","b"]' and r["properties.page"] == "/p"
     assert r["timestamp"] == "2024-01-02 00:00:00"
+
+
+def test_interrupted_swaps_recover(spark):
+    fs_path = lambda p: local_path(p)                                   # noqa: E731
+    v1 = spark.createDataFrame([("1",)], "id string")
+    v2 = spark.createDataFrame([("1",), ("2",)], "id string")
+
+    # crash after the old table was moved aside, with a complete stage: roll forward
+    path = scratch_path(spark, "t")
+    v1.write.parquet(path + "__old")
+    landing._write_watermark(spark, path + "__old", "r1", "wm1")
+    v2.write.parquet(path + "__stage")
+    landing.recover_table(spark, path)
+    assert landing.read_table(spark, path).count() == 2
+    assert landing.read_watermark(spark, path) == "wm1"
+    assert not os.path.exists(fs_path(path + "__old"))
+
+    # crash while the stage was being written (no _SUCCESS): roll back
+    path = scratch_path(spark, "t")
+    v1.write.parquet(path + "__old")
+    v2.write.parquet(path + "__stage")
+    os.remove(os.path.join(fs_path(path + "__stage"), "_SUCCESS"))
+    landing.recover_table(spark, path)
+    assert landing.read_table(spark, path).count() == 1
+
+    # crash before the old copy was deleted: finish
+    path = scratch_path(spark, "t")
+    v2.write.parquet(path)
+    v1.write.parquet(path + "__old")
+    landing.recover_table(spark, path)
+    assert landing.read_table(spark, path).count() == 2 and not os.path.exists(fs_path(path + "__old"))

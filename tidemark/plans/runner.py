@@ -62,6 +62,7 @@ def _write(df: DataFrame, path: str, name: str, rows: dict[str, int],
 
 def _swap_in(spark: SparkSession, df: DataFrame, path: str, name: str, rows: dict[str, int]) -> None:
     stage = path.rstrip("/") + "__stage"
+    landing.recover_table(spark, path)
     landing.drop_table(spark, stage)
     _write(df, stage, name, rows)
     landing._swap(spark, stage, path)
@@ -96,6 +97,7 @@ def _snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str
     swap: it is dropped before the next run starts.
     """
     cur_path, hist_path = f"{root}/current", f"{root}/history"
+    landing.recover_table(spark, cur_path)
     open_rows, last_run = None, None
     if landing.table_exists(spark, cur_path):
         cur = spark.read.parquet(cur_path)
@@ -168,6 +170,7 @@ def _subscriptions_run(spark: SparkSession, bronze: DataFrame, path: str, run_te
     subscription" over (previous silver + this run's landed changes) equals
     the latest over the whole log (the order is total), so a run reads
     O(subscriptions + new changes), not the log's whole history."""
+    landing.recover_table(spark, path)
     if not landing.table_exists(spark, path):
         _write(silver.subscriptions_latest(bronze), path, "subscriptions", rows)
         return spark.read.parquet(path)

@@ -58,17 +58,55 @@ def drop_table(spark: SparkSession, path: str) -> None:
 
 
 def _swap(spark: SparkSession, stage: str, path: str) -> None:
-    """Replace ``path`` by ``stage``; the watermark side table is carried over."""
+    """Replace ``path`` by the complete folder ``stage``.
+
+    Steps: move the old table aside (``path__old``), rename the stage in,
+    carry the watermark side table over, delete the old table. Every
+    intermediate state is recognised by ``recover_table``: a crash leaves
+    either the old table or the new one, never none.
+    """
+    jvm = spark.sparkContext._jvm
     fs, dst = _fs(spark, path)
     _, src = _fs(spark, stage)
+    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "__old")
+    if fs.exists(old):
+        fs.delete(old, True)
+    if fs.exists(dst):
+        fs.rename(dst, old)
+    fs.rename(src, dst)
+    _finish_swap(spark, path)
+
+
+def _finish_swap(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
-    wm_old = jvm.org.apache.hadoop.fs.Path(dst, WATERMARK_DIR)
-    wm_new = jvm.org.apache.hadoop.fs.Path(src, WATERMARK_DIR)
+    fs, dst = _fs(spark, path)
+    old = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "__old")
+    if not fs.exists(old):
+        return
+    wm_old = jvm.org.apache.hadoop.fs.Path(old, WATERMARK_DIR)
+    wm_new = jvm.org.apache.hadoop.fs.Path(dst, WATERMARK_DIR)
     if fs.exists(wm_old) and not fs.exists(wm_new):
         fs.rename(wm_old, wm_new)
+    fs.delete(old, True)
+
+
+def recover_table(spark: SparkSession, path: str) -> None:
+    """Complete or roll back a swap interrupted by a crash: a committed stage
+    (its ``_SUCCESS`` marker written) replaces a missing table, otherwise the
+    old table is put back; leftovers are removed."""
+    jvm = spark.sparkContext._jvm
+    fs, dst = _fs(spark, path)
+    base = path.rstrip("/")
+    old = jvm.org.apache.hadoop.fs.Path(base + "__old")
+    stage = jvm.org.apache.hadoop.fs.Path(base + "__stage")
+    if not fs.exists(dst):
+        if fs.exists(jvm.org.apache.hadoop.fs.Path(stage, "_SUCCESS")):
+            fs.rename(stage, dst)
+        elif fs.exists(old):
+            fs.rename(old, dst)
+            return
     if fs.exists(dst):
-        fs.delete(dst, True)
-    fs.rename(src, dst)
+        _finish_swap(spark, path)
 
 
 # ---------------------------------------------------------------- transforms
@@ -134,6 +172,7 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
         if key is None:
             raise ValueError("upsert needs a key")
         keys = [key] if isinstance(key, str) else list(key)
+        recover_table(spark, path)
         if not table_exists(spark, path):
             df.write.mode("overwrite").parquet(path)
             return
@@ -206,6 +245,7 @@ def ingest_source(spark: SparkSession, name: str, cfg: dict, warehouse: str,
     """
     mode = cfg.get("load_mode", "full")
     path = table_path(warehouse, cfg["target_bronze"])
+    recover_table(spark, path)
     since = read_watermark(spark, path, cfg.get("watermark")) if mode == "incremental" else None
     if since is not None and lookback is not None:
         since = str(_dt.datetime.fromisoformat(str(since)) - lookback)
