@@ -107,3 +107,15 @@ def q_funnel(spark, sf_dir):
 def q_recon(spark, sf_dir):
     """Billing vs app reconciliation."""
     return lake(spark, sf_dir).recon_billing_vs_app
+
+
+@register("ltv_top_customers", build("""
+SELECT * FROM mart_ltv
+ORDER BY ltv_to_date DESC NULLS LAST, customer_key ASC NULLS LAST, active_subscriptions ASC NULLS LAST,
+         current_mrr ASC NULLS LAST, tenure_months ASC NULLS LAST
+LIMIT 20
+"""))
+def q_ltv_top(spark, sf_dir):
+    """O1 / O3: the twenty people with the highest lifetime value (a top-n
+    report: the limit is the feature; ties broken by every other column)."""
+    return gold.report(lake(spark, sf_dir).mart_ltv, "mart_ltv", limit=20)
