@@ -3,7 +3,6 @@
 import datetime as dt
 import hashlib
 
-from pyspark.sql import functions as F
 
 from tests.conftest import rows
 from tidemark.operators import conform, silver

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from tidemark.operators import gold, silver
 from tidemark.sources.registry import plan_pricing

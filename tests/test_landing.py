@@ -5,7 +5,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.session import local_path, scratch_path
 from tidemark.sources import landing, readers

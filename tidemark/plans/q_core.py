@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
-from tidemark.operators import gold, scd2, silver
-from tidemark.plans.oracle import AS_OF_SQL, build
+from tidemark.operators import gold, scd2
+from tidemark.plans.oracle import build
 from tidemark.plans.queries import lake, register
 from tidemark.sources import adapter
 
