@@ -175,3 +175,22 @@ def q_scheduled_run(spark, sf_dir):
     run_pipeline(spark, reg, warehouse, adapter.AS_OF, reference_now="2024-02-01 00:00:00",
                  scale=adapter.read_driver_table(spark, sf_dir, "customer").count() / 1000.0)
     return spark.read.parquet(f"{warehouse}/gold/mart_mrr")
+
+
+@register("stream_scd2_snapshot", build("SELECT * FROM snap_two_runs"))
+def q_stream_scd2(spark, sf_dir):
+    """M8 as a stream: the landed subscription changes arrive in two
+    triggers (landed up to 1998-01-01, then the rest); each micro-batch is
+    one SCD-2 run applied in foreachBatch, once per epoch."""
+    from tidemark.operators import silver
+    from tidemark.streaming import subscriptions as scd_stream
+    log = silver.subscription_log(adapter.bronze_app_subscriptions(spark, sf_dir))
+    early = F.col("_ingested_at") <= F.lit("1998-01-01 00:00:00").cast("timestamp")
+    src, root, ckpt = (scratch_path(spark, "src-sub-changes"), scratch_path(spark, "scd-stream"),
+                       scratch_path(spark, "ckpt-scd-stream"))
+    log.filter(early).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    streams.run_to_end(scd_stream.scd2_stream(spark, src, schema, root, ckpt))
+    log.filter(~early).write.mode("append").parquet(src)
+    streams.run_to_end(scd_stream.scd2_stream(spark, src, schema, root, ckpt))
+    return scd_stream.read_history(spark, root)

@@ -75,6 +75,25 @@ def _run_id(as_of) -> str:
     return as_of.strftime("%Y%m%dT%H%M%S")
 
 
+def last_snapshot_run(spark: SparkSession, root: str) -> str | None:
+    """The run id stamped on the stored open versions (None before any run)."""
+    cur_path = f"{root}/current"
+    landing.recover_table(spark, cur_path)
+    if not landing.table_exists(spark, cur_path):
+        return None
+    return spark.read.parquet(cur_path).agg(F.max("_run")).first()[0]
+
+
+def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
+    """Open versions + history, as one table."""
+    hist_path = f"{root}/history"
+    snapshot = spark.read.parquet(f"{root}/current").drop("_run")
+    if landing.path_exists(spark, hist_path):
+        snapshot = snapshot.unionByName(
+            spark.read.option("basePath", hist_path).parquet(hist_path).drop("run_id"))
+    return snapshot
+
+
 def _history_runs(spark: SparkSession, hist_path: str) -> list[str]:
     if not landing.path_exists(spark, hist_path):
         return []
@@ -83,8 +102,8 @@ def _history_runs(spark: SparkSession, hist_path: str) -> list[str]:
             if st.getPath().getName().startswith("run_id=")]
 
 
-def _snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str,
-                  rows: dict[str, int]) -> DataFrame:
+def snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str,
+                 rows: dict[str, int]) -> DataFrame:
     """Apply one SCD-2 run to a snapshot stored as ``current`` (open
     versions, replaced each run) + ``history`` (closed versions, append-only,
     one partition per run). A run reads and rewrites only the open versions;
@@ -110,10 +129,7 @@ def _snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str
                                              "sub_updated_at")
     _write(closed, f"{hist_path}/run_id={run_id}", "scd_closed_by_run", rows)
     _swap_in(spark, new_open.withColumn("_run", F.lit(run_id)), cur_path, "scd_open", rows)
-    snapshot = spark.read.parquet(cur_path).drop("_run")
-    if landing.path_exists(spark, hist_path):
-        snapshot = snapshot.unionByName(
-            spark.read.option("basePath", hist_path).parquet(hist_path).drop("run_id"))
+    snapshot = read_snapshot(spark, root)
     rows["scd_subscriptions"] = snapshot.count()
     return snapshot
 
@@ -226,7 +242,7 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
         _write(getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/silver/{n}")
 
-    lh.__dict__["scd_subscriptions"] = _snapshot_run(
+    lh.__dict__["scd_subscriptions"] = snapshot_run(
         spark, lh.subscriptions.select(SNAPSHOT_COLUMNS), f"{warehouse}/snapshots/scd_subscriptions",
         _run_id(as_of), rows)
 
