@@ -61,8 +61,10 @@ def test_hot_subscription_history(spark):
             per_run[b] = max(per_run.get(b, ts), ts)
     versions = [per_run[b] for b in sorted(per_run)]
     assert hot == list(zip(versions, versions[1:] + [None]))
-    un = scd2.history_from_log(log.drop("batch"), "subscription_id", "sub_updated_at", bucket="hour")
-    assert un.filter("subscription_id = 'HOT'").count() == 1000
+    un = scd2.history_from_log(log.drop("batch"), "subscription_id", "sub_updated_at", partitions=8)
+    hot_all = sorted((r["valid_from"], r["valid_to"]) for r in un.filter("subscription_id = 'HOT'").collect())
+    times = sorted(ts for k, _, _, ts, _ in rows if k == "HOT")
+    assert hot_all == list(zip(times, times[1:] + [None]))
 
 
 def test_hot_user_orphan_events(spark):
@@ -73,3 +75,21 @@ def test_hot_user_orphan_events(spark):
     r = silver.orphan_known_events(ev, cust).first()
     known = N // 3 + sum(1 for i in range(N) if i % 3 and i % 100 == 1)
     assert r["n_known_events"] == N and r["n_orphan_events"] == N - known
+
+
+def test_next_within_key_across_batches_and_partitions(spark):
+    from tidemark.operators.sequence import next_within_key
+    import random
+    rnd = random.Random(5)
+    rows = sorted({(rnd.choice(["HOT"] * 5 + ["a", "b", "c"]), rnd.randint(0, 10**6)) for _ in range(3000)})
+    df = spark.createDataFrame(rows, "k string, ts long")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        got = {(r["k"], r["ts"]): r["next_ts"] for r in next_within_key(df, "k", "ts", partitions=13).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    want = {}
+    for (k, ts), nxt in zip(rows, rows[1:] + [(None, None)]):
+        want[(k, ts)] = nxt[1] if nxt[0] == k else None
+    assert got == want

@@ -21,9 +21,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tidemark.operators.dedupe import latest_per_key
+from tidemark.operators.sequence import next_within_key
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to"]
 
@@ -102,22 +102,10 @@ def snapshot_timestamp(previous: DataFrame | None, source: DataFrame, key: str,
             .unionByName(closing.select(cols)).unionByName(opened.select(cols)))
 
 
-def _bucket_of(df: DataFrame, column: str, bucket) -> Column:
-    """Ordered bucket of a run/time column: ``date_trunc(bucket, t)`` for
-    times; ``floor(n / bucket)`` for run numbers (bucket 64 by default)."""
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-        return F.date_trunc(bucket if isinstance(bucket, str) else "day", F.col(column))
-    if isinstance(dtype, T.NumericType):
-        width = bucket if isinstance(bucket, int) else 64
-        return F.floor(F.col(column) / F.lit(width))
-    return F.col(column)      # no order-preserving coarsening known: one bucket per value
-
-
 def history_from_log(log: DataFrame, key: str, updated_at: str,
                      batch: str | None = None,
                      tie_break: Sequence[str] = (),
-                     bucket: str | int = "day") -> DataFrame:
+                     partitions: int | None = None) -> DataFrame:
     """The snapshot table rebuilt from a change log in one pass.
 
     With ``batch`` (the landing run), only the latest change of each run
@@ -132,8 +120,8 @@ def history_from_log(log: DataFrame, key: str, updated_at: str,
     has at most one row per landing run, a bound set by the schedule, not
     by the data: two windows over the key (one shuffle) finish the job.
     Without ``batch`` the number of versions per key is unbounded, so the
-    ordered steps run per (key, ``bucket`` of time) and cross bucket borders
-    through one summary row per (key, bucket).
+    next version comes from ``sequence.next_within_key``: a range-partitioned
+    sorted scan that splits a hot key over many tasks.
     """
     order_tail = [F.col(c).asc_nulls_last() for c in tie_break]
     df = log.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())
@@ -149,17 +137,7 @@ def history_from_log(log: DataFrame, key: str, updated_at: str,
 
     df = latest_per_key(df, [key, updated_at], order_tail)
     payload = list(df.columns)
-    kb = [key, "_b"]
-    df = df.withColumn("_b", _bucket_of(df, updated_at, bucket))
-    # next version: inside the bucket by lead, across buckets by the first
-    # version of the next non-empty bucket of the key
-    nxt_in = F.lead(F.col(updated_at)).over(Window.partitionBy(*kb).orderBy(F.col(updated_at)))
-    firsts = df.groupBy(*kb).agg(F.min(updated_at).alias("_first"))
-    after = Window.partitionBy(key).orderBy("_b").rowsBetween(1, Window.unboundedFollowing)
-    nxt_bucket = firsts.select(*kb, F.min("_first").over(after).alias("_next_b"))
-    out = (df.withColumn("_nxt", nxt_in)
-           .join(nxt_bucket, kb, "left")
-           .withColumn("_valid_to", F.coalesce("_nxt", "_next_b")))
+    out = next_within_key(df, key, updated_at, "_valid_to", partitions)
     return _with_scd(out, key, updated_at, F.col("_valid_to")).select(*payload, *SCD_COLUMNS)
 
 
