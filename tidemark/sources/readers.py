@@ -75,24 +75,35 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | None
     return reader.json(path)
 
 
+def _jdbc_reader(spark: SparkSession, cfg: dict, table: str):
+    reader = spark.read.format("jdbc").option("url", cfg["url"]).option("dbtable", table)
+    for key in ("user", "password", "driver", "fetchsize"):
+        if key in cfg:
+            reader = reader.option(key, cfg[key])
+    return reader
+
+
 def read_jdbc(spark: SparkSession, cfg: dict, since=None) -> DataFrame:
     """Relational table scan (S4) with the watermark predicate pushed.
 
-    ``partition_column/lower_bound/upper_bound/num_partitions`` split the
-    scan into parallel range queries; without them one task reads all.
+    With ``partition_column`` the scan is split into ``num_partitions``
+    parallel range queries. Missing bounds are fetched first with one
+    pushed-down ``min``/``max`` query (two scalars reach the driver).
+    Without a partition column one task reads the table.
     """
-    reader = (spark.read.format("jdbc")
-              .option("url", cfg["url"])
-              .option("dbtable", cfg["table"]))
-    for key, opt in (("user", "user"), ("password", "password"), ("driver", "driver"),
-                     ("fetchsize", "fetchsize")):
-        if key in cfg:
-            reader = reader.option(opt, cfg[key])
-    if "partition_column" in cfg:
-        reader = (reader.option("partitionColumn", cfg["partition_column"])
-                  .option("lowerBound", cfg["lower_bound"])
-                  .option("upperBound", cfg["upper_bound"])
-                  .option("numPartitions", cfg.get("num_partitions", 64)))
+    table = cfg["table"]
+    reader = _jdbc_reader(spark, cfg, table)
+    col = cfg.get("partition_column")
+    if col:
+        lo, hi = cfg.get("lower_bound"), cfg.get("upper_bound")
+        if lo is None or hi is None:
+            bounds = f"(SELECT min({col}) AS lo, max({col}) AS hi FROM {table}) b"
+            row = _jdbc_reader(spark, cfg, bounds).load().first()
+            lo, hi = row["lo"], row["hi"]
+        if lo is not None and hi is not None:
+            reader = (reader.option("partitionColumn", col)
+                      .option("lowerBound", lo).option("upperBound", hi)
+                      .option("numPartitions", cfg.get("num_partitions", 64)))
     return _since_filter(reader.load(), cfg.get("watermark"), since)
 
 
