@@ -50,6 +50,11 @@ def test_two_runs_track_one_plan_change(spark):
                       reference_now="2024-01-10 00:00:00")
     assert sum(r3.landed[n] for n in ["app_users", "app_subscriptions", "app_events"]) == 0
     assert r3.rows["scd_subscriptions"] == n_subs + 1
+    # run metrics and verdicts are kept per run (E5)
+    runs = spark.read.parquet(f"{wh}/quality/run_metrics")
+    assert runs.select("run_id").distinct().count() == 3
+    verdicts = spark.read.parquet(f"{wh}/quality/check_results")
+    assert verdicts.filter("run_id = '20010904T000000'").count() == len(r3.checks)
 
 
 def test_incremental_events_equal_full_rebuild(spark):

@@ -274,4 +274,28 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
             run.gates[layer] = "fail" if e.code == 2 else "error"
             if raise_on_fail:
                 raise
+    _record_run(spark, warehouse, _run_id(as_of), run)
     return run
+
+
+def _record_run(spark: SparkSession, warehouse: str, run_id: str, run: PipelineRun) -> None:
+    """Keep the run's metrics and check verdicts (E5) in run-partitioned
+    tables under ``warehouse/quality`` (a retried run overwrites its own
+    partition). A handful of rows per run, written from the driver."""
+    metrics = ([("landed", k, float(v)) for k, v in run.landed.items()]
+               + [("rows", k, float(v)) for k, v in run.rows.items()]
+               + [("gate", k, {"pass": 0.0, "warn": 1.0}.get(v, 2.0)) for k, v in run.gates.items()])
+    if run.pass_rate is not None:
+        metrics.append(("checks", "pass_rate", float(run.pass_rate)))
+    m = spark.createDataFrame(metrics, "kind string, name string, value double")
+    (m.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+     .parquet(f"{warehouse}/quality/run_metrics"))
+    if run.checks:
+        c = spark.createDataFrame(
+            [(r["layer"], r["table_name"], r["check_name"], r["value"], r["outcome"])
+             for r in run.checks],
+            "layer string, table_name string, check_name string, value double, outcome string")
+        (c.withColumn("run_id", F.lit(run_id)).coalesce(1).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("run_id")
+         .parquet(f"{warehouse}/quality/check_results"))
