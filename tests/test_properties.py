@@ -53,6 +53,37 @@ def test_snapshot_runs_equal_rebuild(spark, log):
     for k, _, start, end in got:
         by.setdefault(k, []).append((start, end))
     for spans in by.values():
+        spans.sort(key=lambda x: x[0])
         assert sum(e is None for _, e in spans) == 1
         for (s1, e1), (s2, _) in zip(spans, spans[1:]):
             assert e1 == s2 and s1 < s2
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["x", "y", "z", "w", "v"])), max_size=40))
+def test_duplicate_count_matches_python(spark, values):
+    from collections import Counter
+
+    from tidemark.operators import dq
+    df = spark.createDataFrame([(v,) for v in values] or [(None,)], "c string")
+    want = sum(1 for v, n in Counter(v for v in values if v is not None).items() if n > 1)
+    assert dq.duplicate_count(df, ["c"]).first()["value"] == want
+
+
+moments = st.datetimes(min_value=dt.datetime(1999, 1, 1), max_value=dt.datetime(2003, 12, 31))
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(moments, moments), min_size=1, max_size=60))
+def test_whole_months_match_duckdb(spark, pairs):
+    import duckdb
+
+    from tidemark.functions import months_between_whole
+    pairs = [(min(a, b), max(a, b)) for a, b in pairs]
+    pairs = [(a.replace(microsecond=0), b.replace(microsecond=0)) for a, b in pairs]
+    df = spark.createDataFrame(pairs, "a timestamp, b timestamp")
+    got = [r[0] for r in df.select(months_between_whole("a", "b")).collect()]
+    con = duckdb.connect()
+    want = [con.execute("SELECT datesub('month', ?::TIMESTAMP, ?::TIMESTAMP)", [a, b]).fetchone()[0]
+            for a, b in pairs]
+    assert got == want
