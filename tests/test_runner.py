@@ -79,6 +79,13 @@ def test_incremental_events_equal_full_rebuild(spark):
     inc = spark.read.parquet(f"{wh}/silver/events").drop("event_date")
     got = {tuple(r) for r in inc.select(*silver.EVENT_COLUMNS).collect()}
     assert got == full
+    from tidemark.operators import conform
+    cust_full = {tuple(r) for r in conform.customers_from_bronze(
+        *(landing.read_table(spark, f"{wh}/bronze/{t}")
+          for t in ["crm_contacts", "stripe_customers", "app_users"])).collect()}
+    cust_inc = {tuple(r) for r in spark.read.parquet(f"{wh}/silver/customers")
+                .select(*conform.CUSTOMER_COLUMNS).collect()}
+    assert cust_inc == cust_full and r2.landed["app_users"] > 0
     subs_full = {tuple(r) for r in silver.subscriptions_latest(
         landing.read_table(spark, f"{wh}/bronze/app_subscriptions")).collect()}
     subs_inc = {tuple(r) for r in spark.read.parquet(f"{wh}/silver/subscriptions").collect()}
