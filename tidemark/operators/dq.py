@@ -163,13 +163,34 @@ def count_of(df: DataFrame) -> DataFrame:
 
 
 # ------------------------------------------------------------------ engine
-def _verdict(c: Check, value: Column, scale: float, error: bool = False) -> Column:
-    """One result row as a struct: the check's labels, its value, its outcome."""
-    v = value.cast("double")
-    outcome = F.lit("error") if error else outcome_of(v, c.fail, c.warn, scale)
-    return F.struct(F.lit(c.layer).alias("layer"), F.lit(c.table).alias("table_name"),
-                    F.lit(c.name).alias("check_name"), v.alias("value"),
-                    outcome.alias("outcome"))
+def _sql_text(x: str) -> str:
+    return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _cond_sql(v: str, cond: tuple | None, scale: float) -> str:
+    if cond is None:
+        return "false"
+    op, *a = cond
+    factor = scale if a and a[-1] == "scaled" else 1.0
+    a = [f"{float(x) * factor!r}D" for x in a if x != "scaled"]
+    return {
+        "gt": f"{v} > {a[0]}" if a else "", "ge": f"{v} >= {a[0]}" if a else "",
+        "lt": f"{v} < {a[0]}" if a else "", "le": f"{v} <= {a[0]}" if a else "",
+        "eq": f"{v} = {a[0]}" if a else "", "ne": f"{v} <> {a[0]}" if a else "",
+        "between": f"{v} BETWEEN {a[0]} AND {a[-1]}",
+        "not_between": f"NOT ({v} BETWEEN {a[0]} AND {a[-1]})",
+    }[op]
+
+
+def _verdict(c: Check, value_sql: str, scale: float, error: bool = False) -> Column:
+    """One result row as a struct (labels, value, outcome), built as one SQL
+    expression: a single call to the JVM per check."""
+    v = f"CAST({value_sql} AS DOUBLE)"
+    outcome = ("'error'" if error else
+               f"CASE WHEN coalesce({_cond_sql(v, c.fail, scale)}, false) THEN 'fail' "
+               f"WHEN coalesce({_cond_sql(v, c.warn, scale)}, false) THEN 'warn' ELSE 'pass' END")
+    return F.expr(f"named_struct('layer', {_sql_text(c.layer)}, 'table_name', {_sql_text(c.table)}, "
+                  f"'check_name', {_sql_text(c.name)}, 'value', {v}, 'outcome', {outcome})")
 
 
 def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequence[Check],
@@ -185,7 +206,8 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
     one = spark.range(1)
 
     def literal(c: Check, value, error: bool = False) -> DataFrame:
-        return one.select(_verdict(c, F.lit(value), scale, error).alias("r"))
+        return one.select(_verdict(c, "NULL" if value is None else f"{float(value)!r}D", scale,
+                                   error).alias("r"))
 
     by_table: dict[str, list[Check]] = {}
     for chk in checks:
@@ -205,12 +227,12 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
                          .cast("double").alias(f"m{k}") for k, c in enumerate(aggs)]
                 row = df.agg(*exprs)
                 parts.append(row.select(F.explode(F.array(*[
-                    _verdict(c, F.col(f"m{k}"), scale) for k, c in enumerate(aggs)])).alias("r")))
+                    _verdict(c, f"m{k}", scale) for k, c in enumerate(aggs)])).alias("r")))
         for c in items:
             if c.kind in GROUP_KINDS and df is not None:
                 v = duplicate_count(df, c.params.get("columns", [c.column]),
                                     c.params.get("ignore_nulls", True))
-                parts.append(v.select(_verdict(c, F.col("value"), scale).alias("r")))
+                parts.append(v.select(_verdict(c, "value", scale).alias("r")))
             elif c.kind in SCHEMA_KINDS:
                 if df is None:
                     n = float(len(c.params.get("required", []))) if c.kind == "schema" else 0.0
@@ -222,7 +244,7 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
             elif c.kind in CROSS_KINDS:
                 fn: Callable = c.params["metric"]
                 v = fn(tables, ref if c.params.get("clock") == "reference" else now)
-                parts.append(v.select(_verdict(c, F.col(v.columns[0]), scale).alias("r")))
+                parts.append(v.select(_verdict(c, f"`{v.columns[0]}`", scale).alias("r")))
 
     out = parts[0]
     for p in parts[1:]:
