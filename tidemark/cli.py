@@ -17,7 +17,7 @@ import json
 import sys
 
 from tidemark.operators import dq, rules
-from tidemark.session import build_session
+from tidemark.session import apply_cluster_defaults, build_session
 from tidemark.sources import landing
 from tidemark.sources.registry import load_registry
 
@@ -66,6 +66,8 @@ def main(argv=None) -> int:
 
     as_of = a.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     spark = build_session(a.master, None if a.master is None else 8, "tidemark-cli")
+    if a.master is None:              # launched on a cluster: large-data defaults where unset
+        apply_cluster_defaults(spark)
     registry = load_registry(a.registry)
 
     if a.cmd == "ingest":

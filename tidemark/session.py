@@ -43,6 +43,21 @@ CLUSTER_CONF = {
 }
 
 
+def apply_cluster_defaults(spark: SparkSession, conf: dict | None = None) -> dict:
+    """Set each ``CLUSTER_CONF`` entry the session has not set itself
+    (explicit cluster settings always win). Returns what was applied."""
+    applied = {}
+    for k, v in (conf or CLUSTER_CONF).items():
+        try:
+            explicit = spark.sparkContext.getConf().contains(k)
+        except Exception:  # noqa: BLE001
+            explicit = False
+        if not explicit:
+            spark.conf.set(k, v)
+            applied[k] = v
+    return applied
+
+
 def build_session(master: str | None = "local[*]", shuffle_partitions: int | None = 8,
                   app_name: str = "tidemark", extra: dict | None = None) -> SparkSession:
     """Session with the engine's settings. ``master=None`` leaves the master
