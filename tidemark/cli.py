@@ -66,8 +66,8 @@ def main(argv=None) -> int:
 
     as_of = a.as_of or dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S")
     spark = build_session(a.master, None if a.master is None else 8, "tidemark-cli")
-    if a.master is None:              # launched on a cluster: large-data defaults where unset
-        apply_cluster_defaults(spark)
+    if not spark.sparkContext.master.startswith("local"):
+        apply_cluster_defaults(spark)   # on a cluster: large-data defaults where unset
     registry = load_registry(a.registry)
 
     if a.cmd == "ingest":
