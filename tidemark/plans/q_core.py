@@ -117,3 +117,18 @@ def q_ltv_top(spark, sf_dir):
     """O1 / O3: the twenty people with the highest lifetime value (a top-n
     report: the limit is the feature; ties broken by every other column)."""
     return gold.report(lake(spark, sf_dir).mart_ltv, "mart_ltv", limit=20)
+
+
+@register("scd2_all_changes", build("""
+SELECT subscription_id, account_id, plan, status, sub_started_at, sub_updated_at, _ingested_at,
+       md5(subscription_id || '|' || CAST(epoch_us(sub_updated_at) AS VARCHAR)) AS scd_id,
+       sub_updated_at AS valid_from,
+       lead(sub_updated_at) OVER (PARTITION BY subscription_id ORDER BY sub_updated_at) AS valid_to
+FROM sub_log WHERE subscription_id IS NOT NULL AND sub_updated_at IS NOT NULL
+"""))
+def q_scd_all_changes(spark, sf_dir):
+    """M8b / W4 without run grouping: every landed change is a version. The
+    successor comes from the range-partitioned scan (no window over a whole
+    key), so a subscription with a huge share of the changes is split."""
+    return scd2.history_from_log(lake(spark, sf_dir).subscription_log, "subscription_id",
+                                 "sub_updated_at")
