@@ -7,7 +7,16 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tidemark.plans.queries import ORACLE, QUERIES
+
+
+def queries():
+    return QUERIES
+
+
+def oracle_sql():
+    return ORACLE
 
 SF = os.environ.get("TIDEMARK_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
