@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from tidemark.llm import bpe
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm.common import table
 
+WORD_BPE = "word_bpe_49k.json"
+BYTE_BPE = "byte_bpe_50k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
@@ -19,6 +22,17 @@ def query(fn):
     return fn
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_encode(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), texts=False)
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
