@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe
 from tidemark.llm import exact_dedup as exact
+from tidemark.llm import quality
 from tidemark.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -45,3 +46,8 @@ SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
        doc_id = max(doc_id) OVER g AS kept, sha256(t) AS text_sha256
 FROM n WINDOW g AS (PARTITION BY t)
 """
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
