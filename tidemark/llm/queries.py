@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe
 from tidemark.llm import exact_dedup as exact
-from tidemark.llm import quality, simhash
+from tidemark.llm import quality, simhash, substrings
 from tidemark.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -34,6 +34,11 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_encode(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE), texts=False)
 
 
+@query
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
