@@ -365,7 +365,8 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, sha
     marks = []
     for gram in _grams(length):
         segs = store(source.mapInArrow(_segment(to_arrow_schema(seg_type), gram, length), seg_type), "segments")
-        twice = segs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
+        # written, so that the joins deal out both sides themselves and can split a hot anchor
+        twice = store(segs.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor"), "anchors")
         again = store(segs.join(twice, "anchor", "left_semi"), "again")
         kinds = store(again.groupBy("anchor", "digest").agg(
             F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "key", "base", "start", "size")]), "kinds")
@@ -373,7 +374,7 @@ def repeated_spans(docs: DataFrame, id_col: str, text_col: str, length: int, sha
         marks.append(again.join(whole, ["anchor", "digest"], "left_semi").select(*span))
         if gram == length:  # the anchor is the window: counts tell all
             break
-        many = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes")).filter("kinds > 1")
+        many = store(kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum("size").alias("bytes")).filter("kinds > 1"), "anchors")
         chosen = kinds.join(many, "anchor")
         if chosen.isEmpty():
             break
