@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bpe
 from tidemark.llm import exact_dedup as exact
-from tidemark.llm import packing, quality, simhash, substrings
+from tidemark.llm import packing, quality, simhash, substrings, token_counts
 from tidemark.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -49,6 +49,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+@query
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
