@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import bpe
+from tidemark.llm import bpe, chat, language, neighbours, packing, quality, simhash, substrings, token_counts
 from tidemark.llm import exact_dedup as exact
-from tidemark.llm import packing, quality, simhash, substrings, token_counts
 from tidemark.llm.common import table
 
 WORD_BPE = "word_bpe_49k.json"
@@ -44,11 +44,24 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held = quality.held_out(F.col("doc_id"), 4, 2)
+    found = language.identify(docs, docs.filter(~held))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(WORD_BPE))
 
 
+@query
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 @query
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
@@ -68,6 +81,42 @@ FROM n WINDOW g AS (PARTITION BY t)
 """
 
 
+@query
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op_query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLE["op6_neighbours"] = """
+WITH good AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+              WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+all_pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+              FROM good q JOIN good c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM all_pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
+
+ORACLE["op9_chat"] = """
+WITH said AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations),
+placed AS (SELECT conv_id, role, text,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text)) - 1 AS pos FROM said),
+seen AS (SELECT p.conv_id, w.speaker, (p.pos // 64)::INT AS piece, p.pos, p.role = w.speaker AS mine, p.text,
+           CASE WHEN p.role = w.speaker THEN '<|assistant|>' ELSE '<|user:' || p.role || '|>' END || chr(10) AS head
+         FROM placed p JOIN (SELECT DISTINCT conv_id, role AS speaker FROM said) w
+           ON p.conv_id IS NOT DISTINCT FROM w.conv_id),
+sized AS (SELECT *, coalesce(sum(length(head) + length(text) + 8) OVER (
+             PARTITION BY conv_id, speaker, piece ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS begun
+          FROM seen)
+SELECT conv_id, speaker, piece, count(*)::INT AS n_turns,
+       string_agg(head || text || '<|end|>' || chr(10), '' ORDER BY pos) AS rendered,
+       coalesce(string_agg(CASE WHEN mine THEN (begun + length(head))::VARCHAR || ':' || (length(text) + 7)::VARCHAR END, ','
+                           ORDER BY pos), '') AS mask,
+       coalesce(sum(CASE WHEN mine THEN length(text) + 7 END), 0)::INT AS n_masked
+FROM sized GROUP BY conv_id, speaker, piece
+"""
