@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch, pieces_of
+from tidemark.llm.common import batch, pieces_of, text_batches, worker_cache
 
 CACHE_WORDS = 500_000
 LOW_SEPARATORS = regex.compile("[\x1c-\x1f]")  # str.split() takes these for white space, the tokenizer doesn't
@@ -296,14 +296,9 @@ class SpeculativeBPE:
         return " ".join([self.token[int(i)] for i in ids])
 
 
-_LOADED: dict[str, SpeculativeBPE] = {}
-
-
 def encoder(path: str) -> SpeculativeBPE:
     """The Python worker's encoder for a file, read once."""
-    if path not in _LOADED:
-        _LOADED[path] = SpeculativeBPE(path)
-    return _LOADED[path]
+    return worker_cache(("bpe", path), lambda: SpeculativeBPE(path))
 
 
 def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -317,7 +312,7 @@ def bpe_encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     row per input row, repeated rows and null ids included; an empty table
     gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = T.StructType([T.StructField("id", rows.schema["id"].dataType), T.StructField("n_tokens", T.LongType()),
                         T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())]
                        + [T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())] * texts)

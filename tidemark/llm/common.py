@@ -14,6 +14,31 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: rows of whole texts that go to a Python worker at once
+ROWS_AT_ONCE = 1000
+_OWNER: list = [None, None]
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, after making sure that its session hands rows over to Python
+    in batches of at most ``ROWS_AT_ONCE``: texts are long, and a batch is
+    held several times over on its way."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(conf.get(key, "10000"))
+    if now <= 0 or now > ROWS_AT_ONCE:
+        conf.set(key, str(ROWS_AT_ONCE))
+    return df
+
+
+def worker_cache(name, make):
+    """What ``make()`` gave for ``name`` in this Python worker. One thing at a
+    time is kept: a worker that goes on to another operator lets go of it."""
+    if _OWNER[0] != name:
+        _OWNER[:] = None, None
+        _OWNER[:] = name, make()
+    return _OWNER[1]
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch, store
+from tidemark.llm.common import batch, store, text_batches
 
 PREFIX_BYTES = 24
 
@@ -123,7 +123,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     cols = [F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")]
     if carry:
         cols += [F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(names) if c not in (id_col, text_col)]
-    rows = docs.select(*cols)
+    rows = text_batches(docs).select(*cols)
     keyed = T.StructType(rows.schema.fields + [T.StructField("opening", T.BinaryType()),
                                                T.StructField("digest", T.BinaryType())])
     key = ["opening", "digest", "id"]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch
+from tidemark.llm.common import batch, text_batches, worker_cache
 
 LETTERS = 200  # most different letters of an alphabet
 CHUNK = 2048  # symbols parsed in one go; a phrase never crosses a chunk
@@ -140,9 +140,6 @@ class CrossParser:
         return out
 
 
-_PARSERS: dict[int, CrossParser] = {}
-
-
 def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, excerpt: int) -> dict[str, list[str]]:
     """Texts by language; at most ``per_lang`` * ``excerpt`` characters of each
     language reach the driver."""
@@ -173,17 +170,14 @@ def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col
     """
     samples = learning_sample(learn, id_col, text_col, lang_col, per_lang, excerpt)
     learn_chars = max(1000, min(learn_chars, 400_000 // max(1, len(samples))))
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = T.StructType([rows.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(out)
 
     mark = hash(repr(samples))
 
     def run(batches):
-        if mark not in _PARSERS:  # once in a Python worker
-            _PARSERS.clear()
-            _PARSERS[mark] = CrossParser(samples, learn_chars)
-        parser = _PARSERS[mark]
+        parser = worker_cache(("cross-parser", mark), lambda: CrossParser(samples, learn_chars))
         for b in batches:
             texts = b.column(1).to_pylist()
             part = np.cumsum([len(t or "") for t in texts]) // BATCH_CHARS

@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.bpe import CACHE_WORDS, encoder
-from tidemark.llm.common import batch, pieces_of, store
+from tidemark.llm.bpe import CACHE_WORDS, SpeculativeBPE
+from tidemark.llm.common import batch, pieces_of, store, text_batches, worker_cache
 
 #: pieces of one length ranked by one task, about
 RANKED = 100_000
@@ -35,7 +35,7 @@ class LibraryIds:
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
-        own = encoder(path)
+        own = SpeculativeBPE(path)
         tokenize = Tokenizer.from_file(path).model.tokenize
         find, table, four = own.words.findall, own.to_chars, own.four
 
@@ -63,13 +63,8 @@ class LibraryIds:
         return b"".join(out)
 
 
-_LOADED: dict[str, LibraryIds] = {}
-
-
 def library_ids(path: str) -> LibraryIds:
-    if path not in _LOADED:
-        _LOADED[path] = LibraryIds(path)
-    return _LOADED[path]
+    return worker_cache(("library ids", path), lambda: LibraryIds(path))
 
 
 def pack_patterns(histogram: dict[int, int], capacity: int) -> list[tuple[int, tuple[int, ...]]]:
@@ -117,7 +112,7 @@ def places(patterns: list[tuple[int, tuple[int, ...]]], capacity: int) -> tuple[
 
 def cut_documents(docs: DataFrame, path: str, id_col: str, text_col: str, capacity: int, end_id: int) -> DataFrame:
     """(id, start, length, ids_crc32, doc_tokens) per piece."""
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = T.StructType([rows.schema["id"], T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
                         T.StructField("ids_crc32", T.LongType()), T.StructField("doc_tokens", T.LongType())])
     schema, end, step = to_arrow_schema(out), end_id.to_bytes(4, "little"), 4 * capacity

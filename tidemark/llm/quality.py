@@ -19,15 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch, pieces_of
+from tidemark.llm.common import batch, pieces_of, text_batches, worker_cache
 
 BITS = 18
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
 WORDS = regex.compile(r"[\p{L}\p{M}]+|\p{N}+|[^\s\p{L}\p{M}\p{N}]+")
-_CODES: dict[str, np.ndarray] = {}
 
 
-def _codes(run: str) -> np.ndarray:
+def _codes(run: str) -> bytes:
     """Word hashes of a white-space-free run: letters in lower case (all
     capitals keep a mark), digits by their number, signs by their first two."""
     out = []
@@ -41,16 +40,15 @@ def _codes(run: str) -> np.ndarray:
         out.append(xxhash.xxh64_intdigest(w))
         if w[0] == "^":
             out.append(xxhash.xxh64_intdigest("^"))
-    return np.array(out, np.uint64)
+    return np.array(out, "<u8").tobytes()
 
 
 def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     """Distinct feature numbers and their values (1 + log count, scaled to
     length one) of a text's words and word pairs (all pairs of a word with
     itself are one feature); feature 0 is the bias."""
-    counts: dict = {}
-    cache = _CODES
-    if len(cache) > CACHE_WORDS:
+    cache = worker_cache("word hashes", dict)
+    if len(cache) > CACHE_WORDS:  # the older half stays: mostly the frequent words
         for w in list(cache)[CACHE_WORDS // 2:]:
             del cache[w]
     found = []
@@ -58,8 +56,8 @@ def features(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray
         runs = piece.split()
         for r in set(runs).difference(cache):
             cache[r] = _codes(r)
-        found += [cache[r] for r in runs]
-    h = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        found.append(b"".join(map(cache.__getitem__, runs)))
+    h = np.frombuffer(b"".join(found), "<u8").astype(np.uint64)
     pairs = h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]
     pairs[h[:-1] == h[1:]] = 0  # any word said twice running
     h = np.concatenate([h, pairs ^ (pairs >> np.uint64(29))])
@@ -131,22 +129,23 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
     text alone, so repeated rows score alike. An empty table gives an empty
     result.
     """
-    cols = docs.columns if carry else [id_col]
-    rows = docs.select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(cols)], F.col(f"`{text_col}`").alias("text"))
-    n = len(cols)
+    cols = docs.columns if carry else [id_col, text_col]
+    rows = text_batches(docs).select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(cols)])
+    at = cols.index(text_col)
+    n = len(cols) if carry else 1
     out = T.StructType(rows.schema.fields[:n] + [T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(out)
 
     def run(batches):
         for b in batches:
             scores = []
-            for text in b.column(n):
+            for text in b.column(at):
                 i, v = features(text.as_py(), bits)
                 scores.append(float(sigmoid(float(weights[i] @ v))))
             yield batch(schema, *b.columns[:n], pa.array(scores, pa.float64()))
 
     scored = rows.mapInArrow(run, out)
-    return scored.select(*[F.col(f"x{i}").alias(c) for i, c in enumerate(cols)],
+    return scored.select(*[F.col(f"x{i}").alias(c) for i, c in enumerate(cols[:n])],
                          F.col("score").alias("_score" if carry else "score"))
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch, store
+from tidemark.llm.common import batch, store, text_batches
 
 SEED = 42
 #: most fingerprints of one block value that one task walks in one piece
@@ -52,7 +52,7 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = T.StructType([rows.schema["id"], T.StructField("fp", T.LongType())])
     schema = to_arrow_schema(out)
 

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from tidemark.llm.common import batch, store
+from tidemark.llm.common import batch, store, text_batches
 
 SHARD = 1 << 20
 MERGED = 4
@@ -431,7 +431,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cols = docs.columns if carry else []
     extra = [F.col(f"`{c}`").alias(f"x{k}") for k, c in enumerate(cols) if c != text_col]
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
-    rows = docs.select(i.alias("id"), F.xxhash64(i, t).alias("key"), t.cast("binary").alias("data"), *extra)
+    rows = text_batches(docs).select(i.alias("id"), F.xxhash64(i, t).alias("key"), t.cast("binary").alias("data"), *extra)
     spans = (repeated_spans(docs, id_col, text_col, length, shard, merged)
              .groupBy("id", "key").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
     joined = rows.join(spans.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans"),

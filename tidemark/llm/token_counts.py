@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.bpe import Merges, byte_alphabet
-from tidemark.llm.common import batch
+from tidemark.llm.common import batch, text_batches, worker_cache
 
 CHUNK = 512
 BATCH_CHARS = 1 << 20
@@ -273,13 +273,8 @@ class TokenCounter:
         return extra + np.bincount(np.array(of)[doc], weights=n, minlength=len(texts)).astype(np.int64)
 
 
-_LOADED: dict[str, TokenCounter] = {}
-
-
 def counter(path: str) -> TokenCounter:
-    if path not in _LOADED:
-        _LOADED[path] = TokenCounter(path)
-    return _LOADED[path]
+    return worker_cache(("token counter", path), lambda: TokenCounter(path))
 
 
 def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
@@ -289,7 +284,7 @@ def token_counts(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     Null counts as empty: no bytes, no tokens. Repeated rows and null ids are
     kept; an empty table gives an empty result; other columns are ignored.
     """
-    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
+    rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     out = T.StructType([rows.schema["id"], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()),
                         T.StructField("over_limit", T.BooleanType())])
     schema = to_arrow_schema(out)
