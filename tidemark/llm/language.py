@@ -108,6 +108,8 @@ class CrossParser:
         """Bits by language and text, and the number of letters of each text."""
         found = [self.symbols(t) for t in texts]
         letters = np.array([int((s != GAP).sum()) for s in found], np.int64)
+        if not self.langs:
+            return np.zeros((0, len(texts))), letters
         lanes = [(k, s[a:a + CHUNK]) for k, s in enumerate(found) for a in range(0, len(s), CHUNK)]
         lanes.sort(key=lambda x: -len(x[1]))
         size = np.array([len(s) for _, s in lanes], np.int64)
