@@ -90,3 +90,68 @@ def test_incremental_events_equal_full_rebuild(spark):
         landing.read_table(spark, f"{wh}/bronze/app_subscriptions")).collect()}
     subs_inc = {tuple(r) for r in spark.read.parquet(f"{wh}/silver/subscriptions").collect()}
     assert subs_inc == subs_full
+
+
+def test_reruns_backfills_and_refresh_keep_everything(spark):
+    from tidemark.plans.runner import read_snapshot
+    reg, paths = write_sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    run = lambda as_of, **kw: run_pipeline(spark, reg, wh, as_of, gate_layers=(), **kw)
+    versions = lambda: read_snapshot(spark, f"{wh}/snapshots/scd_subscriptions").count()
+    n = run("2001-09-01 00:00:00").rows["subscriptions"]
+    change = (spark.read.parquet(paths["subs"]).orderBy("subscription_id", F.col("updated_at").desc()).limit(1)
+              .withColumn("plan", F.lit("enterprise"))
+              .withColumn("updated_at", F.lit(dt.datetime(2001, 9, 2)).cast("timestamp_ntz"))).collect()
+    schema = spark.read.parquet(paths["subs"]).schema
+    spark.createDataFrame(change, schema).write.mode("append").parquet(paths["subs"])
+    from tidemark.sources import landing
+    landing.ingest(spark, reg, wh, names=["app_subscriptions"], run_ts="2001-09-02T12:00:00+00:00")   # no run follows
+    r = run("2001-09-03 00:00:00")
+    assert r.landed["app_subscriptions"] == 0 and versions() == n + 1      # landed earlier, merged now
+    run("2001-09-03 00:00:00")
+    assert versions() == n + 1                                             # the same run again
+    run("2001-08-01 00:00:00")
+    run("2001-09-04 00:00:00")
+    assert versions() == n + 1                                             # an older clock, and on
+    run("2001-09-05 00:00:00", full_refresh=True)
+    assert versions() == n + 1                                             # history outlives a refresh
+    subs = spark.read.parquet(f"{wh}/silver/subscriptions")
+    assert subs.count() == n and subs.filter("plan = 'enterprise' AND sub_updated_at = '2001-09-02'").count() == 1
+    gone = spark.read.parquet(paths["subs"]).filter(F.col("subscription_id").cast("long") % 2 == 0)
+    half = scratch_path(spark, "src-half")
+    gone.write.parquet(half)
+    reg["app_subscriptions"]["path"] = half
+    run("2001-09-06 00:00:00", full_refresh=True, reset_history=True)
+    assert spark.read.parquet(f"{wh}/silver/subscriptions").count() == versions() < n   # no stale state
+
+
+def test_missing_table_is_an_error_verdict(spark):
+    reg, _ = write_sources(spark)
+    import tidemark.operators.rules as rules
+    wh = scratch_path(spark, "warehouse")
+    lost = rules.checks_for("gold")[0]
+    fake = [type(lost)(**{**lost.__dict__, "table": "no_such_table"})]
+    old = rules.checks_for
+    rules.checks_for = lambda layer: fake
+    try:
+        r = run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", gate_layers=("gold",))
+    finally:
+        rules.checks_for = old
+    assert r.gates == {"gold": "error"} and [c["outcome"] for c in r.checks] == ["error"]
+
+
+def test_hot_day_of_events_is_split(spark):
+    from tidemark.plans.runner import _events_run
+    from tidemark.sources import adapter
+    bronze = adapter.bronze_app_events(spark, SF).withColumn("timestamp", F.when(
+        F.col("event_id").cast("long") % 3 == 0, F.lit("2001-01-01 10:00:00")).otherwise(F.col("timestamp")))
+    path, rows = scratch_path(spark, "silver-events"), {}
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4k")
+    try:
+        got = _events_run(spark, bronze, path, rows)
+        hot = got.filter("event_date = '2001-01-01'")
+        assert len(hot.inputFiles()) > 1 and got.count() == got.select("event_id").distinct().count()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -114,3 +114,24 @@ def test_history_invariants(spark, partitions):
         assert sum(r["valid_to"] is None for r in vs) == 1          # exactly one open version
         for a, b in zip(vs, vs[1:]):
             assert a["valid_to"] == b["valid_from"]                 # no gaps, no overlaps
+
+
+def test_next_value_far_dates_big_integers_and_nulls(spark):
+    from tidemark.operators.sequence import next_within_key
+    far = dt.datetime(9999, 12, 31)
+    df = spark.createDataFrame([("a", dt.datetime(2001, 1, 1), 9007199254740993), ("a", far, None), (None, far, 5),
+                                ("a", dt.datetime(2001, 1, 1, 1), 1)], "k string, t timestamp, n long")
+    got = {(r["k"], r["t"], r["n"]): r["next_t"] for r in next_within_key(df, "k", "t").collect()}
+    assert got == {("a", dt.datetime(2001, 1, 1), 9007199254740993): dt.datetime(2001, 1, 1, 1),
+                   ("a", dt.datetime(2001, 1, 1, 1), 1): far, ("a", far, None): None, (None, far, 5): None}
+    by_n = {r["n"]: r["next_n"] for r in next_within_key(df.filter("k = 'a'"), "k", "n").collect()}
+    assert by_n == {None: 1, 1: 9007199254740993, 9007199254740993: None}
+    plan = next_within_key(df, "k", "t")._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Pandas" not in plan
+
+
+def test_history_of_a_log_with_key_and_time_only(spark):
+    t = [dt.datetime(2001, 1, d) for d in (1, 1, 2)]
+    log = spark.createDataFrame([("s", x) for x in t], "k string, t timestamp")
+    got = sorted((r["valid_from"], r["valid_to"]) for r in scd2.history_from_log(log, "k", "t").collect())
+    assert got == [(t[0], t[2]), (t[2], None)]

@@ -60,6 +60,7 @@ def main(argv=None) -> int:
             p.add_argument("--reference-now", default=None)
         if name == "run":
             p.add_argument("--full-refresh", action="store_true")
+            p.add_argument("--reset-history", action="store_true")
         if name == "check":
             p.add_argument("--layer", required=True, choices=["bronze", "silver", "gold"])
     a = ap.parse_args(argv)
@@ -79,13 +80,14 @@ def main(argv=None) -> int:
         return 0
     if a.cmd == "run":
         from tidemark.plans.runner import run_pipeline
-        run = run_pipeline(spark, registry, a.warehouse, as_of, full_refresh=a.full_refresh,
+        run = run_pipeline(spark, registry, a.warehouse, as_of, full_refresh=a.full_refresh, reset_history=a.reset_history,
                            scale=a.scale, reference_now=a.reference_now)
         print(json.dumps({"landed": run.landed, "rows": run.rows, "gates": run.gates,
                           "pass_rate": run.pass_rate}, default=str))
-        return 2 if "fail" in run.gates.values() else 0
+        return 2 if "fail" in run.gates.values() else 3 if "error" in run.gates.values() else 0
     tables = stored_tables(spark, registry, a.warehouse)
-    checks = [c for c in rules.checks_for(a.layer) if c.table in tables]
+    wanted = rules.checks_for(a.layer)
+    checks = [c for c in wanted if c.table in tables]
     if not checks:
         print("no check results", file=sys.stderr)
         return 3
@@ -93,7 +95,7 @@ def main(argv=None) -> int:
     rows = [r.asDict() for r in res.collect()]          # one row per check
     for r in rows:
         print(json.dumps(r, default=str))
-    counts: dict[str, int] = {}
+    counts: dict[str, int] = {"error": len(wanted) - len(checks)}     # their table is missing
     for r in rows:
         counts[r["outcome"]] = counts.get(r["outcome"], 0) + 1
     try:

@@ -26,6 +26,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     order = [as_col(c) for c in order_by]
     if not order:   # any copy will do, but always the same one
         order = [F.col(f"`{c}`").asc_nulls_last() for c in df.columns if c not in keys]
+    if not order:   # nothing but the key: copies are the same row
+        return df.dropDuplicates(list(keys))
     w = Window.partitionBy(*[as_col(k) for k in keys]).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)
 

@@ -75,31 +75,11 @@ def snapshot_timestamp(previous: DataFrame | None, source: DataFrame, key: str,
                        updated_at: str) -> DataFrame:
     """One snapshot run (M8). ``previous`` is the snapshot so far (or None
     on the first run); ``source`` has one row per key (silver)."""
-    payload = source.columns
     if previous is None:
-        return _with_scd(source, key, updated_at, F.lit(None).cast("timestamp")).select(
-            *payload, *SCD_COLUMNS)
+        return snapshot_changes(None, source, key, updated_at)[0]
     closed = previous.filter(F.col("valid_to").isNotNull())
-    open_rows = previous.filter(F.col("valid_to").isNull())
-    o = open_rows.select([F.col(c).alias(f"o__{c}") for c in open_rows.columns])
-    s = source.select([F.col(c).alias(f"s__{c}") for c in payload])
-    j = o.join(s, F.col(f"o__{key}") == F.col(f"s__{key}"), "full_outer")
-    o_upd, s_upd = F.col(f"o__{updated_at}"), F.col(f"s__{updated_at}")
-    has_o, has_s = F.col(f"o__{key}").isNotNull(), F.col(f"s__{key}").isNotNull()
-    newer = has_o & has_s & (s_upd > o_upd)
-
-    kept_open = j.filter(has_o & ~F.coalesce(newer, F.lit(False))).select(
-        [F.col(f"o__{c}").alias(c) for c in open_rows.columns])
-    closing = j.filter(newer).select(
-        *[F.col(f"o__{c}").alias(c) for c in payload],
-        F.col("o__scd_id").alias("scd_id"), F.col("o__valid_from").alias("valid_from"),
-        s_upd.alias("valid_to"))
-    opened = _with_scd(
-        j.filter(newer | (has_s & ~has_o)).select([F.col(f"s__{c}").alias(c) for c in payload]),
-        key, updated_at, F.lit(None).cast("timestamp"))
-    cols = [*payload, *SCD_COLUMNS]
-    return (closed.select(cols).unionByName(kept_open.select(cols))
-            .unionByName(closing.select(cols)).unionByName(opened.select(cols)))
+    opened, closing = snapshot_changes(previous.filter(F.col("valid_to").isNull()), source, key, updated_at)
+    return closed.select(opened.columns).unionByName(opened).unionByName(closing)
 
 
 def history_from_log(log: DataFrame, key: str, updated_at: str,
@@ -120,8 +100,8 @@ def history_from_log(log: DataFrame, key: str, updated_at: str,
     has at most one row per landing run, a bound set by the schedule, not
     by the data: two windows over the key (one shuffle) finish the job.
     Without ``batch`` the number of versions per key is unbounded, so the
-    next version comes from ``sequence.next_within_key``: a range-partitioned
-    sorted scan that splits a hot key over many tasks.
+    next version comes from ``sequence.next_within_key``, which splits a hot
+    key by time.
     """
     order_tail = [F.col(c).asc_nulls_last() for c in tie_break]
     df = log.filter(F.col(key).isNotNull() & F.col(updated_at).isNotNull())

@@ -1,91 +1,47 @@
-"""Next value within a key, for groups of any size (skew-proof ``lead``).
+"""The next value within a key, for keys of any size (W4 without a bound).
 
-``lead(ts) over (partition by key order by ts)`` puts a whole key in one
-task. Here the rows are range-partitioned on (key, ts) instead: Spark
-samples the distribution, so a key holding a third of the rows is spread
-over many partitions by its own time range. Each partition is sorted and
-scanned once in Arrow batches (``mapInPandas``), which gives every row the
-next timestamp of its key inside the partition. The last row of a
-partition takes the first row of the next non-empty partition when that row
-has the same key: the border table has at most one row per partition, a
-bound set by the partition count, not by the data.
-
-The range-partitioned scan result is checkpointed (reliable checkpoint in
-the shared folder) before its two uses, so both see the same partition
-boundaries even if a stage is recomputed.
+``lead`` over the whole key would put a key that holds a third of the rows
+into one task. The key's rows are therefore cut into buckets of consecutive
+values (a day for times); ``lead`` runs within (key, bucket), and the last
+row of a bucket takes the least value of the key's next bucket: one row per
+(key, bucket), reduced map-side. Built-ins only, exact for every type.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import shared_dir
-
-
-def next_within_key(df: DataFrame, key: str, ts: str, out: str = "next_ts",
-                    partitions: int | None = None) -> DataFrame:
-    """``df`` plus ``out`` = the next greater-or-equal-ordered ``ts`` of the
-    same ``key`` (NULL for the key's last row). Rows must be unique on
-    (key, ts)."""
-    spark = df.sparkSession
-    shared_dir(spark)                      # checkpoints go to the cluster's shared folder
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ts_type = df.schema[ts].dataType
-    ranged = df.repartitionByRange(n, F.col(key), F.col(ts)).sortWithinPartitions(key, ts)
-    fields = list(df.schema.fields) + [
-        T.StructField(out, ts_type, True),
-        T.StructField("_pid", T.IntegerType(), False),
-        T.StructField("_first", T.BooleanType(), False),
-        T.StructField("_last", T.BooleanType(), False),
-    ]
-    schema = T.StructType(fields)
-
-    def scan(batches):
-        import pandas as pd
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        pending = None
-        first = True
-
-        def finish(pdf, last):
-            nk, nt = pdf[key].shift(-1), pdf[ts].shift(-1)
-            pdf[out] = nt.where(nk == pdf[key])
-            pdf["_pid"] = pid
-            pdf["_first"] = False
-            pdf["_last"] = False
-            if last:
-                pdf.loc[pdf.index[-1], "_last"] = True
-            return pdf
-
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if pending is not None:
-                pdf = pd.concat([pending, pdf], ignore_index=True)
-            pending = pdf.iloc[[-1]].reset_index(drop=True)
-            body = pdf.iloc[:-1].reset_index(drop=True)
-            if len(body):
-                # the successor of the body's last row is the held-back row
-                body = finish(pd.concat([body, pending], ignore_index=True), False).iloc[:-1]
-                if first:
-                    body.loc[body.index[0], "_first"] = True
-                    first = False
-                yield body
-        if pending is not None:
-            tail = finish(pending.copy(), True)
-            if first:
-                tail.loc[tail.index[0], "_first"] = True
-            yield tail
-
-    scanned = ranged.mapInPandas(scan, schema).checkpoint()
-    # first row of each partition, and for each partition the first row of the next one
-    firsts = scanned.filter("_first").select("_pid", F.col(key).alias("_fk"), F.col(ts).alias("_fts"))
-    order = Window.orderBy("_pid")      # at most one row per partition
-    borders = firsts.select(F.col("_pid"), F.lead("_fk").over(order).alias("_nk"),
-                            F.lead("_fts").over(order).alias("_nts"))
-    joined = scanned.join(F.broadcast(borders), "_pid", "left")
-    fixed = F.when(F.col("_last") & (F.col(key) == F.col("_nk")), F.col("_nts")).otherwise(F.col(out))
-    return joined.withColumn(out, fixed).drop("_pid", "_first", "_last", "_nk", "_nts")
+DAY_MICROS = 86_400_000_000
+
+
+def order_bucket(dtype: T.DataType, column: Column, width: int | None = None) -> Column:
+    """A coarse value that never falls while ``column`` rises: time and whole
+    numbers by ``width`` (a day, 65,536), text by its first characters."""
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
+        return F.floor(F.unix_micros(column.cast("timestamp")).cast("decimal(20,0)") / F.lit(width or DAY_MICROS))
+    if isinstance(dtype, T.DateType):
+        return F.floor(F.unix_date(column) / F.lit(width or 31))
+    if isinstance(dtype, T.StringType):
+        return F.substring(column, 1, width or 8)
+    return F.floor(column.cast("decimal(38,6)") / F.lit(width or 65_536))
+
+
+def next_within_key(df: DataFrame, key: str, order: str, out: str | None = None,
+                    partitions: int | None = None, width: int | None = None) -> DataFrame:
+    """``df`` with ``out`` (``next_<order>``): the next ``order`` value of the
+    same key, NULL at its end; rows of equal value follow one another. NULL
+    values come first; NULL keys are one key. ``partitions`` fixes the width
+    of the shuffle by (key, bucket)."""
+    out = out or f"next_{order}"
+    value = F.col(f"`{order}`")
+    rows = df.withColumn("_bucket", order_bucket(df.schema[order].dataType, value, width))
+    if partitions:
+        rows = rows.repartition(partitions, F.col(f"`{key}`"), F.col("_bucket"))
+    k = F.col(f"`{key}`")
+    inside = rows.withColumn(out, F.lead(value).over(Window.partitionBy(k, "_bucket").orderBy(value.asc_nulls_first())))
+    borders = (rows.groupBy(k.alias("_b_key"), F.col("_bucket").alias("_b_bucket")).agg(F.min(value).alias("_first"))
+               .withColumn("_after", F.lead("_first").over(Window.partitionBy("_b_key").orderBy(F.col("_b_bucket").asc_nulls_first()))))
+    joined = inside.join(borders, k.eqNullSafe(F.col("_b_key")) & F.col("_bucket").eqNullSafe(F.col("_b_bucket")))
+    return joined.withColumn(out, F.coalesce(F.col(f"`{out}`"), F.col("_after"))).select(*[F.col(f"`{c}`") for c in df.columns], F.col(f"`{out}`"))

@@ -28,7 +28,7 @@ def write_crm_csv(spark, sf_dir) -> str:
     """The CRM export as a CSV file set (whitespace kept as exported)."""
     path = scratch_path(spark, "src-crm-csv")
     src = adapter.crm_contacts_source(adapter.people(spark, sf_dir))
-    (src.write.option("header", True)
+    (src.write.option("header", True).option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path))
     return path
@@ -40,6 +40,27 @@ def q_scan_csv(spark, sf_dir):
     return read_csv_strings(spark, write_crm_csv(spark, sf_dir))
 
 
+@register("scan_csv_quoted", """
+SELECT CAST(c_custkey AS VARCHAR) AS "_c0",
+       CASE CAST(c_custkey AS BIGINT) % 5 WHEN 0 THEN 'Al "The" ' || c_name WHEN 1 THEN c_name || chr(10) || 'second line'
+            WHEN 2 THEN c_name || '\\' WHEN 3 THEN 'a,b ' || c_name ELSE NULL END AS "_c1",
+       c_mktsegment AS "_c2"
+FROM customer
+""".replace("\\\\", "\\"))
+def q_scan_csv_quoted(spark, sf_dir):
+    """CSV as other tools export it: doubled quotes, a line break inside
+    a field, a backslash before the closing quote, null tokens."""
+    path = scratch_path(spark, "src-quoted-csv")
+    key, name = F.col("c_custkey"), F.col("c_name")
+    field = (F.when(key % 5 == 0, F.concat(F.lit('"Al ""The"" '), name, F.lit('"')))
+             .when(key % 5 == 1, F.concat(F.lit('"'), name, F.lit('\nsecond line"')))
+             .when(key % 5 == 2, F.concat(F.lit('"'), name, F.lit('\\"')))
+             .when(key % 5 == 3, F.concat(F.lit('"a,b '), name, F.lit('"'))).otherwise(F.lit("NA")))
+    customers = adapter.read_driver_table(spark, sf_dir, "customer")
+    customers.select(F.concat_ws(",", key.cast("string"), field, "c_mktsegment")).write.text(path)
+    return read_csv_strings(spark, path, ["NA"], header=False, multiLine=True)
+
+
 @register("land_full", build("SELECT * FROM bronze_crm_contacts"))
 def q_land_full(spark, sf_dir):
     """Registry-driven full load of the CSV source."""
@@ -124,21 +145,26 @@ SELECT DISTINCT event_id, event_type, anonymous_id, user_id, TRY_CAST("timestamp
 FROM bronze_app_events
 """))
 def q_stream_dedupe(spark, sf_dir):
-    """Landed event copies de-duplicated by a stream with bounded state;
-    the re-landed copies arrive in a later trigger."""
+    """Event copies de-duplicated by a stream. The second trigger brings
+    re-landed copies, old and recent, and ids never seen that are older than
+    anything of the first; the third starts from a new checkpoint over all
+    files. Every id comes out once."""
     bronze = adapter.bronze_app_events(spark, sf_dir)
     first_run = F.col("_ingested_at") == F.min("_ingested_at").over(Window.partitionBy("event_id"))
-    marked = bronze.withColumn("_first", first_run)
+    late_id = F.col("event_id").cast("long") % 10 == 3
+    marked = bronze.withColumn("_first", first_run & ~late_id)
     src_path = scratch_path(spark, "src-events-bronze")
     target = scratch_path(spark, "silver-events-stream")
-    ckpt = scratch_path(spark, "ckpt-events-dedupe")
     cols = ["event_id", "event_type", "anonymous_id", "user_id", "event_at"]
-    marked.filter("_first").drop("_first").write.parquet(src_path)
+    first = marked.filter("_first").drop("_first")
+    first.union(first.filter(F.col("event_id").cast("long") % 7 == 0)).write.parquet(src_path)   # copies in one trigger
     schema = spark.read.parquet(src_path).schema
+    ckpt = scratch_path(spark, "ckpt-events-dedupe")
     streams.run_to_end(streams.dedupe_stream(spark, src_path, schema, target, ckpt, cols))
     marked.filter("NOT _first").drop("_first").write.mode("append").parquet(src_path)
     streams.run_to_end(streams.dedupe_stream(spark, src_path, schema, target, ckpt, cols))
-    return spark.read.parquet(target)
+    streams.run_to_end(streams.dedupe_stream(spark, src_path, schema, target, scratch_path(spark, "ckpt-events-again"), cols))
+    return spark.read.parquet(target).select(*cols)
 
 
 def write_source_files(spark, sf_dir) -> tuple[dict, dict]:
@@ -147,7 +173,7 @@ def write_source_files(spark, sf_dir) -> tuple[dict, dict]:
     JSON lines) and a registry pointing at them."""
     p = adapter.people(spark, sf_dir)
     paths = {n: scratch_path(spark, f"src-{n}") for n in ["crm", "stripe", "users", "subs", "events"]}
-    (adapter.crm_contacts_source(p).write.option("header", True)
+    (adapter.crm_contacts_source(p).write.option("header", True).option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
      .csv(paths["crm"]))
     adapter.stripe_customers_source(p).write.json(paths["stripe"])
@@ -169,11 +195,12 @@ def write_source_files(spark, sf_dir) -> tuple[dict, dict]:
 def q_scheduled_run(spark, sf_dir):
     """One scheduled run (ingest by registry -> silver -> SCD-2 snapshot
     -> gold -> checks and gates); returns the written MRR mart."""
+    from tidemark.plans.q_dq import fixture_scale
     from tidemark.plans.runner import run_pipeline
     reg, _ = write_source_files(spark, sf_dir)
     warehouse = scratch_path(spark, "warehouse")
     run_pipeline(spark, reg, warehouse, adapter.AS_OF, reference_now="2024-02-01 00:00:00",
-                 scale=adapter.read_driver_table(spark, sf_dir, "customer").count() / 1000.0)
+                 scale=fixture_scale(spark, sf_dir))
     return spark.read.parquet(f"{warehouse}/gold/mart_mrr")
 
 
@@ -194,3 +221,60 @@ def q_stream_scd2(spark, sf_dir):
     log.filter(~early).write.mode("append").parquet(src)
     streams.run_to_end(scd_stream.scd2_stream(spark, src, schema, root, ckpt))
     return scd_stream.read_history(spark, root)
+
+
+@register("pipeline_reruns", build("SELECT * FROM snap_two_runs"))
+def q_pipeline_reruns(spark, sf_dir):
+    """S25, S28, N9, the subscription part of the scheduled run: a run, the
+    same run again, a landing without a run, the next run, and a full refresh
+    with an older clock. The history is that of two runs, and silver holds
+    what bronze holds. (``tests/test_runner.py`` reruns the whole pipeline.)"""
+    from tidemark.operators import silver
+    from tidemark.plans import runner
+    from tidemark.sources.landing import drop_table, reset
+    warehouse, source = scratch_path(spark, "warehouse"), scratch_path(spark, "src-subs")
+    subs = adapter.app_subscriptions_source(spark, sf_dir)
+    early = F.col("updated_at") < F.lit("1997-12-01").cast("timestamp_ntz")   # landed by 1998-01-01
+    reg = {"app_subscriptions": registry_with({"app_subscriptions": {"type": "parquet", "path": source}})["app_subscriptions"]}
+    bronze = table_path(warehouse, reg["app_subscriptions"]["target_bronze"])
+    state, root = f"{warehouse}/silver/subscriptions", f"{warehouse}/snapshots/scd_subscriptions"
+
+    def run(as_of, full_refresh=False):
+        if full_refresh:
+            reset(spark, reg, warehouse)
+            drop_table(spark, state)
+        ingest(spark, reg, warehouse, run_ts=as_of)
+        kept = runner._subscriptions_run(spark, read_table(spark, bronze), state, {})
+        return runner.snapshot_run(spark, kept.select(runner.SNAPSHOT_COLUMNS), root, as_of[:10].replace("-", ""), {})
+
+    subs.filter(early).write.parquet(source)
+    run("1998-01-01T00:00:00+00:00")
+    run("1998-01-01T00:00:00+00:00")
+    subs.filter(~early).write.mode("append").parquet(source)
+    ingest(spark, reg, warehouse, run_ts="1998-06-01T00:00:00+00:00")
+    run("2001-09-01T00:00:00+00:00")
+    snapshot = run("1999-01-01T00:00:00+00:00", full_refresh=True)
+    key = ["subscription_id", "sub_updated_at"]
+    assert spark.read.parquet(state).select(key).exceptAll(
+        silver.subscriptions_latest(read_table(spark, bronze)).select(key)).isEmpty()
+    return snapshot
+
+
+@register("events_incremental_merge", build("""
+SELECT event_id, event_type, anonymous_id, user_id,
+       event_at + CASE WHEN CAST(event_id AS BIGINT) % 5 = 0 THEN INTERVAL 3 DAY ELSE INTERVAL 0 DAY END AS event_at
+FROM silver_events
+"""))
+def q_events_merge(spark, sf_dir):
+    """A fifth of the events land again with a corrected time; the
+    merged table holds each id once, at its corrected date."""
+    from tidemark.plans.runner import _events_run
+    bronze = adapter.bronze_app_events(spark, sf_dir)
+    path, rows = scratch_path(spark, "silver-events"), {}
+    _events_run(spark, bronze, path, rows)
+    again = (bronze.filter(F.col("event_id").cast("long") % 5 == 0)
+             .withColumn("timestamp", F.date_format(F.col("timestamp").cast("timestamp") + F.expr("INTERVAL 3 DAYS"),
+                                                    "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+             .withColumn("_ingested_at", F.lit("2030-01-01T00:00:00+00:00")))
+    return _events_run(spark, bronze.unionByName(again), path, rows).select(
+        "event_id", "event_type", "anonymous_id", "user_id", "event_at")

@@ -26,10 +26,12 @@ from pyspark.sql import functions as F
 from tidemark.operators import conform, dedupe, dq, rules, scd2, silver
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.plans.model import Lakehouse
+from tidemark.session import scratch_path
 from tidemark.sources import landing
 from tidemark.sources.registry import plan_pricing
 
 SILVER = ["customers", "identity_map", "subscriptions", "events"]
+STATEFUL_SILVER = ["events", "subscriptions", "app_user_state"]
 GOLD = ["dim_customer", "fact_subscriptions", "mart_mrr", "mart_ltv", "mart_funnel",
         "recon_billing_vs_app"]
 SNAPSHOT_COLUMNS = ["subscription_id", "account_id", "plan", "status", "sub_started_at",
@@ -76,19 +78,32 @@ def _run_id(as_of) -> str:
     return as_of.strftime("%Y%m%dT%H%M%S")
 
 
-def last_snapshot_run(spark: SparkSession, root: str) -> str | None:
-    """The run id stamped on the stored open versions (None before any run)."""
+def _stamp(spark: SparkSession, root: str) -> tuple[str | None, str | None]:
+    """(commit, label) stamped on the stored open versions, None before any
+    run. Commits sort in the order they were made; the label is the run's own
+    name (its logical time, or stream and epoch)."""
     cur_path = f"{root}/current"
     landing.recover_table(spark, cur_path)
     if not landing.table_exists(spark, cur_path):
-        return None
-    return spark.read.parquet(cur_path).agg(F.max("_run")).first()[0]
+        return None, None
+    cur = spark.read.parquet(cur_path)
+    label = F.max("_label") if "_label" in cur.columns else F.max("_run")
+    return tuple(cur.agg(F.max("_run"), label).first())
+
+
+def _commit_after(last: str | None, run_id: str) -> str:
+    """A commit id that sorts after ``last``: the run id itself, unless the
+    run's logical time lies before (a backfill), then ``last`` counted on."""
+    if last is None or run_id > last.split("~")[0]:
+        return run_id
+    base, n = (last.split("~") + ["0"])[:2]
+    return f"{base}~{int(n) + 1:04d}~{run_id}"
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Open versions + history, as one table."""
     hist_path = f"{root}/history"
-    snapshot = spark.read.parquet(f"{root}/current").drop("_run")
+    snapshot = spark.read.parquet(f"{root}/current").drop("_run", "_label")
     if landing.path_exists(spark, hist_path):
         snapshot = snapshot.unionByName(
             spark.read.option("basePath", hist_path).parquet(hist_path).drop("run_id"))
@@ -104,129 +119,168 @@ def _history_runs(spark: SparkSession, hist_path: str) -> list[str]:
 
 
 def snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str,
-                 rows: dict[str, int]) -> DataFrame:
+                 rows: dict[str, int], label: str | None = None) -> DataFrame:
     """Apply one SCD-2 run to a snapshot stored as ``current`` (open
     versions, replaced each run) + ``history`` (closed versions, append-only,
-    one partition per run). A run reads and rewrites only the open versions;
-    the history grows by the versions it closed.
-
-    Commit order: the closed versions go to ``history/run_id=<run>`` first
-    (overwrite: a retried run rewrites the same partition), then ``current``
-    is swapped in, stamped with the run id. A history partition newer than
-    the run stamped on ``current`` belongs to a run that died before its
+    one partition per commit). A run reads and rewrites only the open
+    versions; the history grows by the versions it closed.
+
+    A run whose label is the last committed one changes nothing. Commits are
+    ordered by when they were made, not by their logical time, so a backfill
+    with an older clock follows the runs before it and never touches their
+    history. Commit order: the closed versions go to the commit's own
+    partition, then ``current`` is swapped in, stamped with the commit. A
+    partition newer than the stamp belongs to a run that died before its
     swap: it is dropped before the next run starts.
     """
     cur_path, hist_path = f"{root}/current", f"{root}/history"
-    landing.recover_table(spark, cur_path)
-    open_rows, last_run = None, None
-    if landing.table_exists(spark, cur_path):
-        cur = spark.read.parquet(cur_path)
-        last_run = cur.agg(F.max("_run")).first()[0]
-        open_rows = cur.drop("_run")
+    label = label or run_id
+    last, last_label = _stamp(spark, root)
+    if last is not None and last_label == label:
+        rows["scd_closed_by_run"] = 0
+        snapshot = read_snapshot(spark, root)
+        rows["scd_subscriptions"] = snapshot.count()
+        return snapshot
+    open_rows = spark.read.parquet(cur_path).drop("_run", "_label") if last is not None else None
     for r in _history_runs(spark, hist_path):
-        if last_run is None or r > last_run:
+        if last is None or r > last:
             landing.drop_table(spark, f"{hist_path}/run_id={r}")
+    commit = _commit_after(last, run_id)
     new_open, closed = scd2.snapshot_changes(open_rows, source, "subscription_id",
                                              "sub_updated_at")
-    _write(closed, f"{hist_path}/run_id={run_id}", "scd_closed_by_run", rows)
-    _swap_in(spark, new_open.withColumn("_run", F.lit(run_id)), cur_path, "scd_open", rows)
+    _write(closed, f"{hist_path}/run_id={commit}", "scd_closed_by_run", rows)
+    _swap_in(spark, new_open.withColumns({"_run": F.lit(commit), "_label": F.lit(label)}),
+             cur_path, "scd_open", rows)
     snapshot = read_snapshot(spark, root)
     rows["scd_subscriptions"] = snapshot.count()
     return snapshot
 
 
+# Which landing runs a silver table holds: a side table in its folder, one row
+# per run with the number of bronze rows merged. It is written after the
+# table, so a crash between the two merges those rows once more, which changes
+# nothing (the latest copy per key stays the latest).
+MERGED_DIR = "_tidemark_merged"
+
+
+def _landed_runs(bronze: DataFrame) -> dict[str, int]:
+    """Bronze rows per landing run (one row per run reaches the driver)."""
+    return {r["run"]: r["n"] for r in bronze.groupBy(F.col("_ingested_at").alias("run"))
+            .agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _to_merge(spark: SparkSession, bronze: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+    """The bronze rows of every landing run that ``path`` does not hold in
+    full yet, whichever run landed them, and the counts to record."""
+    landed = _landed_runs(bronze)
+    side = f"{path}/{MERGED_DIR}"
+    held = ({r["run"]: r["n"] for r in spark.read.parquet(side).collect()}
+            if landing.path_exists(spark, side) else {})
+    missing = [r for r, n in landed.items() if held.get(r) != n]
+    known = [r for r in missing if r is not None]
+    wanted = F.col("_ingested_at").isin(known) if known else F.lit(False)
+    if len(known) < len(missing):
+        wanted = wanted | F.col("_ingested_at").isNull()
+    return bronze.filter(wanted), landed
+
+
+def _set_merged(spark: SparkSession, path: str, landed: dict[str, int]) -> None:
+    (spark.createDataFrame(list(landed.items()), "run string, n long").coalesce(1)
+     .write.mode("overwrite").parquet(f"{path}/{MERGED_DIR}"))
+
+
 def _event_order():
     return [F.col("_ingested_at").desc_nulls_last(), F.col("app_version").asc_nulls_last(),
             F.col("event_at").asc_nulls_last()]
 
 
-def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str, run_text: str,
+def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
                 rows: dict[str, int]) -> DataFrame:
     """Silver events, partitioned by event date and merged incrementally.
 
-    First run: the whole bronze table, latest copy per event id. Later
-    runs: only this run's landed rows (the bronze files of one run carry one
-    ``_ingested_at``, so Parquet statistics skip the other row groups) are
-    reduced to one copy per id and merged into the date partitions they
-    touch; those partitions alone are read and rewritten (dynamic partition
-    overwrite through a stage folder). Copies of an event share its event
-    time, hence its partition, so the result equals a full rebuild.
+    First run: the whole bronze table, latest copy per event id. Later runs:
+    the bronze rows not merged yet, one copy per id. The dates to rewrite are
+    those of the batch and those where an older copy of a batch id lies, so a
+    copy with a corrected time leaves its old date; dates left without a row
+    are dropped. Rows go to the writers by date through a rebalance, which
+    splits a day that holds a large share (and the rows without a date).
     """
     if bronze is None:
         return spark.read.parquet(path) if landing.table_exists(spark, path) else None
     dated = lambda df: df.withColumn("event_date", F.to_date("event_at"))
     if not landing.table_exists(spark, path):
-        _write(dated(silver.events_latest(bronze)).repartition("event_date"),
+        landed = _landed_runs(bronze)
+        _write(dated(silver.events_latest(bronze)).hint("rebalance", "event_date"),
                path, "events_merged", rows, partition_by="event_date")
+        _set_merged(spark, path, landed)
         return spark.read.parquet(path)
-    batch = dated(silver.events_latest(bronze.filter(F.col("_ingested_at") == run_text)))
-    dates = [r[0] for r in batch.select("event_date").distinct().collect()]  # a few dates
-    if dates:
-        known = [d for d in dates if d is not None]
-        touched = F.col("event_date").isin(known) if known else F.lit(False)
-        if len(known) < len(dates):
-            touched = touched | F.col("event_date").isNull()
-        current = spark.read.parquet(path).filter(touched)
-        merged = dedupe.latest_per_key(current.unionByName(batch.select(current.columns)),
-                                       ["event_id"], _event_order())
-        stage = path.rstrip("/") + "__stage"
-        landing.drop_table(spark, stage)
-        _write(merged.repartition("event_date"), stage, "events_merged", rows,
-               partition_by="event_date")
-        (spark.read.parquet(stage).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
-        landing.drop_table(spark, stage)
-    else:
+    new, landed = _to_merge(spark, bronze, path)
+    work = scratch_path(spark, "silver-events")
+    _write(dated(silver.events_latest(new)), f"{work}/batch", "events_batch", rows)
+    if not rows["events_batch"]:
         rows["events_merged"] = 0
+        _set_merged(spark, path, landed)
+        return spark.read.parquet(path)
+    batch, current = spark.read.parquet(f"{work}/batch"), spark.read.parquet(path)
+    moved = current.join(batch.select("event_id"), "event_id", "left_semi").select("event_date")
+    _write(moved.union(batch.select("event_date")).distinct(), f"{work}/dates", "events_dates", rows)
+    dates = spark.read.parquet(f"{work}/dates")
+    touched = current.join(dates.withColumnRenamed("event_date", "d"),
+                           F.col("event_date").eqNullSafe(F.col("d")), "left_semi")
+    merged = dedupe.latest_per_key(touched.unionByName(batch.select(touched.columns)),
+                                   ["event_id"], _event_order())
+    _write(merged.hint("rebalance", "event_date"), f"{work}/merged", "events_merged", rows)
+    merged = spark.read.parquet(f"{work}/merged")
+    (merged.hint("rebalance", "event_date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
+    left = merged.select(F.col("event_date").alias("d")).distinct()
+    for r in (dates.join(left, F.col("event_date").eqNullSafe(F.col("d")), "left_anti")
+              .select(F.coalesce(F.col("event_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("p"))
+              .toLocalIterator()):      # dates without a row any more: a folder each
+        landing.drop_table(spark, f"{path}/event_date={r['p']}")
+    _set_merged(spark, path, landed)
+    landing.drop_table(spark, work)
     return spark.read.parquet(path)
 
 
-def _subscriptions_run(spark: SparkSession, bronze: DataFrame, path: str, run_text: str,
-                       rows: dict[str, int]) -> DataFrame:
-    """Silver subscriptions without rescanning the change log: "latest per
-    subscription" over (previous silver + this run's landed changes) equals
-    the latest over the whole log (the order is total), so a run reads
-    O(subscriptions + new changes), not the log's whole history."""
+def _state_run(spark: SparkSession, bronze: DataFrame, path: str, name: str, conformed, keys: list[str],
+               order, rows: dict[str, int]) -> DataFrame:
+    """A "latest per key" state without rescanning its log: the latest over
+    (stored state + bronze rows not merged yet) equals the latest over all of
+    bronze (the order is total), so a run reads O(keys + new changes)."""
     landing.recover_table(spark, path)
     if not landing.table_exists(spark, path):
-        _write(silver.subscriptions_latest(bronze), path, "subscriptions", rows)
-        return spark.read.parquet(path)
-    batch = silver.subscriptions_latest(bronze.filter(F.col("_ingested_at") == run_text))
-    prev = spark.read.parquet(path)
-    merged = dedupe.latest_per_key(prev.unionByName(batch), ["subscription_id"],
-                                   silver.subscription_order(updated="sub_updated_at",
-                                                             ingested="_ingested_at"))
-    _swap_in(spark, merged, path, "subscriptions", rows)
+        landed = _landed_runs(bronze)
+        _write(latest_per_key(conformed(bronze), keys, order), path, name, rows)
+    else:
+        new, landed = _to_merge(spark, bronze, path)
+        prev = spark.read.parquet(path)
+        merged = latest_per_key(prev.unionByName(conformed(new).select(prev.columns)), keys, order)
+        _swap_in(spark, merged, path, name, rows)
+    _set_merged(spark, path, landed)
     return spark.read.parquet(path)
 
 
-def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, run_text: str,
-                   rows: dict[str, int]) -> DataFrame:
+def _subscriptions_run(spark: SparkSession, bronze: DataFrame, path: str, rows: dict[str, int]) -> DataFrame:
+    return _state_run(spark, bronze, path, "subscriptions", silver.subscriptions_latest, ["subscription_id"],
+                      silver.subscription_order(updated="sub_updated_at", ingested="_ingested_at"), rows)
+
+
+def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, rows: dict[str, int]) -> DataFrame:
     """Silver customers without rescanning the app-user log.
 
     Records of different source systems never share a key, so "latest per
     (source_system, source_id)" over the union equals the union of the
     per-source results. The CRM and billing extracts are full loads (their
     bronze is replaced every run) and are conformed whole; the append-only
-    app users are kept as a state merged with each run's landed rows, like
-    subscriptions.
+    app users are kept as a state, like subscriptions.
     """
-    keys, order = ["source_system", "source_id"], conform.customer_order()
-    state_path = f"{warehouse}/silver/app_user_state"
-    landing.recover_table(spark, state_path)
-    if not landing.table_exists(spark, state_path):
-        _write(latest_per_key(conform.conform_app(bronze["app_users"]), keys, order),
-               state_path, "app_user_state", rows)
-    else:
-        batch = conform.conform_app(bronze["app_users"].filter(F.col("_ingested_at") == run_text))
-        prev = spark.read.parquet(state_path)
-        merged = latest_per_key(prev.unionByName(batch.select(prev.columns)), keys, order)
-        _swap_in(spark, merged, state_path, "app_user_state", rows)
+    state = _state_run(spark, bronze["app_users"], f"{warehouse}/silver/app_user_state", "app_user_state",
+                       conform.conform_app, ["source_system", "source_id"], conform.customer_order(), rows)
     full_loads = conform.customers(conform.conform_crm(bronze["crm_contacts"]),
                                    conform.conform_billing(bronze["stripe_customers"]))
-    app = spark.read.parquet(state_path).select(conform.CUSTOMER_COLUMNS)
     path = f"{warehouse}/silver/customers"
-    _write(full_loads.unionByName(app), path, "customers", rows)
+    _write(full_loads.unionByName(state.select(conform.CUSTOMER_COLUMNS)), path, "customers", rows)
     return spark.read.parquet(path)
 
 
@@ -241,14 +295,19 @@ def _iso(as_of) -> str:
 def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
                  full_refresh: bool = False, names=None, scale: float = 1.0,
                  reference_now=None, gate_layers=("bronze", "silver", "gold"),
-                 raise_on_fail: bool = False, lookback=None) -> PipelineRun:
+                 raise_on_fail: bool = False, lookback=None, reset_history: bool = False) -> PipelineRun:
     """Run the whole pipeline once at logical time ``as_of``. ``lookback``
-    (a timedelta) re-reads that much before each watermark (E6)."""
+    (a timedelta) re-reads that much before each watermark (E6).
+    ``full_refresh`` rebuilds incremental bronze and the silver tables kept
+    from it (S28); the SCD-2 history stays unless ``reset_history`` drops it
+    (S27). A check whose table is missing counts as one that could not run."""
     as_of_text = str(as_of)
     if full_refresh:                                   # S28: reset incremental tables
         landing.reset(spark, registry, warehouse)
-        landing.drop_table(spark, f"{warehouse}/snapshots/scd_subscriptions")   # S27
-        landing.drop_table(spark, f"{warehouse}/silver/events")
+        for name in STATEFUL_SILVER:
+            landing.drop_table(spark, f"{warehouse}/silver/{name}")
+    if reset_history:                                  # S27
+        landing.drop_table(spark, f"{warehouse}/snapshots/scd_subscriptions")
     landed = landing.ingest(spark, registry, warehouse, names, run_ts=_iso(as_of),
                             lookback=lookback)
 
@@ -263,15 +322,14 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
     for n in SILVER:        # identity_map comes after customers: it reads the written table
         if n == "events":
             lh.__dict__[n] = _events_run(spark, bronze.get("app_events"),
-                                         f"{warehouse}/silver/events", _iso(as_of), rows)
+                                         f"{warehouse}/silver/events", rows)
             continue
         if n == "customers" and {"crm_contacts", "stripe_customers", "app_users"} <= set(bronze):
-            lh.__dict__[n] = _customers_run(spark, bronze, warehouse, _iso(as_of), rows)
+            lh.__dict__[n] = _customers_run(spark, bronze, warehouse, rows)
             continue
         if n == "subscriptions" and "app_subscriptions" in bronze:
             lh.__dict__[n] = _subscriptions_run(spark, bronze["app_subscriptions"],
-                                                f"{warehouse}/silver/subscriptions", _iso(as_of),
-                                                rows)
+                                                f"{warehouse}/silver/subscriptions", rows)
             continue
         _write(getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/silver/{n}")
@@ -287,13 +345,13 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
     run = PipelineRun(as_of_text, landed, rows)
     tables = dict(lh.bronze)
     tables.update({n: getattr(lh, n) for n in SILVER + GOLD})
-    layer_checks = {layer: [c for c in rules.checks_for(layer) if c.table in tables]
-                    for layer in gate_layers}
-    all_checks = [c for cs in layer_checks.values() for c in cs]
-    collected = []
+    layer_checks = {layer: rules.checks_for(layer) for layer in gate_layers}
+    all_checks = [c for cs in layer_checks.values() for c in cs if c.table in tables]
+    collected = [{"layer": layer, "table_name": c.table, "check_name": c.name, "value": None, "outcome": "error"}
+                 for layer, cs in layer_checks.items() for c in cs if c.table not in tables]
     if all_checks:      # every layer's checks in one job; one verdict row per check
         res = dq.run_checks(spark, tables, all_checks, as_of_text, reference_now, scale=scale)
-        collected = [r.asDict() for r in res.collect()]
+        collected += [r.asDict() for r in res.collect()]
     run.checks.extend(collected)
     for layer, cs in layer_checks.items():
         if not cs:

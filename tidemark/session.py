@@ -97,6 +97,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
             d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d

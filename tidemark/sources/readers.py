@@ -49,9 +49,12 @@ def read_csv_strings(spark: SparkSession, path: str, null_values: Iterable[str]
     An unquoted empty field is NULL, a quoted empty field ``""`` is the
     empty string, so a text export round-trips. ``null_values`` adds tokens
     read as NULL (T21: a pandas reader nulls ``""``, ``NA``, ``null``...,
-    see ``PANDAS_NULL_TOKENS``)."""
+    see ``PANDAS_NULL_TOKENS``). Quoting is that of RFC 4180: a quote inside
+    a quoted field is doubled, a backslash is a plain character. Fields that
+    hold line breaks need ``multiLine=True`` (a file is then read whole by
+    one task, so it is not the default)."""
     reader = (spark.read.option("header", True).option("inferSchema", False)
-              .option("nullValue", _NO_NULL_TOKEN))
+              .option("nullValue", _NO_NULL_TOKEN).option("quote", '"').option("escape", '"'))
     for k, v in options.items():
         reader = reader.option(k, v)
     df = reader.csv(path)

@@ -8,22 +8,26 @@ twice. ``trigger(availableNow=True)`` processes what is there and stops:
 the daily-batch schedule of the original pipeline, with streaming
 bookkeeping.
 
-``dedupe_stream`` drops repeated event ids with bounded state:
-``dropDuplicatesWithinWatermark`` keeps an id only until the event-time
-watermark passes it. It keeps the **first** copy seen (the batch model
-keeps the latest landing); equal when copies are identical in the kept
-columns. Rows later than the watermark are dropped (the late-data policy).
+``dedupe_stream`` keeps every event id once and loses none, however late:
+the target table is the state, and a micro-batch adds the ids it lacks. It
+keeps the **first** copy seen (the batch model keeps the latest landing);
+equal when copies are identical in the kept columns. ``dedupe_events`` is the
+form with bounded state, for feeds that accept its policy: an id is kept
+until the event-time watermark passes it, and rows later than that go.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import try_instant
-from tidemark.sources.landing import to_bronze
+from tidemark.operators.dedupe import latest_per_key
+from tidemark.sources.landing import table_exists, to_bronze
 
 NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -58,16 +62,32 @@ def dedupe_events(stream: DataFrame, key: str = "event_id", time_text: str = "ti
             .dropDuplicatesWithinWatermark([key]))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The identity of a checkpoint: epoch numbers mean something only within one."""
+    return json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+
+
 def dedupe_stream(spark: SparkSession, source_path: str, schema: T.StructType, target_path: str,
-                  checkpoint: str, columns: list[str], delay: str = "1 day") -> StreamingQuery:
-    stream = spark.readStream.schema(schema).parquet(source_path)
-    out = dedupe_events(stream, delay=delay).select(*columns)
-    return (out.writeStream.format("parquet")
-            .option("path", target_path)
-            .option("checkpointLocation", checkpoint)
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start())
+                  checkpoint: str, columns: list[str], key: str = "event_id", time_text: str = "timestamp") -> StreamingQuery:
+    """Each event id once, however late it or its copies come.
+
+    A micro-batch keeps one copy per id (the least by all columns) and of
+    those the ids the target does not hold; they go to a folder of the
+    checkpoint's epoch, which a replayed epoch writes again without looking
+    at itself. Only ids are read of the target. A new checkpoint starts new
+    folders, and what the target holds still counts.
+    """
+    def each(batch: DataFrame, epoch: int) -> None:
+        run = f"{stream_id(spark, checkpoint)}-{epoch:012d}"
+        fresh = latest_per_key(batch.withColumn("event_at", try_instant(F.col(f"`{time_text}`"))), [key], [])
+        if table_exists(spark, target_path):
+            held = spark.read.parquet(target_path)
+            held = held.filter(F.col("run") != run).select(F.col(key).alias("_held"))
+            fresh = fresh.join(held, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
+        fresh.select(*columns).write.mode("overwrite").parquet(f"{target_path}/run={run}")
+
+    return (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(each)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
 def run_to_end(query: StreamingQuery) -> None:

@@ -19,15 +19,18 @@ from tidemark.operators import silver
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.plans import runner
 from tidemark.sources import landing
+from tidemark.streaming.events import stream_id
 
 PAYLOAD = ["subscription_id", "account_id", "plan", "status", "sub_started_at", "sub_updated_at"]
 
 
-def apply_changes(spark: SparkSession, changes: DataFrame, root: str, run_id: str) -> None:
+def apply_changes(spark: SparkSession, changes: DataFrame, root: str, run_id: str, stream: str = "") -> None:
     """One batch of typed subscription changes (the columns of
-    ``silver.subscription_log``) applied to the state under ``root``."""
-    last = runner.last_snapshot_run(spark, f"{root}/snapshot")
-    if last is not None and last >= run_id:
+    ``silver.subscription_log``) applied to the state under ``root``.
+    ``stream`` names the checkpoint the epoch numbers belong to: only epochs
+    of the same checkpoint can have been applied already."""
+    _, last = runner._stamp(spark, f"{root}/snapshot")
+    if last is not None and last.rpartition(":")[0] == stream and last.rpartition(":")[2] >= run_id:
         return                                    # this epoch is already applied
     state_path = f"{root}/silver_subscriptions"
     landing.recover_table(spark, state_path)
@@ -39,7 +42,8 @@ def apply_changes(spark: SparkSession, changes: DataFrame, root: str, run_id: st
     rows: dict[str, int] = {}
     runner._swap_in(spark, batch, state_path, "silver_subscriptions", rows)
     state = spark.read.parquet(state_path)
-    runner.snapshot_run(spark, state.select(PAYLOAD), f"{root}/snapshot", run_id, rows)
+    runner.snapshot_run(spark, state.select(PAYLOAD), f"{root}/snapshot", run_id, rows,
+                        label=f"{stream}:{run_id}")
 
 
 def scd2_stream(spark: SparkSession, source_path: str, schema, root: str,
@@ -48,7 +52,7 @@ def scd2_stream(spark: SparkSession, source_path: str, schema, root: str,
     changes = spark.readStream.schema(schema).parquet(source_path)
 
     def each(batch_df: DataFrame, epoch_id: int) -> None:
-        apply_changes(spark, batch_df, root, f"{epoch_id:012d}")
+        apply_changes(spark, batch_df, root, f"{epoch_id:012d}", stream_id(spark, checkpoint))
 
     return (changes.writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint)
