@@ -36,6 +36,10 @@ def test_two_runs_track_one_plan_change(spark):
                       reference_now="2024-01-10 00:00:00")
     assert r2.landed["app_subscriptions"] == 1 and r2.landed["app_users"] == 0
     assert r2.rows["scd_subscriptions"] == n_subs + 1               # +1 version
+    assert spark.sql("SELECT sum(active_subscriptions) FROM gold.mart_mrr").first()[0] == spark.read.parquet(
+        f"{wh}/gold/mart_mrr").agg(F.sum("active_subscriptions")).first()[0]
+    assert spark.table("silver.events").count() == spark.read.parquet(f"{wh}/silver/events").count()
+    assert spark.table("bronze.app_subscriptions").count() == 1501
     fact = spark.read.parquet(f"{wh}/gold/fact_subscriptions")
     assert fact.filter("is_current").count() == n_subs              # +1 history row only
     assert fact.filter("NOT is_current").count() == 1

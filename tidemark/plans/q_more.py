@@ -124,3 +124,27 @@ def q_upsert(spark, sf_dir):
     """Keyed upsert landing on the primary key (user_id)."""
     first, again = adapter.app_users_runs(spark, sf_dir)
     return upsert_frames(first, again, ["user_id"])
+
+
+@register("upsert_repeated_keys", build("""
+SELECT * REPLACE (CASE WHEN _ingested_at = '2001-08-31T20:00:00+00:00' AND CAST(user_id AS BIGINT) % 3 = 0 THEN 'ZZ' ELSE country END AS country,
+                  CASE WHEN _ingested_at = '2001-08-31T20:00:00+00:00' AND CAST(user_id AS BIGINT) % 3 = 0 THEN '2001-08-31T21:00:00+00:00' ELSE _ingested_at END AS _ingested_at)
+FROM bronze_app_users
+WHERE _ingested_at = '2001-08-31T20:00:00+00:00'
+   OR user_id NOT IN (SELECT user_id FROM bronze_app_users WHERE _ingested_at = '2001-08-31T20:00:00+00:00')
+"""))
+def q_upsert_repeated(spark, sf_dir):
+    """A batch that brings keys twice, and rows the table has twice: one
+    row per key, the latest landed."""
+    first, again = adapter.app_users_runs(spark, sf_dir)
+    later = (again.filter(F.col("user_id").cast("long") % 3 == 0)
+             .withColumn("country", F.lit("ZZ")).withColumn("_ingested_at", F.lit("2001-08-31T21:00:00+00:00")))
+    return upsert_frames(first.union(first), later.union(again).union(again), ["user_id"])
+
+
+@register("dim_customer_joined", build("SELECT * FROM dim_customer"))
+def q_dim_joined(spark, sf_dir):
+    """The golden record through the stored identity map, an inner join
+    on (source_system, source_id)."""
+    lh = lake(spark, sf_dir)
+    return gold.dim_customer(lh.identity_map, lh.customers)

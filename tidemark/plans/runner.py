@@ -284,6 +284,31 @@ def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, rows: dict
     return spark.read.parquet(path)
 
 
+def register_tables(spark: SparkSession, registry: dict, warehouse: str, prefix: str = "") -> list[str]:
+    """Make the stored tables reachable by name (S12, S23, S24): external
+    tables ``bronze.*``, ``silver.*``, ``gold.*`` and ``snapshots.*`` of the
+    session's catalog over the warehouse's folders. ``prefix`` sets apart the
+    schemas of several warehouses. Dropping a name leaves its files."""
+    places = {cfg["target_bronze"]: landing.table_path(warehouse, cfg["target_bronze"]) for cfg in registry.values()}
+    places |= {f"silver.{n}": f"{warehouse}/silver/{n}" for n in SILVER}
+    places |= {f"gold.{n}": f"{warehouse}/gold/{n}" for n in GOLD}
+    places["snapshots.scd_subscriptions_open"] = f"{warehouse}/snapshots/scd_subscriptions/current"
+    made = []
+    for name, path in places.items():
+        if not landing.table_exists(spark, path):
+            continue
+        schema, table = f"{prefix}{name}".split(".", 1)
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
+        merged = landing.read_table(spark, path) if name.startswith("bronze") else None
+        spark.catalog.createTable(f"`{schema}`.`{table}`", path=path, source="parquet",
+                                  **({"schema": merged.schema} if merged is not None else {}))
+        if name == "silver.events":
+            spark.catalog.recoverPartitions(f"`{schema}`.`{table}`")
+        made.append(f"{schema}.{table}")
+    return made
+
+
 def _iso(as_of) -> str:
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
@@ -342,6 +367,7 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
         _write(getattr(lh, n), f"{warehouse}/gold/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/gold/{n}")
 
+    register_tables(spark, registry, warehouse)
     run = PipelineRun(as_of_text, landed, rows)
     tables = dict(lh.bronze)
     tables.update({n: getattr(lh, n) for n in SILVER + GOLD})

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators.dedupe import latest_per_key
 from tidemark.sources.readers import flatten, read_source
 
 WATERMARK_DIR = "_tidemark_watermark"
@@ -160,9 +161,8 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
     * ``append`` (S15): new files next to the old ones; new columns appear
       at read time through schema merge, old files read them as NULL.
     * ``overwrite`` (S14): the folder is replaced by the batch.
-    * ``upsert`` (E1): keyed replace on ``key``: old rows whose key is in
-      the batch are dropped, the batch is added. Staged, then swapped in,
-      because the table is read while it is rewritten.
+    * ``upsert`` (E1): keyed replace on ``key``, one row per key. Staged,
+      then swapped in, because the table is read while it is rewritten.
     """
     if mode == "append":
         df.write.mode("append").parquet(path)
@@ -174,9 +174,9 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
         keys = [key] if isinstance(key, str) else list(key)
         recover_table(spark, path)
         if not table_exists(spark, path):
-            df.write.mode("overwrite").parquet(path)
+            upsert_frames(df.limit(0), df, keys, order_by).write.mode("overwrite").parquet(path)
             return
-        merged = upsert_frames(read_table(spark, path), df, keys)
+        merged = upsert_frames(read_table(spark, path), df, keys, order_by)
         stage = path.rstrip("/") + "__stage"
         drop_table(spark, stage)
         merged.write.mode("overwrite").parquet(stage)
@@ -185,13 +185,16 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
         raise ValueError(f"unknown load mode '{mode}'")
 
 
-def upsert_frames(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``existing`` whose key is absent from ``batch``, plus ``batch``
-    (E1). One shuffle on the key (anti join); a key present many times in
-    the batch is kept many times, as landed."""
-    batch_keys = batch.select(keys).dropna().dropDuplicates(keys)
-    kept = existing.join(batch_keys, on=keys, how="left_anti")
-    return kept.unionByName(batch, allowMissingColumns=True)
+def upsert_frames(existing: DataFrame, batch: DataFrame, keys: list[str], order_by: str = "_ingested_at") -> DataFrame:
+    """One row per key (E1): the batch's row where it has the key, of several
+    the one of latest ``order_by``, then of least other values; NULL is a key
+    value like any other. Reduced to one row per key and map task before the
+    one shuffle."""
+    both = existing.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    ties = [c for c in both.columns if c not in (*keys, "_new", order_by)]
+    order = [F.col("_new").desc(), *([F.col(f"`{order_by}`").desc_nulls_last()] if order_by in both.columns else []),
+             *[F.col(f"`{c}`").asc_nulls_last() for c in ties]]
+    return latest_per_key(both, [F.col(f"`{k}`") for k in keys], order).drop("_new")
 
 
 # ---------------------------------------------------------------- watermark
@@ -203,8 +206,11 @@ def read_watermark(spark: SparkSession, path: str, column: str | None = None):
         return None
     side = path.rstrip("/") + "/" + WATERMARK_DIR
     if path_exists(spark, side):
+        # the largest, compared as time or number where it is one: text order is neither
+        wm = F.col("watermark")
         row = (spark.read.parquet(side)
-               .orderBy(F.col("run_ts").desc()).select("watermark").first())
+               .orderBy(wm.try_cast("timestamp").desc_nulls_last(), wm.try_cast("decimal(38,6)").desc_nulls_last(),
+                        wm.desc()).select("watermark").first())
         if row is not None:
             return row[0]
     if column is None:
