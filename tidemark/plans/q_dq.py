@@ -27,8 +27,8 @@ SCALES = {"sf0.001": 0.15, "sf0.01": 1.5, "sf0.1": 15.0, "check_s": 15.0, "check
 
 
 def fixture_scale(spark: SparkSession, sf_dir: str) -> float:
-    """The data set's fixed scale, by its folder's name."""
-    return SCALES[sf_dir.rstrip("/").rpartition("/")[2]]
+    """The data set's fixed scale, by its folder's name (others: the original's 1)."""
+    return SCALES.get(sf_dir.rstrip("/").rpartition("/")[2], 1.0)
 
 
 def all_tables(lh: Lakehouse) -> dict[str, DataFrame]:
