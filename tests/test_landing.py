@@ -159,3 +159,47 @@ def test_interrupted_swaps_recover(spark):
     v1.write.parquet(path + "__old")
     landing.recover_table(spark, path)
     assert landing.read_table(spark, path).count() == 2 and not os.path.exists(fs_path(path + "__old"))
+
+
+def test_batch_and_watermark_commit_together(spark):
+    src, wh = scratch_path(spark, "src"), scratch_path(spark, "wh")
+    reg, path = _reg(src), landing.table_path(wh, "bronze.app_users")
+    rows = [(i, f"{i}@x", t(f"2025-01-0{i} 00:00:00")) for i in range(1, 5)]
+    spark.createDataFrame(rows[:2], USERS).write.parquet(src)
+    landing.ingest(spark, reg, wh, ["app_users"], "r1")
+
+    def stage(ids, watermark):
+        batch = landing.to_bronze(spark.createDataFrame([rows[i - 1] for i in ids], USERS), "app_users", "r2")
+        batch.write.parquet(path + "__batch")
+        landing._write_watermark(spark, path + "__batch", "r2", watermark)
+
+    # stopped before the commit: neither rows nor watermark, the next run lands them
+    stage([3], "2025-01-03 00:00:00")
+    spark.createDataFrame(rows[2:3], USERS).write.mode("append").parquet(src)
+    assert landing.ingest(spark, reg, wh, ["app_users"], "r3") == {"app_users": 1}
+    assert landing.read_watermark(spark, path) == "2025-01-03 00:00:00"
+    assert landing.read_table(spark, path).count() == 3
+    # stopped after it, one file already moved: rolled forward, nothing lands twice
+    spark.createDataFrame(rows[3:], USERS).write.mode("append").parquet(src)
+    stage([4], "2025-01-04 00:00:00")
+    moved = local_path(path + "__batch")
+    one = next(f for f in os.listdir(moved) if f.endswith(".parquet"))
+    open(os.path.join(moved, landing.COMMIT_MARKER), "w").close()
+    os.rename(os.path.join(moved, one), os.path.join(local_path(path), one))
+    assert landing.ingest(spark, reg, wh, ["app_users"], "r4") == {"app_users": 0}
+    assert sorted(r["user_id"] for r in landing.read_table(spark, path).collect()) == ["1", "2", "3", "4"]
+    assert landing.read_watermark(spark, path) == "2025-01-04 00:00:00"
+    assert not os.path.exists(moved)
+
+
+def test_full_load_keeps_lost_columns(spark):
+    src, wh = scratch_path(spark, "src"), scratch_path(spark, "wh")
+    reg = registry_with({"crm_contacts": {"type": "parquet", "path": src}})
+    path = landing.table_path(wh, "bronze.crm_contacts")
+    spark.createDataFrame([("a@x", "A", "web")], "contact_email string, `x.name` string, lead string").write.parquet(src)
+    landing.ingest(spark, reg, wh, ["crm_contacts"], "r1")
+    spark.createDataFrame([("b@x", 3)], "contact_email string, rank int").write.mode("overwrite").parquet(src)
+    landing.ingest(spark, reg, wh, ["crm_contacts"], "r2")
+    got = landing.read_table(spark, path).collect()
+    assert [r.asDict() for r in got] == [{"contact_email": "b@x", "rank": "3", "x.name": None, "lead": None,
+                                          "_source": "crm_contacts", "_ingested_at": "r2"}]

@@ -9,8 +9,10 @@ Execution plan per table:
 
 * every aggregate-shaped metric of the table (row counts, missing counts
   and percentages, invalid counts, freshness, failed-row counts, custom
-  aggregate expressions, not-null / accepted-values tests) is fused into a
-  **single** ``agg`` -> one scan, partial + final aggregation;
+  aggregate expressions, not-null tests) is fused into a **single** ``agg`` -> one
+  scan, partial + final aggregation;
+* all accepted-values tests of a table share one more scan that keeps only
+  rows with a value outside a list;
 * duplicate / uniqueness metrics need one ``groupBy`` per column set (a
   shuffle, pre-aggregated map-side);
 * schema and column-count checks read only the schema (no job);
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +34,7 @@ from tidemark.functions import hours_between, ts_literal
 
 # kinds evaluated inside the fused per-table aggregation
 AGG_KINDS = {"row_count", "missing_count", "missing_percent", "invalid_count", "freshness",
-             "failed_rows", "aggregate", "not_null", "accepted_values"}
+             "failed_rows", "aggregate", "not_null"}
 GROUP_KINDS = {"duplicate_count", "unique"}
 SCHEMA_KINDS = {"schema", "column_count"}
 CROSS_KINDS = {"metric", "relationships", "singular"}
@@ -106,10 +109,6 @@ def _agg_expr(chk: Check, df: DataFrame, as_of: Column) -> Column:
         return hours_between(F.max(_c(col)), as_of)
     if k == "failed_rows":
         return F.count_if(F.coalesce(chk.params["condition"](), F.lit(False)))
-    if k == "accepted_values":
-        # failures = distinct values outside the list; NULL passes
-        vals = [F.lit(v) for v in chk.params["values"]]
-        return F.count_distinct(F.when(~_c(col).isin(*vals), _c(col)))
     if k == "aggregate":
         return chk.params["expr"](as_of)
     raise ValueError(k)
@@ -124,6 +123,18 @@ def duplicate_count(df: DataFrame, columns: Sequence[str], ignore_nulls: bool =
             .agg(F.count_if(F.col("n") > 1).alias("value")))
 
 
+def unaccepted_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Per accepted-values check the number of distinct values outside its
+    list (D3), as one row ``m0, m1, ...``; NULL passes. Clean rows go before
+    anything else, the others give one (check, value) pair per bad value."""
+    bad = [~_c(c.column).isin(*c.params["values"]) for c in checks]
+    pairs = [F.when(b, F.struct(F.lit(k).alias("k"), _c(c.column).cast("string").alias("v")))
+             for k, (b, c) in enumerate(zip(bad, checks))]
+    found = (df.filter(reduce(Column.__or__, bad))
+             .select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).select("p.k", "p.v").distinct())
+    return found.agg(*[F.count_if(F.col("k") == k).alias(f"m{k}") for k in range(len(checks))])
+
+
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     """Required columns absent from the table (Q7)."""
     present = set(df.columns)
@@ -216,11 +227,16 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
     for tname, items in by_table.items():
         df = tables.get(tname)
         aggs = [c for c in items if c.kind in AGG_KINDS]
+        accepted = [c for c in items if c.kind == "accepted_values"]
         if df is not None:
             # a check on a column the table no longer has cannot run: NULL value, "error"
-            broken = [c for c in aggs if c.column is not None and c.column not in df.columns]
+            broken = [c for c in aggs + accepted if c.column is not None and c.column not in df.columns]
             parts.extend(literal(c, None, error=True) for c in broken)
             aggs = [c for c in aggs if c not in broken]
+            listed = [c for c in accepted if c not in broken]
+            if listed:
+                parts.append(unaccepted_counts(df, listed).select(F.explode(F.array(*[
+                    _verdict(c, f"m{k}", scale) for k, c in enumerate(listed)])).alias("r")))
             if aggs:
                 # all aggregate-shaped metrics of the table: one scan, one aggregation
                 exprs = [_agg_expr(c, df, ref if c.params.get("clock") == "reference" else now)

@@ -157,11 +157,10 @@ def silver_checks() -> list[Check]:
               warn=("gt", 36), fail=("gt", 48)),
         Check(SILVER, "customers", "pct_rows_lost_from_bronze", "metric", warn=("gt", 0),
               fail=("gt", 5), params=dict(metric=_pct_rows_lost, sql=(
-                  "SELECT round(100.0 * CAST(b.n - s.n AS DOUBLE) / CAST(nullif(b.n, 0) AS DOUBLE), 2) "
-                  "FROM (SELECT (SELECT count(*) FROM bronze_crm_contacts) + "
-                  "(SELECT count(*) FROM bronze_stripe_customers) + "
-                  "(SELECT count(*) FROM bronze_app_users) AS n) b, "
-                  "(SELECT count(*) AS n FROM customers) s"))),
+                  "SELECT round(-100.0 * sum(side) / nullif(count(*) FILTER (WHERE side < 0), 0)::DOUBLE, 2) "
+                  "FROM (SELECT 1 AS side FROM customers "
+                  "UNION ALL SELECT -1 FROM bronze_crm_contacts UNION ALL SELECT -1 FROM bronze_stripe_customers "
+                  "UNION ALL SELECT -1 FROM bronze_app_users) landed_and_kept"))),
         Check(SILVER, "customers", "pii_guard_masked_email", "failed_rows", fail=("gt", 0),
               params=dict(condition=lambda: ~F.col("email_masked").like("_***@%"), sql=PII_OK)),
 
@@ -173,7 +172,8 @@ def silver_checks() -> list[Check]:
                               "CAST(count(*) AS DOUBLE), 3)")),
         Check(SILVER, "identity_map", "identity_map_gap_vs_customers", "metric", fail=("ne", 0),
               params=dict(metric=_gap("identity_map", "customers"),
-                          sql="SELECT (SELECT count(*) FROM identity_map) - (SELECT count(*) FROM customers)")),
+                          sql="SELECT coalesce(sum(side), 0) FROM (SELECT 1 AS side FROM identity_map "
+                              "UNION ALL SELECT -1 FROM customers) both_sides")),
 
         Check(SILVER, "subscriptions", "row_count", "row_count", fail=_at_least(400)),
         Check(SILVER, "subscriptions", "missing_count(sub_started_at)", "missing_count",
@@ -193,11 +193,10 @@ def silver_checks() -> list[Check]:
               fail=("not_between", 15, 35)),
         Check(SILVER, "events", "pct_orphan_known_events", "metric", warn=("gt", 12),
               fail=("gt", 15), params=dict(metric=_pct_orphan, sql=(
-                  "SELECT round(100.0 * CAST(count(*) FILTER (WHERE c.source_id IS NULL) AS DOUBLE) "
-                  "/ CAST(nullif(count(*), 0) AS DOUBLE), 2) "
-                  "FROM silver_events e LEFT JOIN customers c "
-                  "ON c.source_system = 'app' AND c.source_id = e.user_id "
-                  "WHERE e.user_id IS NOT NULL"))),
+                  "SELECT round(100.0 * sum(n) FILTER (WHERE user_id NOT IN "
+                  "(SELECT source_id FROM customers WHERE source_system = 'app' AND source_id IS NOT NULL)) "
+                  "/ sum(n)::DOUBLE, 2) FROM (SELECT user_id, count(*) AS n FROM silver_events "
+                  "WHERE user_id IS NOT NULL GROUP BY user_id) per_user"))),
     ]
 
 
@@ -224,8 +223,9 @@ def gold_checks() -> list[Check]:
     return [
         Check(GOLD, "dim_customer", "customers_lost_from_silver", "metric", fail=("ne", 0),
               params=dict(metric=_customers_lost, sql=(
-                  "SELECT (SELECT count(DISTINCT customer_key) FROM identity_map) - "
-                  "(SELECT count(*) FROM dim_customer)"))),
+                  "SELECT coalesce(sum(side), 0) FROM (SELECT 1 AS side FROM (SELECT DISTINCT customer_key "
+                  "FROM identity_map WHERE customer_key IS NOT NULL) known "
+                  "UNION ALL SELECT -1 FROM dim_customer) both_sides"))),
         Check(GOLD, "dim_customer", "n_source_records_equals_flags", "failed_rows", fail=("gt", 0),
               params=dict(condition=lambda: F.col("n_source_records")
                           != F.col("in_crm") + F.col("in_stripe") + F.col("in_app"),
@@ -238,8 +238,8 @@ def gold_checks() -> list[Check]:
                           sql="count(*) - count(*) FILTER (WHERE is_current)")),
         Check(GOLD, "fact_subscriptions", "subscriptions_lost_in_scd2", "metric", fail=("ne", 0),
               params=dict(metric=_subs_lost, sql=(
-                  "SELECT (SELECT count(*) FROM subscriptions) - "
-                  "(SELECT count(*) FILTER (WHERE is_current) FROM fact_subscriptions)"))),
+                  "SELECT coalesce(sum(side), 0) FROM (SELECT 1 AS side FROM subscriptions "
+                  "UNION ALL SELECT -1 FROM fact_subscriptions WHERE is_current) both_sides"))),
 
         Check(GOLD, "mart_mrr", "row_count", "row_count", fail=("ne", 4)),
         Check(GOLD, "mart_mrr", "total_mrr", "aggregate", warn=_band(30000, 50000),
@@ -247,8 +247,9 @@ def gold_checks() -> list[Check]:
               params=dict(expr=lambda _n: F.sum("mrr"), sql="sum(mrr)")),
         Check(GOLD, "mart_mrr", "arpu_per_customer", "metric", warn=("not_between", 55, 90),
               params=dict(metric=_arpu, sql=(
-                  "SELECT round(CAST((SELECT sum(mrr) FROM mart_mrr) AS DOUBLE) / "
-                  "CAST(nullif((SELECT count(*) FROM dim_customer), 0) AS DOUBLE), 2)"))),
+                  "SELECT round(sum(revenue) / nullif(sum(people), 0)::DOUBLE, 2) "
+                  "FROM (SELECT mrr AS revenue, 0 AS people FROM mart_mrr "
+                  "UNION ALL SELECT 0, 1 FROM dim_customer) per_head"))),
         Check(GOLD, "mart_mrr", "top_plan_revenue_share", "aggregate", warn=("gt", 85),
               params=dict(expr=lambda _n: pct(F.max("mrr"), F.sum("mrr")),
                           sql="round(100.0 * CAST(max(mrr) AS DOUBLE) / "
@@ -363,16 +364,17 @@ def _grain(table):
     return _violations(
         lambda t: (t[table].groupBy("source_system", "source_id").agg(F.count(F.lit(1)).alias("n"))
                    .filter(F.col("n") > 1)),
-        f"SELECT count(*) FROM (SELECT source_system, source_id FROM {table} "
-        f"GROUP BY source_system, source_id HAVING count(*) > 1) v")
+        f"SELECT count(*) FILTER (WHERE copy = 2) FROM (SELECT row_number() OVER "
+        f"(PARTITION BY source_system, source_id) AS copy FROM {table}) numbered")
 
 
 def _distinct_per(key, other):
     return _violations(
         lambda t: (t["identity_map"].groupBy(key).agg(F.count_distinct(other).alias("n"))
                    .filter(F.col("n") > 1)),
-        f"SELECT count(*) FROM (SELECT {key} FROM identity_map GROUP BY {key} "
-        f"HAVING count(DISTINCT {other}) > 1) v")
+        f"SELECT count(DISTINCT struct_pack(k := a.{key})) FROM identity_map a "
+        f"JOIN (SELECT {key}, min({other}) AS least FROM identity_map GROUP BY {key}) b "
+        f"ON a.{key} IS NOT DISTINCT FROM b.{key} AND a.{other} > b.least")
 
 
 def _recon_covers(t):
@@ -397,21 +399,21 @@ def singular_tests() -> list[Check]:
                   lambda t: (t["fact_subscriptions"].filter(F.col("is_current"))
                              .groupBy("subscription_id").agg(F.count(F.lit(1)).alias("n"))
                              .filter(F.col("n") != 1)),
-                  "SELECT count(*) FROM (SELECT subscription_id FROM fact_subscriptions "
-                  "WHERE is_current GROUP BY subscription_id HAVING count(*) <> 1) v")),
+                  "SELECT count(*) FILTER (WHERE version = 2) FROM (SELECT row_number() OVER "
+                  "(PARTITION BY subscription_id) AS version FROM fact_subscriptions WHERE is_current) numbered")),
         Check(T, "recon_billing_vs_app", "assert_recon_covers_all_customers", "singular",
               fail=("gt", 0), params=_violations(
                   _recon_covers,
-                  "SELECT count(*) FROM (SELECT (SELECT sum(n_customers) FROM recon_billing_vs_app) AS r, "
-                  "(SELECT count(*) FROM dim_customer) AS d) v WHERE r <> d")),
+                  "SELECT coalesce(sum(n) <> 0, false)::INT FROM (SELECT sum(n_customers) AS n FROM recon_billing_vs_app "
+                  "UNION ALL SELECT -count(*) FROM dim_customer) both_sides")),
         Check(T, "mart_mrr", "assert_mrr_arithmetic", "singular", fail=("gt", 0),
               params=_violations(
                   lambda t: t["mart_mrr"].filter(
                       F.col("mrr") != F.col("active_subscriptions") * F.col("monthly_price")),
-                  "SELECT count(*) FROM mart_mrr WHERE mrr <> active_subscriptions * monthly_price")),
+                  "SELECT count_if(mrr - active_subscriptions * monthly_price <> 0) FROM mart_mrr")),
         Check(T, "mart_funnel", "assert_funnel_is_nested", "singular", fail=("gt", 0),
               params=_violations(
                   lambda t: t["mart_funnel"].filter((F.col("signups") > F.col("leads"))
                                                     | (F.col("paid") > F.col("signups"))),
-                  "SELECT count(*) FROM mart_funnel WHERE signups > leads OR paid > signups")),
+                  "SELECT count_if(greatest(signups - leads, paid - signups) > 0) FROM mart_funnel")),
     ]

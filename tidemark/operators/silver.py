@@ -132,33 +132,29 @@ def event_identity_stitch(events: DataFrame, customers: DataFrame,
     with a user id carries that user to its other events (before and after
     login), then user id -> app record -> customer key.
 
-    Each event is joined once: events with a user id against the
-    user -> person map, anonymous events against the anonymous-id ->
-    (user, person) map. Both maps are user-scale (one row per user / per
-    anonymous id, built with partial aggregations); the event table moves
-    through one shuffle, and a hot anonymous id is split by AQE's skew join.
+    Each event is joined once, with the union of two maps: user id -> person
+    for events that carry a user, anonymous id -> (user, person) for the
+    others. Both maps are user-scale (one row per user / per anonymous id,
+    built with partial aggregations); the event table is read twice (links,
+    join) and shuffled once; AQE's skew join splits a hot anonymous id.
+    ``events`` should be a stored table or a cheap plan.
     """
     app_keys = (identity.filter(F.col("source_system") == "app")
-                .select(F.col("source_id").alias("user_id"), "customer_key"))
+                .select(F.col("source_id").alias("linked_user_id"), "customer_key"))
     links = (events.filter(F.col("user_id").isNotNull() & F.col("anonymous_id").isNotNull())
              .groupBy("anonymous_id").agg(F.min("user_id").alias("linked_user_id")))
-    anon_map = links.join(app_keys.withColumnRenamed("user_id", "linked_user_id"),
-                          "linked_user_id", "left")
-    cols = ["event_id", "anonymous_id", "user_id", "resolved_user_id", "customer_key", "resolution"]
-    known = (events.filter(F.col("user_id").isNotNull())
-             .select("event_id", "anonymous_id", "user_id")
-             .join(app_keys, "user_id", "left")
-             .select("event_id", "anonymous_id", "user_id",
-                     F.col("user_id").alias("resolved_user_id"), "customer_key",
-                     F.lit("user").alias("resolution")))
-    anon = (events.filter(F.col("user_id").isNull())
-            .select("event_id", "anonymous_id", "user_id")
-            .join(anon_map, "anonymous_id", "left")
-            .select("event_id", "anonymous_id", "user_id",
-                    F.col("linked_user_id").alias("resolved_user_id"), "customer_key",
-                    F.when(F.col("linked_user_id").isNotNull(), "anonymous_link")
-                     .otherwise("unresolved").alias("resolution")))
-    return known.select(cols).unionByName(anon.select(cols))
+    by_user = app_keys.select(F.lit(True).alias("known"), F.col("linked_user_id").alias("id"),
+                              "linked_user_id", "customer_key")
+    by_link = (links.join(app_keys, "linked_user_id", "left")
+               .select(F.lit(False).alias("known"), F.col("anonymous_id").alias("id"),
+                       "linked_user_id", "customer_key"))
+    keyed = events.select("event_id", "anonymous_id", "user_id", F.col("user_id").isNotNull().alias("known"),
+                          F.coalesce("user_id", "anonymous_id").alias("id"))
+    return keyed.join(by_user.union(by_link), ["known", "id"], "left").select(
+        "event_id", "anonymous_id", "user_id",
+        F.coalesce("user_id", "linked_user_id").alias("resolved_user_id"), "customer_key",
+        F.when(F.col("known"), "user").when(F.col("linked_user_id").isNotNull(), "anonymous_link")
+         .otherwise("unresolved").alias("resolution"))
 
 
 def subscription_log(bronze: DataFrame) -> DataFrame:

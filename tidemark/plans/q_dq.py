@@ -101,6 +101,34 @@ def q_failed_rows(spark, sf_dir):
     return dq.failed_rows(lake(spark, sf_dir).customers, ~F.col("email_masked").like("_***@%"))
 
 
+@register("dq_failed_rows_injected", build("""
+SELECT * REPLACE ('user@' || email_domain AS email_masked) FROM customers
+WHERE source_system = 'crm' AND campaign = 'cmp_3' AND email_domain IS NOT NULL
+"""))
+def q_failed_rows_injected(spark, sf_dir):
+    """Q8 with something to find: one campaign's contacts come unmasked."""
+    unmasked = (F.col("source_system") == "crm") & (F.col("campaign") == "cmp_3")
+    customers = lake(spark, sf_dir).customers.withColumn("email_masked", F.when(
+        unmasked, F.concat(F.lit("user@"), "email_domain")).otherwise(F.col("email_masked")))
+    return dq.failed_rows(customers, ~F.col("email_masked").like("_***@%"))
+
+
+@register("dq_unaccepted_values", build("""
+SELECT 'test' AS layer, 'subscriptions' AS table_name, name AS check_name, n::DOUBLE AS value,
+       CASE WHEN n > 0 THEN 'fail' ELSE 'pass' END AS outcome
+FROM (SELECT unnest(['accepted_values(plan)', 'accepted_values(status)']) AS name,
+             unnest([count(DISTINCT plan) FILTER (WHERE NOT plan IN ('free', 'pro')),
+                     count(DISTINCT status) FILTER (WHERE NOT status IN ('active', 'canceled'))]) AS n
+      FROM subscriptions) counted
+"""))
+def q_unaccepted(spark, sf_dir):
+    """D3 with something to find: two plans that the list does not hold."""
+    lists = {"plan": ["free", "pro"], "status": ["active", "canceled"]}
+    checks = [dq.Check("test", "subscriptions", f"accepted_values({c})", "accepted_values", c, fail=("gt", 0),
+                       params={"values": v}) for c, v in lists.items()]
+    return dq.run_checks(spark, {"subscriptions": lake(spark, sf_dir).subscriptions}, checks, NOW)
+
+
 def _crm_checks():
     return [c for c in rules.bronze_checks() if c.table == "crm_contacts"]
 

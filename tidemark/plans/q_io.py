@@ -70,6 +70,24 @@ def q_land_full(spark, sf_dir):
     return read_table(spark, table_path(warehouse, reg["crm_contacts"]["target_bronze"]))
 
 
+@register("land_full_evolved", build("""
+SELECT contact_email, first_name, last_name, company, lead_source, campaign, created_date,
+       CAST(NULL AS VARCHAR) AS industry, length(last_name)::VARCHAR AS lead_rank, _source, _ingested_at
+FROM bronze_crm_contacts
+"""))
+def q_land_full_evolved(spark, sf_dir):
+    """A second full load whose source lost a column and won one:
+    the lost one stays, as NULL."""
+    warehouse, again = scratch_path(spark, "warehouse"), scratch_path(spark, "src-crm-evolved")
+    first = registry_with({"crm_contacts": {"path": write_crm_csv(spark, sf_dir)}})
+    ingest(spark, first, warehouse, names=["crm_contacts"], run_ts=EARLIER_RUN)
+    src = adapter.crm_contacts_source(adapter.people(spark, sf_dir))
+    src.drop("industry").withColumn("lead_rank", F.length("last_name")).write.parquet(again)
+    reg = registry_with({"crm_contacts": {"type": "parquet", "path": again}})
+    ingest(spark, reg, warehouse, names=["crm_contacts"], run_ts=RUN_1)
+    return read_table(spark, table_path(warehouse, reg["crm_contacts"]["target_bronze"]))
+
+
 @register("scan_json_flatten", build("""
 SELECT id, object, email, name, CAST(created AS BIGINT) AS created, "metadata.country"
 FROM bronze_stripe_customers

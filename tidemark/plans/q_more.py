@@ -9,7 +9,7 @@ from tidemark.operators import gold, scd2, silver
 from tidemark.sources import adapter
 from tidemark.sources.landing import upsert_frames
 from tidemark.plans.oracle import build
-from tidemark.plans.queries import lake, register
+from tidemark.plans.queries import fresh_lake, lake, register
 
 SUB_PAYLOAD = ["subscription_id", "account_id", "plan", "status", "sub_started_at", "sub_updated_at"]
 RUN1_CUT = "1998-01-01 00:00:00"
@@ -61,8 +61,10 @@ LEFT JOIN anon_links l ON e.anonymous_id = l.anonymous_id
 LEFT JOIN identity_map m ON m.source_system = 'app' AND m.source_id = coalesce(e.user_id, l.linked_user_id)
 """))
 def q_stitch(spark, sf_dir):
-    """Every event resolved to a person through anonymous id links."""
-    lh = lake(spark, sf_dir)
+    """Every event resolved to a person through anonymous id links; the
+    log is de-duplicated once and written, then linked and joined."""
+    lh = fresh_lake(spark, sf_dir)
+    lh.materialize(["events"])
     return silver.event_identity_stitch(lh.events, lh.customers, lh.identity_map)
 
 

@@ -4,13 +4,12 @@ A bronze table is a folder of Parquet files under a warehouse root (itself
 under the cluster's shared folder). Every column is text, plus the lineage
 columns ``_source`` and ``_ingested_at``.
 
-Watermarks: after a batch's files are committed, the batch's high-water mark
-is appended to a small side table inside the table folder
-(``_tidemark_watermark``; names starting with ``_`` are invisible to the
-Parquet reader). A crash between the two writes leaves the old watermark,
-so the next run re-lands the same rows (at-least-once); silver keeps the
-latest copy per key, so the result is unchanged. Without a side table the
-watermark is derived from the data itself.
+Watermarks: a batch's high-water mark lies in a small side table inside the
+table folder (``_tidemark_watermark``; names starting with ``_`` are invisible
+to the Parquet reader). Rows and watermark are staged together next to the
+table and become part of it by one marker file; a crash before the marker
+leaves neither, a crash after it is rolled forward by the next run. Without
+a side table the watermark is derived from the data itself.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from tidemark.operators.dedupe import latest_per_key
 from tidemark.sources.readers import flatten, read_source
 
 WATERMARK_DIR = "_tidemark_watermark"
+COMMIT_MARKER = "_tidemark_commit"
 
 
 # ---------------------------------------------------------------- file system
@@ -91,10 +91,39 @@ def _finish_swap(spark: SparkSession, path: str) -> None:
     fs.delete(old, True)
 
 
+def _commit_batch(spark: SparkSession, path: str) -> None:
+    """Make the staged batch ``path__batch``, rows and watermark, part of the
+    table: writing the marker is the commit, moving the files follows it."""
+    fs, marker = _fs(spark, path.rstrip("/") + "__batch/" + COMMIT_MARKER)
+    fs.create(marker, True).close()
+    _finish_batch(spark, path)
+
+
+def _finish_batch(spark: SparkSession, path: str) -> None:
+    """Move a committed batch's files into the table. File names are unique
+    to their write, so doing it again after a crash moves what is left."""
+    jvm = spark.sparkContext._jvm
+    fs, dst = _fs(spark, path)
+    batch = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "__batch")
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(batch, COMMIT_MARKER)):
+        return
+    for src, to in ((batch, dst), (jvm.org.apache.hadoop.fs.Path(batch, WATERMARK_DIR),
+                                   jvm.org.apache.hadoop.fs.Path(dst, WATERMARK_DIR))):
+        if not fs.exists(src):
+            continue
+        fs.mkdirs(to)
+        for st in fs.listStatus(src):
+            name = st.getPath().getName()
+            if not name.startswith(("_", ".")):
+                if not fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(to, name)):
+                    raise OSError(f"cannot move {st.getPath().toString()} into {path}")
+    fs.delete(batch, True)
+
+
 def recover_table(spark: SparkSession, path: str) -> None:
-    """Complete or roll back a swap interrupted by a crash: a committed stage
-    (its ``_SUCCESS`` marker written) replaces a missing table, otherwise the
-    old table is put back; leftovers are removed."""
+    """Complete or roll back a write interrupted by a crash: a committed batch
+    is moved in; a committed stage (its ``_SUCCESS`` marker written) replaces
+    a missing table, otherwise the old table is put back; leftovers are removed."""
     jvm = spark.sparkContext._jvm
     fs, dst = _fs(spark, path)
     base = path.rstrip("/")
@@ -105,9 +134,9 @@ def recover_table(spark: SparkSession, path: str) -> None:
             fs.rename(stage, dst)
         elif fs.exists(old):
             fs.rename(old, dst)
-            return
     if fs.exists(dst):
         _finish_swap(spark, path)
+    _finish_batch(spark, path)
 
 
 # ---------------------------------------------------------------- transforms
@@ -174,7 +203,7 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
         keys = [key] if isinstance(key, str) else list(key)
         recover_table(spark, path)
         if not table_exists(spark, path):
-            upsert_frames(df.limit(0), df, keys, order_by).write.mode("overwrite").parquet(path)
+            upsert_frames(None, df, keys, order_by).write.mode("overwrite").parquet(path)
             return
         merged = upsert_frames(read_table(spark, path), df, keys, order_by)
         stage = path.rstrip("/") + "__stage"
@@ -185,12 +214,15 @@ def land(spark: SparkSession, df: DataFrame, path: str, mode: str = "append",
         raise ValueError(f"unknown load mode '{mode}'")
 
 
-def upsert_frames(existing: DataFrame, batch: DataFrame, keys: list[str], order_by: str = "_ingested_at") -> DataFrame:
+def upsert_frames(existing: DataFrame | None, batch: DataFrame, keys: list[str],
+                  order_by: str = "_ingested_at") -> DataFrame:
     """One row per key (E1): the batch's row where it has the key, of several
     the one of latest ``order_by``, then of least other values; NULL is a key
     value like any other. Reduced to one row per key and map task before the
     one shuffle."""
-    both = existing.withColumn("_new", F.lit(0)).unionByName(batch.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    both = batch.withColumn("_new", F.lit(1))
+    if existing is not None:
+        both = existing.withColumn("_new", F.lit(0)).unionByName(both, allowMissingColumns=True)
     ties = [c for c in both.columns if c not in (*keys, "_new", order_by)]
     order = [F.col("_new").desc(), *([F.col(f"`{order_by}`").desc_nulls_last()] if order_by in both.columns else []),
              *[F.col(f"`{c}`").asc_nulls_last() for c in ties]]
@@ -222,15 +254,20 @@ def watermark_of(df: DataFrame, column: str):
     """max of the column as text (S17), rendered by Spark in the session
     zone, so the later ``wm > since`` comparison reads it back the same way.
     Text columns are compared as timestamps when they parse as such."""
+    return _highest(df.agg(*_highest_measures(df, column)).first().asDict())
+
+
+def _highest_measures(df: DataFrame, column: str) -> list[Column]:
     c = F.col(f"`{column}`")
-    dtype = df.schema[column].dataType
-    if isinstance(dtype, T.StringType):
-        row = df.agg(F.max(c.try_cast("timestamp")).cast("string").alias("t"),
-                     F.max(c).alias("s")).first()
-        value = row["t"] if row["t"] is not None else row["s"]
-    else:
-        value = df.agg(F.max(c).cast("string")).first()[0]
-    return value
+    text = F.max(c).cast("string").alias("highest")
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return [text]
+    return [F.max(c.try_cast("timestamp")).cast("string").alias("highest_time"), text]
+
+
+def _highest(measured: dict):
+    at = measured.get("highest_time")
+    return at if at is not None else measured.get("highest")
 
 
 def _write_watermark(spark: SparkSession, path: str, run_ts: str, watermark: str) -> None:
@@ -245,9 +282,11 @@ def ingest_source(spark: SparkSession, name: str, cfg: dict, warehouse: str,
     """Land one configured source; returns the number of landed rows.
 
     ``incremental`` reads the stored watermark, pulls ``wm > since``
-    (``since - lookback`` when a lookback is given, E6), records the new
-    watermark from the typed batch before the text cast (S17). An empty
-    batch returns early and leaves the table as it is, in every mode (T18).
+    (``since - lookback`` when a lookback is given, E6). Rows are counted and
+    the new watermark is taken from the typed batch, before the text cast,
+    while the batch is written (S17, E5): the source is read once. An empty
+    batch leaves the table as it is, in every mode (T18). A full load keeps
+    columns that the source has lost, as NULL (S13).
     """
     mode = cfg.get("load_mode", "full")
     path = table_path(warehouse, cfg["target_bronze"])
@@ -256,25 +295,36 @@ def ingest_source(spark: SparkSession, name: str, cfg: dict, warehouse: str,
     if since is not None and lookback is not None:
         since = str(_dt.datetime.fromisoformat(str(since)) - lookback)
     batch = read_source(spark, cfg, since=since)
-    if batch.isEmpty():
-        return 0
     run_text = run_timestamp_text(run_ts)
-    new_wm = watermark_of(batch, cfg["watermark"]) if mode == "incremental" else None
-    # row count measured while writing (E5), no second pass over the data
-    landed = Observation(f"landed_{name}")
-    bronze = to_bronze(batch, name, run_text).observe(landed, F.count(F.lit(1)).alias("rows"))
-    write_mode = {"full": "overwrite", "incremental": "append", "upsert": "upsert"}[mode]
-    if write_mode == "overwrite":
-        # a full load never reads its own target, so a direct overwrite is safe
-        stage = path.rstrip("/") + "__stage"
+    seen = Observation(f"landed_{name}")
+    measures = [F.count(F.lit(1)).alias("rows")]
+    if mode == "incremental":
+        measures += _highest_measures(batch, cfg["watermark"])
+    rows = to_bronze(batch.observe(seen, *measures), name, run_text)
+    if mode == "upsert":
+        if not cfg.get("primary_key"):
+            raise ValueError("upsert needs a key")
+        keys = cfg["primary_key"]
+        rows = upsert_frames(read_table(spark, path) if table_exists(spark, path) else None, rows,
+                             [keys] if isinstance(keys, str) else list(keys))
+    elif mode == "full" and table_exists(spark, path):
+        lost = [c for c in read_table(spark, path).columns if c not in rows.columns]
+        rows = rows.withColumns({c: F.lit(None).cast("string") for c in lost}) if lost else rows
+    stage = path.rstrip("/") + ("__batch" if mode == "incremental" else "__stage")
+    drop_table(spark, stage)
+    rows.write.parquet(stage)
+    measured = seen.get
+    landed = int(measured.get("rows", 0))
+    if not landed:
         drop_table(spark, stage)
-        bronze.write.mode("overwrite").parquet(stage)
-        _swap(spark, stage, path)
+    elif mode == "incremental":
+        highest = _highest(measured)
+        if highest is not None:
+            _write_watermark(spark, stage, run_text, highest)
+        _commit_batch(spark, path)
     else:
-        land(spark, bronze, path, write_mode, key=cfg.get("primary_key"))
-    if new_wm is not None:
-        _write_watermark(spark, path, run_text, new_wm)
-    return int(landed.get.get("rows", 0))
+        _swap(spark, stage, path)
+    return landed
 
 
 def table_path(warehouse: str, identifier: str) -> str:
