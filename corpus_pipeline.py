@@ -6,7 +6,8 @@ of ``documents``. ``run`` writes every stage's result under the shared
 folder and reads it again as the next one's input.
 
 Empty tables give empty results in every stage; null texts count as empty;
-further columns are carried along untouched up to the last stage.
+further columns, whatever their names, are carried along untouched up to
+the last stage.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import packing, quality, simhash, substrings
-from tidemark.llm.common import store, table
+from tidemark.llm.common import free_name, store, table
 from tidemark.llm.queries import WORD_BPE, vocabulary
 
 #: SQL cannot express the classifier, so there is no statement for the whole
@@ -27,13 +28,15 @@ LEAST_QUALITY = 0.3
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored at least ``LEAST_QUALITY``; labels learnt as in op10."""
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out(F.col("doc_id")))
-    scored = quality.quality_scores(docs, quality.train(docs, labels), carry=True)
-    return scored.filter(F.col("_score") >= LEAST_QUALITY).select(*_columns(docs))
+    score = free_name(docs, "_score")
+    scored = quality.quality_scores(docs, quality.train(docs, labels), carry=True, added=score)
+    return scored.filter(F.col(score) >= LEAST_QUALITY).select(*_columns(docs))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of texts equal but for A-Z/a-z, the row of largest doc_id."""
-    return exact.exact_dedup(docs, keep="largest", carry=True).filter("_kept").select(*_columns(docs))
+    kept = free_name(docs, "_kept")
+    return exact.exact_dedup(docs, keep="largest", carry=True, added=kept).filter(kept).select(*_columns(docs))
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,7 +47,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, less the bytes in 400-byte strings that occur elsewhere;
     n_chars follows the text."""
-    cut = substrings.remove_repeats(docs, carry=True)
+    cut = substrings.remove_repeats(docs, carry=True, added=free_name(docs, "_removed"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*_columns(docs))

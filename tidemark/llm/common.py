@@ -39,6 +39,14 @@ def worker_cache(name, make):
     return _OWNER[1]
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it while ``df`` has such a column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 

@@ -104,13 +104,14 @@ def _runs(schema: pa.Schema, carried: list[str], last_stays: bool):
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
-                carry: bool = False) -> DataFrame:
+                carry: bool = False, added: str = "_kept") -> DataFrame:
     """One row per row of ``docs``, dropped ones too.
 
     Columns: ``id_col``, keep_id, group_size long, kept boolean, text_sha256
     (lowercase hex of the normalised text). ``keep`` is ``smallest`` or
     ``largest`` id. With ``carry`` the rows are those of ``docs``, all its
-    columns, with ``kept`` as the one column added (named ``_kept``).
+    columns, with ``kept`` as the one column added (named ``added``, which
+    ``docs`` must not have).
 
     Null text counts as empty. A null id sorts below every other; among
     equal texts exactly one row stays, also when rows repeat whole. Texts
@@ -147,7 +148,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     kept = F.col("stays") & (F.col("e_last").isNull() | (F.col("e_last") == F.col("pid")))
     if carry:
         back = {id_col: "id", text_col: "text"} | {c: f"x{i}" for i, c in enumerate(names) if c not in (id_col, text_col)}
-        return joined.select(*[F.col(back[c]).alias(c) for c in names], kept.alias("_kept"))
+        return joined.select(*[F.col(back[c]).alias(c) for c in names], kept.alias(added))
     return joined.select(
         F.col("id").alias(id_col), F.when(F.col("e_pid").isNull(), F.col("stay_id")).otherwise(F.col("e_id")).alias("keep_id"),
         F.coalesce("e_size", "size").alias("group_size"), kept.alias("kept"), F.col("sha").alias("text_sha256"))

@@ -122,8 +122,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id", text_col: str = "text",
-                   carry: bool = False, bits: int = BITS) -> DataFrame:
-    """``id_col`` (with ``carry``: every column of ``docs``) and score, 0 to 1.
+                   carry: bool = False, bits: int = BITS, added: str | None = None) -> DataFrame:
+    """``id_col`` (with ``carry``: every column of ``docs``) and score, 0 to 1
+    (named ``added``, by default ``score`` or, carried, ``_score``; ``docs``
+    must not carry one of that name).
 
     Null and empty texts have only the bias feature; the score depends on the
     text alone, so repeated rows score alike. An empty table gives an empty
@@ -146,7 +148,7 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, id_col: str = "doc_id",
 
     scored = rows.mapInArrow(run, out)
     return scored.select(*[F.col(f"x{i}").alias(c) for i, c in enumerate(cols[:n])],
-                         F.col("score").alias("_score" if carry else "score"))
+                         F.col("score").alias(added or ("_score" if carry else "score")))
 
 
 def held_out(id_col, folds: int = 5, fold: int = 0):

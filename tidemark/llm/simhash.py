@@ -290,11 +290,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, max_bits: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns, with one row of each component: that
     of smallest id, then of smallest hash of id and text; of rows alike in
-    both one stays. A null id goes before others, as it sorts first."""
+    both one stays. A null id goes before others, as it sorts first. Columns
+    may have any names."""
     key = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
     named = docs.select(F.struct(F.col(f"`{id_col}`").alias("id"), key.alias("key")).alias("row"), F.col(f"`{text_col}`").alias("text"))
     found = near_duplicates(named, "row", "text", shingle, max_bits)
     stay = store(found.select(F.col("component_id.id").alias("s_id"), F.col("component_id.key").alias("s_key")).distinct(), "staying")
-    rows = docs.withColumn("_key", key)
-    return (rows.join(stay, F.col(f"`{id_col}`").eqNullSafe(F.col("s_id")) & (F.col("_key") == F.col("s_key")), "left_semi")
-            .dropDuplicates([id_col, "_key"]).drop("_key"))
+    rows = docs.select(*[F.col(f"`{c}`").alias(f"x{i}") for i, c in enumerate(docs.columns)], key.alias("key"))
+    row_id = f"x{docs.columns.index(id_col)}"
+    return (rows.join(stay, F.col(row_id).eqNullSafe(F.col("s_id")) & (F.col("key") == F.col("s_key")), "left_semi")
+            .dropDuplicates([row_id, "key"]).select(*[F.col(f"x{i}").alias(c) for i, c in enumerate(docs.columns)]))

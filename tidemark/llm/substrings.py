@@ -417,11 +417,11 @@ def runs_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   carry: bool = False, shard: int = SHARD, merged: int = MERGED) -> DataFrame:
+                   carry: bool = False, shard: int = SHARD, merged: int = MERGED, added: str = "_removed") -> DataFrame:
     """Every row with the bytes removed that ``length``-byte strings occurring
     anywhere else cover: ``id_col``, n_bytes, n_removed, n_spans (maximal
     removed runs) long, kept_sha256. With ``carry``: all columns of ``docs``
-    with the text cut, and ``_removed``; a character cut in part goes whole.
+    with the text cut, and ``added``, the number of bytes removed; a character cut in part goes whole.
 
     Strings are judged on the input; matches overlap and lie in the same or
     another row, never across rows. Null text counts as empty (and stays null
@@ -468,4 +468,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not carry:
         return result.withColumnRenamed("id", id_col)
     back = {c: f"x{k}" for k, c in enumerate(cols)} | {text_col: "text"}
-    return result.select(*[F.col(back[c]).alias(c) for c in cols], F.col("removed").alias("_removed"))
+    return result.select(*[F.col(back[c]).alias(c) for c in cols], F.col("removed").alias(added))
