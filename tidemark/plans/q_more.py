@@ -64,7 +64,7 @@ def q_stitch(spark, sf_dir):
     """Every event resolved to a person through anonymous id links; the
     log is de-duplicated once and written, then linked and joined."""
     lh = fresh_lake(spark, sf_dir)
-    lh.materialize(["events"])
+    lh.materialize(["events", "identity_map"])
     return silver.event_identity_stitch(lh.events, lh.customers, lh.identity_map)
 
 
