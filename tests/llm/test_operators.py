@@ -179,6 +179,32 @@ def test_language(spark, empty):
     assert {r["lang_pred"] for r in language.identify(ask, empty).collect()} == {"und"}
 
 
+def test_language_keeps_every_letter_of_large_and_small_scripts(spark):
+    rnd = random.Random(3)
+    letters = {"zh": [chr(0x4E00 + k) for k in range(2500)], "ja": [chr(0x3042 + k) for k in range(80)] + [chr(0x4E00 + 9 * k) for k in range(250)],
+               "hy": [chr(0x561 + k) for k in range(38)], "ka": [chr(0x10D0 + k) for k in range(33)]}
+    words = {x: ["".join(rnd.choices(c, k=rnd.randint(2, 6))) for _ in range(800)] for x, c in letters.items()}
+    text = lambda x, n: " ".join(rnd.choices(words[x], k=n))
+    plan = [*["zh"] * 40, *["ja"] * 30, "hy", "ka", "ka"]
+    learn = spark.createDataFrame([(i, text(x, 900 if x in ("zh", "ja") else 300), x) for i, x in enumerate(plan)], "doc_id long, text string, lang string")
+    asked = [x for x in letters for _ in range(10)]
+    ask = spark.createDataFrame([(i, text(x, 60), None) for i, x in enumerate(asked)], learn.schema)
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(ask, learn).collect()}
+    assert [got[i] for i in range(len(asked))] == asked
+
+
+def test_sparse_automata_cost_as_full_tables():
+    rnd = random.Random(4)
+    make = lambda c, n: "".join(rnd.choices(c, k=n))
+    samples = {"a": [make("abcd efAB", 900) for _ in range(4)], "b": [make("bdfhj é", 700)], "c": [make("xyz한日本 ", 500), "ıſẞİ"]}
+    full, sparse = language.CrossParser(samples, 1500), language.CrossParser(samples, 1500, dense=0)
+    assert full.dense and not sparse.dense
+    texts = [make("abcdefhjxyz éAB한日本Ж1ſSıIß", n) for n in (0, 1, 7, 90, 2500, 5000)] + ["ẞ", "S"]
+    for x, y in zip(full.costs(texts), sparse.costs(texts)):
+        assert (x == y).all()
+    assert sparse.symbols("S")[0] == language.UNKNOWN and sparse.symbols("ẞſ").min() > language.UNKNOWN
+
+
 def test_suffix_automaton_holds_every_substring():
     s = [2, 3, 2, 3, 4, 2, 2, 3]
     nxt = language.automaton(s)

@@ -14,8 +14,6 @@ of each, ``learn_chars`` symbols in all. Every text is classified whole.
 from __future__ import annotations
 
 import math
-from collections import Counter
-
 import numpy as np
 import pyarrow as pa
 import regex
@@ -26,7 +24,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark.llm.common import batch, text_batches, worker_cache
 
-LETTERS = 200  # most different letters of an alphabet
+DENSE = 200  # most different letters for which automata become full tables
 CHUNK = 2048  # symbols parsed in one go; a phrase never crosses a chunk
 GAP, UNKNOWN = 0, 1  # symbols: a run of other characters, a letter outside the alphabet
 BATCH_CHARS = 1 << 20
@@ -62,28 +60,80 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
+class SparseTable:
+    """Transitions of many automata by row displacement: those of a state lie
+    at its own offset plus their symbols, each place taken by one state. Small
+    whatever the alphabet, and found by one look."""
+
+    def __init__(self, states: list[dict[int, int]], size: int):
+        room = size + 4 * sum(map(len, states)) + 64
+        self.owner = np.full(room + 2 * size, -1, np.int32)
+        self.to = np.zeros(room + 2 * size, np.int32)
+        self.off = np.zeros(len(states), np.int64)
+        rnd = np.random.default_rng(0)
+        fan = np.array([len(g) for g in states], np.int64)
+        for s in np.argsort(-fan, kind="stable")[:int((fan > 1).sum())].tolist():  # most first, while there is room
+            syms = np.fromiter(states[s], np.int64, len(states[s]))
+            for _ in range(20):
+                tried = rnd.integers(0, room, 32)
+                fits = np.flatnonzero((self.owner[tried[:, None] + syms] < 0).all(axis=1))
+                if len(fits):
+                    at = int(tried[fits[0]])
+                    break
+            else:  # crowded: room of its own at the end
+                at = len(self.owner)
+                self.owner = np.append(self.owner, np.full(2 * size, -1, np.int32))
+                self.to = np.append(self.to, np.zeros(2 * size, np.int32))
+            self.off[s] = at
+            self.owner[at + syms] = s
+            self.to[at + syms] = np.fromiter(states[s].values(), np.int64, len(syms))
+        single = np.flatnonzero(fan == 1)
+        syms = np.array([next(iter(states[s])) for s in single.tolist()], np.int64)
+        place = np.flatnonzero(self.owner[size:] < 0)[:len(single)] + size
+        self.off[single] = place - syms
+        self.owner[place] = single
+        self.to[place] = [next(iter(states[s].values())) for s in single.tolist()]
+
+    def step(self, state: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after ``symbol``, and where there is no transition."""
+        at = self.off.take(state) + symbol
+        return self.to.take(at), self.owner.take(at) != state
+
+
 class CrossParser:
-    def __init__(self, samples: dict[str, list[str]], learn_chars: int):
+    """All letters of the samples are in the alphabet; one that a language's
+    own sample lacks ends a phrase in that language only. Up to ``dense``
+    letters the automata are full tables, beyond that sparse ones; both give
+    the same costs."""
+
+    def __init__(self, samples: dict[str, list[str]], learn_chars: int, dense: int = DENSE):
         self.langs = sorted(samples)
-        letters = Counter(c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha())
-        alphabet = {c: k + 2 for k, (c, _) in enumerate(sorted(letters.most_common(LETTERS)))}
+        letters = {c for texts in samples.values() for t in texts for c in t.lower() if c.isalpha()}
+        alphabet = {c: k + 2 for k, c in enumerate(sorted(letters))}
         self.size = len(alphabet) + 3  # one more symbol separates learnt texts
-        self.symbol = np.zeros(0x110000, np.uint8)
+        self.symbol = np.zeros(0x110000, np.int32)
         every = "".join(map(chr, (*range(0xD800), *range(0xE000, 0x110000))))
         for m in regex.finditer(r"\p{L}+", every):
-            shift = 0x800 * (m.start() >= 0xD800)
-            self.symbol[m.start() + shift:m.end() + shift] = UNKNOWN
+            for c in m.group():
+                self.symbol[ord(c)] = alphabet.get(c.lower()[0], UNKNOWN)
         for c, k in alphabet.items():
             self.symbol[ord(c)] = k
-            if len(c.upper()) == 1:
-                self.symbol[ord(c.upper())] = k
-        tables, self.start, self.bits, base = [], [], [], 0
+        self.dense = len(alphabet) <= dense
+        tables, states, first, self.start, self.bits, base = [], [], [], [], [], 0
         for lang in self.langs:
             learnt: list[int] = []
             texts = samples[lang]
             for t in texts:
                 learnt += self.symbols(t)[:max(1, learn_chars // len(texts))].tolist() + [self.size - 1]
             nxt = automaton(learnt)
+            self.bits.append(math.log2(len(learnt) + 2))
+            if not self.dense:
+                states += [{c: base + to for c, to in go.items() if c not in (UNKNOWN, self.size - 1)} for go in nxt]
+                first.append(np.full(self.size, base, np.int64))
+                first[-1][list(states[base])] = list(states[base].values())
+                self.start.append(base)
+                base += len(nxt)
+                continue
             # a transition is state * size; where a phrase ends, the complement of the start's own
             table = np.full((len(nxt), self.size), 0, np.int32)
             for c in range(self.size):
@@ -95,9 +145,11 @@ class CrossParser:
                         table[s, c] = (base + to) * self.size
             tables.append(table)
             self.start.append(base * self.size)
-            self.bits.append(math.log2(len(learnt) + 2))
             base += len(nxt)
-        self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        if self.dense:
+            self.table = np.concatenate(tables).ravel() if tables else np.zeros(0, np.int32)
+        else:
+            self.sparse, self.first = SparseTable(states, self.size), np.stack(first)
 
     def symbols(self, text: str) -> np.ndarray:
         s = self.symbol[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]
@@ -120,9 +172,14 @@ class CrossParser:
         phrases = np.ones((len(self.langs), len(lanes)), np.int64)
         active = np.searchsorted(-size, -np.arange(1, len(rows) + 1), side="right")
         for t, n in enumerate(active.tolist()):
-            go = self.table.take(state[:, :n] + rows[t, :n])
-            phrases[:, :n] += go < 0
-            state[:, :n] = go ^ (go >> 31)
+            if self.dense:
+                go = self.table.take(state[:, :n] + rows[t, :n])
+                phrases[:, :n] += go < 0
+                state[:, :n] = go ^ (go >> 31)
+            else:
+                go, ends = self.sparse.step(state[:, :n], rows[t, :n])
+                phrases[:, :n] += ends
+                state[:, :n] = np.where(ends, self.first.take(rows[t, :n], axis=1), go)
         of = np.array([k for k, _ in lanes], np.int64)
         total = np.stack([np.bincount(of, weights=p, minlength=len(texts)) for p in phrases]) if lanes else np.zeros((len(self.langs), len(texts)))
         return total * np.array(self.bits)[:, None], letters
