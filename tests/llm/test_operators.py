@@ -167,6 +167,19 @@ def test_substrings_carry_and_repeated_rows(spark, odd):
     assert [r["n_removed"] for r in substrings.remove_repeats(twice).collect()] == [501, 501]
 
 
+def test_substrings_spans_of_many_repeats_stay_bounded(spark):
+    rnd = random.Random(9)
+    long = "".join(rnd.choices("abcdefgh ", k=3000))
+    sizes = []
+    for k in (2, 60):
+        docs = frame(spark, [long] * k + [long] * k + ["other"], [7] * k + [None] * k + [8])
+        rows = substrings.spans_by_row(substrings.repeated_spans(docs, "doc_id", "text", 400))
+        sizes.append(sorted((str(r["id"]), len(r["spans"])) for r in rows.collect()))
+        got = sorted(map(repr, substrings.remove_repeats(docs).select("doc_id", "n_removed", "n_spans").collect()))
+        assert len(got) == 2 * k + 1 and sum("n_removed=3000, n_spans=1" in g for g in got) == 2 * k
+    assert len(sizes[0]) == 2 and sizes[0] == sizes[1]
+
+
 def test_language(spark, empty):
     rnd = random.Random(0)
     words = {"aa": ["kalo", "miru", "tesu", "nopa"], "bb": ["strund", "grimf", "wolkt", "brend"]}

@@ -416,6 +416,13 @@ def runs_of(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(x) for x in out]
 
 
+def spans_by_row(marks: DataFrame) -> DataFrame:
+    """One row (id, key, spans) for all rows with that id and key. Repeated
+    rows give the same marks, each taken once: the spans of a key are bounded
+    by its text, however often the row repeats."""
+    return marks.groupBy("id", "key").agg(F.collect_set(F.struct("s", "e")).alias("spans"))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
                    carry: bool = False, shard: int = SHARD, merged: int = MERGED, added: str = "_removed") -> DataFrame:
     """Every row with the bytes removed that ``length``-byte strings occurring
@@ -432,8 +439,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     extra = [F.col(f"`{c}`").alias(f"x{k}") for k, c in enumerate(cols) if c != text_col]
     i, t = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
     rows = text_batches(docs).select(i.alias("id"), F.xxhash64(i, t).alias("key"), t.cast("binary").alias("data"), *extra)
-    spans = (repeated_spans(docs, id_col, text_col, length, shard, merged)
-             .groupBy("id", "key").agg(F.collect_list(F.struct("s", "e")).alias("spans")))
+    spans = spans_by_row(repeated_spans(docs, id_col, text_col, length, shard, merged))
     joined = rows.join(spans.select(F.col("id").alias("c_id"), F.col("key").alias("c_key"), "spans"),
                        F.col("id").eqNullSafe(F.col("c_id")) & (F.col("key") == F.col("c_key")), "left").drop("c_id", "c_key", "key")
     kept_cols = [f.name for f in joined.schema.fields if f.name.startswith("x")]
