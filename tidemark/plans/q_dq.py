@@ -20,15 +20,12 @@ NOW_SQL = f"TIMESTAMP '{NOW}'"
 EVENTS_NOW_SQL = f"TIMESTAMP '{EVENTS_NOW}'"
 
 
-#: Size of the fixture business relative to the original (1,000 people), per
-#: data set: row-count bands scale with it. TPC-H has 150,000 customers x sf.
-#: Never taken from the tables that the checks judge.
-SCALES = {"sf0.001": 0.15, "sf0.01": 1.5, "sf0.1": 15.0, "check_s": 15.0, "check_l": 15.0, "check_h": 15.0}
-
-
 def fixture_scale(spark: SparkSession, sf_dir: str) -> float:
-    """The data set's fixed scale, by its folder's name (others: the original's 1)."""
-    return SCALES.get(sf_dir.rstrip("/").rpartition("/")[2], 1.0)
+    """Size of the fixture business relative to the original (1,000 people):
+    row-count bands scale with it. Read, as in the SQL statements
+    (``oracle_dq.SCALE_SQL``), from the source table ``customer``, whatever
+    the folder's name."""
+    return adapter.read_driver_table(spark, sf_dir, "customer").count() / 1000.0
 
 
 def all_tables(lh: Lakehouse) -> dict[str, DataFrame]:
