@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "labels", "conversations"):
+    for t in ("documents", "embeddings", "labels", "conversations", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     res = con.execute(ORACLE[name])
@@ -27,7 +27,7 @@ def test_oracle(spark, name):
 
 
 def test_every_operator_is_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
 
 
 def test_held_out_accuracy(spark):
@@ -86,6 +86,8 @@ def odd_tables(spark, rows):
                           "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
     spark.createDataFrame([(20 * i, [1.0, float(i)], None) for i, _ in enumerate(rows)],
                           "vec_id long, embedding array<float>, rank string").write.parquet(f"{d}/embeddings.parquet")
+    spark.createDataFrame([(None if i == 2 else i, r[1], "clash") for i, r in enumerate(rows)],
+                          "item_id long, text string, rank string").write.parquet(f"{d}/benchmark.parquet")
     spark.createDataFrame([(None if i == 2 else 1, None if i == 3 else i, None if i == 4 else "ann", r[1], "clash") for i, r in enumerate(rows)],
                           "conv_id long, turn int, role string, text string, piece string").write.parquet(f"{d}/conversations.parquet")
     return d
@@ -100,7 +102,7 @@ def odd_dir(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_queries_on_odd_and_empty_tables(spark, odd_dir, name):
     rows = QUERIES[name](spark, odd_dir).collect()
-    if name not in ("op5_packing", "op6_neighbours", "op9_chat"):
+    if name not in ("op5_packing", "op6_neighbours", "op9_chat", "op13_search"):
         assert sorted(map(str, (r["doc_id"] for r in rows))) == sorted(map(str, [*range(len(TEXTS)), 3, 7, None, None]))
     else:
         assert rows
