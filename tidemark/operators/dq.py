@@ -268,6 +268,19 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
     return out.select("r.*")
 
 
+def run_or_report(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequence[Check],
+                  as_of, reference_now=None, scale: float = 1.0) -> DataFrame:
+    """``run_checks`` over the tables there are; a check whose table is
+    missing is a row without a value and with the outcome ``error`` (Q12)."""
+    there = [c for c in checks if c.table in tables]
+    lost = [c for c in checks if c.table not in tables]
+    parts = [run_checks(spark, tables, there, as_of, reference_now, scale)] if there else []
+    if lost:
+        parts.append(spark.createDataFrame([(c.layer, c.table, c.name, None, "error") for c in lost],
+                                           "layer string, table_name string, check_name string, value double, outcome string"))
+    return reduce(DataFrame.union, parts)
+
+
 class GateError(RuntimeError):
     def __init__(self, code: int, message: str):
         super().__init__(message)

@@ -2,9 +2,8 @@
 
 Scale notes
 -----------
-* The price list is a literal seed of four rows: it is the only table ever
-  broadcast explicitly. Everything else is left to the planner (AQE turns
-  a join into a broadcast only from measured sizes).
+* No join is hinted: AQE turns one into a broadcast from measured sizes
+  only (the price list, a literal seed, always is one).
 * Marts that only need "does this person have a paid subscription" reduce
   the fact table to one row per person first (partial aggregation), and
   drop the rows without a person before that: NULL keys never match a
@@ -118,7 +117,7 @@ def mart_mrr(fact: DataFrame, pricing: DataFrame) -> DataFrame:
     """Monthly recurring revenue per plan over current active versions."""
     per_plan = current_active(fact).groupBy("plan").agg(
         F.count(F.lit(1)).alias("active_subscriptions"))
-    return (per_plan.join(F.broadcast(pricing), "plan", "inner")
+    return (per_plan.join(pricing, "plan", "inner")
             .select("plan", "active_subscriptions", "monthly_price",
                     (F.col("active_subscriptions") * F.col("monthly_price")).cast("bigint")
                     .alias("mrr")))
@@ -130,7 +129,7 @@ def mart_ltv(fact: DataFrame, pricing: DataFrame, as_of) -> DataFrame:
     today's price (M12). ``as_of`` replaces ``current_timestamp`` (T19).
     Versions without a person form one NULL group, as in SQL."""
     t = ts_literal(as_of)
-    priced = current_active(fact).join(F.broadcast(pricing), "plan", "inner")
+    priced = current_active(fact).join(pricing, "plan", "inner")
     tenure = clamp_non_negative(months_between_whole(F.col("sub_started_at"), t))
     priced = priced.withColumn("tenure_months", tenure)
     return priced.groupBy("customer_key").agg(

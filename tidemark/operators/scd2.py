@@ -8,6 +8,8 @@ Timestamp strategy on ``key``/``updated_at``:
 * anything else (same or older ``updated_at``) changes nothing;
 * keys that vanish from the source stay open.
 
+``states_at`` looks up the versions valid at many instants at once.
+
 ``snapshot_timestamp`` applies one run to a previous snapshot (a full outer
 join of the open versions with the source, both unique per key).
 ``history_from_log`` rebuilds the same table in one pass from the
@@ -127,3 +129,46 @@ def state_as_of(history: DataFrame, as_of) -> DataFrame:
     t = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp")
     return history.filter((F.col("valid_from") <= t)
                           & (F.col("valid_to").isNull() | (F.col("valid_to") > t)))
+
+
+def states_at(history: DataFrame, instants: DataFrame, at: str, by: Sequence[str] = (), days: int = 31,
+              spread: int = 32) -> DataFrame:
+    """The versions valid at each of many instants (J10, N6): every row of
+    ``instants`` (time column ``at``) with every version that holds then, and
+    equal ``by`` columns (none: all keys, a report per instant; the key: each
+    probe finds its own key's state).
+
+    An equi-join on time bins instead of a nested loop. Bins of ``days`` are
+    level 0, and each further level's are ``spread`` times as wide. A version
+    goes to the lowest level at which it lasts less than ``spread`` bins, so
+    it is copied at most ``spread`` + 1 times however long it lasts; an
+    instant is looked up once per level, and levels are few (the logarithm
+    of the span of the instants). With ``by``, a key that holds a large share
+    of the versions is dealt out by its bins.
+
+    Instants or versions without a start match nothing; equal instants are
+    answered each; columns of ``history`` that ``instants`` has too (beside
+    ``by``) are left out.
+    """
+    micros = lambda c: F.unix_micros(c.cast("timestamp"))
+    out = [c for c in history.columns if c not in instants.columns]
+    probes = instants.withColumn("_t", micros(F.col(at))).filter("_t IS NOT NULL")
+    span = probes.agg(F.min("_t").alias("first"), F.max("_t").alias("last")).first()
+    first, last = span["first"] or 0, span["last"] or 0
+    step, top = days * 86_400_000_000, 0
+    while (last - first) // (step * spread ** top) >= spread:
+        top += 1
+    begin = F.greatest(micros(F.col("valid_from")), F.lit(first))
+    end = F.least(F.coalesce(micros(F.col("valid_to")) - 1, F.lit(last)), F.lit(last))
+    level = F.lit(top)
+    for n in reversed(range(top)):
+        level = F.when(F.col("_e") - F.col("_b") < step * spread ** (n + 1), n).otherwise(level)
+    # one rising function of time on both sides, so rounding cannot part them
+    bin_of = lambda t, lvl: F.floor(t / (F.lit(float(step)) * F.pow(F.lit(float(spread)), lvl)))
+    placed = (history.select(*by, *out, begin.alias("_b"), end.alias("_e")).filter("valid_from IS NOT NULL AND _b <= _e")
+              .withColumn("_level", level).withColumn("_bin", F.explode(F.sequence(
+                  bin_of(F.col("_b"), F.col("_level")), bin_of(F.col("_e"), F.col("_level"))))))
+    looked = (probes.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
+              .withColumn("_bin", bin_of(F.col("_t"), F.col("_level"))))
+    met = looked.join(placed, [*by, "_level", "_bin"]).filter((F.col("_b") <= F.col("_t")) & (F.col("_t") <= F.col("_e")))
+    return met.select(*instants.columns, *out)

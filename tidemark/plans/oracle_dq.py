@@ -39,6 +39,8 @@ SQL_COLUMNS = {
 }
 
 SCALE_SQL = "(CAST((SELECT count(*) FROM customer) AS DOUBLE) / 1000.0)"
+# the size a data set is declared to have: three people to four parts, in a table no check judges
+FIXED_SCALE_SQL = "(CAST((SELECT count(*) FROM part) AS DOUBLE) * 0.75 / 1000.0)"
 
 
 def _q(col: str) -> str:
@@ -98,13 +100,13 @@ _TABLE_NAMES = ["customers", "identity_map", "subscriptions", "events", "dim_cus
                 "fact_subscriptions", "mart_mrr", "mart_ltv", "mart_funnel", "recon_billing_vs_app"]
 
 
-def cond_sql(cond: tuple | None) -> str:
+def cond_sql(cond: tuple | None, scale_sql: str = SCALE_SQL) -> str:
     if cond is None:
         return "false"
     op, *a = cond
     scaled = bool(a) and a[-1] == "scaled"
     a = [x for x in a if x != "scaled"]
-    a = [f"({x} * {SCALE_SQL})" if scaled else repr(float(x)) for x in a]
+    a = [f"({x} * {scale_sql})" if scaled else repr(float(x)) for x in a]
     return {
         "gt": f"value > {a[0]}" if a else "", "ge": f"value >= {a[0]}" if a else "",
         "lt": f"value < {a[0]}" if a else "", "le": f"value <= {a[0]}" if a else "",
@@ -117,7 +119,7 @@ def cond_sql(cond: tuple | None) -> str:
 def checks_sql(checks: Sequence[Check], now_sql: str, ref_sql: str,
                table_blocks: dict[str, str] | None = None,
                columns: dict[str, list[str]] | None = None,
-               errors: Sequence[int] = ()) -> str:
+               errors: Sequence[int] = (), scale_sql: str = SCALE_SQL) -> str:
     """One statement: a row per check (layer, table_name, check_name, value, outcome)."""
     blocks = dict(SQL_TABLES)
     blocks.update(table_blocks or {})
@@ -129,8 +131,8 @@ def checks_sql(checks: Sequence[Check], now_sql: str, ref_sql: str,
             v, outcome = "CAST(NULL AS DOUBLE)", "'error'"
         else:
             v = f"CAST(({value_sql(c, tbl, now_sql, ref_sql, cols)}) AS DOUBLE)"
-            outcome = (f"CASE WHEN coalesce({cond_sql(c.fail)}, false) THEN 'fail' "
-                       f"WHEN coalesce({cond_sql(c.warn)}, false) THEN 'warn' ELSE 'pass' END")
+            outcome = (f"CASE WHEN coalesce({cond_sql(c.fail, scale_sql)}, false) THEN 'fail' "
+                       f"WHEN coalesce({cond_sql(c.warn, scale_sql)}, false) THEN 'warn' ELSE 'pass' END")
         parts.append(f"SELECT '{c.layer}' AS layer, '{c.table}' AS table_name, "
                      f"'{c.name}' AS check_name, value, {outcome} AS outcome "
                      f"FROM (SELECT {v} AS value) v{i}")

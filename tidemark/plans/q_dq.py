@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import dq, rules
 from tidemark.plans.model import Lakehouse
 from tidemark.plans.oracle import build
-from tidemark.plans.oracle_dq import SQL_COLUMNS, checks_sql
+from tidemark.plans.oracle_dq import FIXED_SCALE_SQL, SQL_COLUMNS, checks_sql
 from tidemark.plans.queries import fresh_lake, lake, register
 from tidemark.sources import adapter
 
@@ -28,6 +28,12 @@ def fixture_scale(spark: SparkSession, sf_dir: str) -> float:
     return adapter.read_driver_table(spark, sf_dir, "customer").count() / 1000.0
 
 
+def fixed_scale(spark: SparkSession, sf_dir: str) -> float:
+    """The declared size of the data set, from a table that no check judges
+    (``oracle_dq.FIXED_SCALE_SQL``): losing people does not move the bands."""
+    return adapter.read_driver_table(spark, sf_dir, "part").count() * 0.75 / 1000.0
+
+
 def all_tables(lh: Lakehouse) -> dict[str, DataFrame]:
     t = dict(lh.bronze)
     t.update(lh.tables("silver"))
@@ -50,11 +56,11 @@ REUSED = {
 }
 
 
-def _run(spark, sf_dir, checks, layer):
+def _run(spark, sf_dir, checks, layer, scale=fixture_scale):
     lh = fresh_lake(spark, sf_dir) if REUSED[layer] else lake(spark, sf_dir)
     lh.materialize(REUSED[layer])
     return dq.run_checks(spark, all_tables(lh), checks, NOW, EVENTS_NOW,
-                         scale=fixture_scale(spark, sf_dir))
+                         scale=scale(spark, sf_dir))
 
 
 def _sql(checks, **kw):
@@ -166,3 +172,44 @@ def q_neg_dups(spark, sf_dir):
 def q_neg_drop(spark, sf_dir):
     """+ column dropped -> schema and column_count (9) fail: 4 failures."""
     return _negative(spark, sf_dir, 3)
+
+
+# ------------------------------------------------------------------ fixed bands
+@register("dq_bronze_fixed", _sql(rules.bronze_checks(), scale_sql=FIXED_SCALE_SQL))
+def q_dq_bronze_fixed(spark, sf_dir):
+    """Q1 with bands that the judged tables cannot move (31 checks)."""
+    return _run(spark, sf_dir, rules.bronze_checks(), "bronze", fixed_scale)
+
+
+@register("dq_silver_fixed", _sql(rules.silver_checks(), scale_sql=FIXED_SCALE_SQL))
+def q_dq_silver_fixed(spark, sf_dir):
+    """The silver suite with fixed bands (16 checks)."""
+    return _run(spark, sf_dir, rules.silver_checks(), "silver", fixed_scale)
+
+
+@register("dq_gold_fixed", _sql(rules.gold_checks(), scale_sql=FIXED_SCALE_SQL))
+def q_dq_gold_fixed(spark, sf_dir):
+    """The gold suite with fixed bands (13 checks)."""
+    return _run(spark, sf_dir, rules.gold_checks(), "gold", fixed_scale)
+
+
+@register("dq_lost_half_fixed", _sql(_crm_checks(), table_blocks={"crm_contacts": "crm_half"}, scale_sql=FIXED_SCALE_SQL,
+                                     columns={"crm_contacts": SQL_COLUMNS["bronze_crm_contacts"]}))
+def q_dq_lost_half(spark, sf_dir):
+    """Q1, Q12: half of the contacts are gone; the row count fails."""
+    crm = lake(spark, sf_dir).bronze["crm_contacts"].filter(F.col("last_name").cast("long") % 2 == 0)
+    return dq.run_checks(spark, {"crm_contacts": crm}, _crm_checks(), NOW, EVENTS_NOW, scale=fixed_scale(spark, sf_dir))
+
+
+def _missing_checks():
+    """The checks of two tables, those of the second without its table."""
+    return ([c for c in rules.bronze_checks() if c.table == "stripe_customers"]
+            + [c for c in rules.bronze_checks() if c.table == "app_users"])
+
+
+@register("dq_missing_table", _sql(_missing_checks(), scale_sql=FIXED_SCALE_SQL,
+                                   errors=[k for k, c in enumerate(_missing_checks()) if c.table == "app_users"]))
+def q_dq_missing_table(spark, sf_dir):
+    """Q12: checks whose table is not there could not run: error, no value."""
+    tables = {"stripe_customers": lake(spark, sf_dir).bronze["stripe_customers"]}
+    return dq.run_or_report(spark, tables, _missing_checks(), NOW, EVENTS_NOW, scale=fixed_scale(spark, sf_dir))

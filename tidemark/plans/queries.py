@@ -50,4 +50,4 @@ def fresh_lake(spark: SparkSession, sf_dir: str) -> Lakehouse:
 
 
 # the query modules register themselves on import
-from tidemark.plans import q_core, q_dq, q_io, q_more  # noqa: E402,F401
+from tidemark.plans import q_core, q_dq, q_io, q_more, q_state  # noqa: E402,F401
