@@ -11,9 +11,11 @@ of a recompressed text:
    document of every partition, without a dictionary to pass around.
    Kept beside a symbol is the stretch of words that decided it. Wherever
    these words occur, the symbol does.
-2. A window is known by the first symbol of the highest round whose stretch
-   lies inside it. Equal windows agree on it. Neighbouring windows known by
-   the same place form a segment.
+2. A window is known by one symbol whose stretch lies inside it: of those of
+   the last rounds the longest, up to ENOUGH words, and of these the one of
+   least hash; where there is none, the first one of the highest round that
+   has one. Equal windows agree on it. Neighbouring windows known by the same
+   name form a segment.
 3. Spark counts the names: a segment whose symbol is met in one document
    only holds no repeat. Segments equal as a whole take the smallest id at
    once, however many there are. One of each different content has its
@@ -37,6 +39,8 @@ from tidemark.llm.common import batch, store, text_batches
 from tidemark.llm.substrings import keyed, runs_of
 
 ROUNDS = 9
+POOLED = 6  # rounds from here on offer their symbols together
+ENOUGH = 8  # words of a symbol beyond which longer is not better
 BLOCK = 1 << 17  # words parsed at once; longer texts go in blocks that overlap by a window
 MIX = np.uint64(0x9E3779B97F4A7C15)
 FOLD = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -124,7 +128,27 @@ def window_anchors(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, leng
     for number in range(2, rounds + 1):
         levels.append(name_pairs(levels[-1], number, starts, ends))
     name, place = np.zeros(total, np.uint64), np.full(total, -1)
-    for s in reversed(levels):
+    # the last rounds together: symbols are written over all windows that hold what decides them, the best last
+    names, places, lows, highs, sizes = [], [], [], [], []
+    for number in range(POOLED, rounds + 1):
+        s = levels[number]
+        fresh = np.ones(len(s.name), bool)
+        if number > POOLED:  # one that stayed as it was is in already
+            end = np.zeros(total, np.int64)
+            end[levels[number - 1].beg] = levels[number - 1].end
+            fresh = end[s.beg] != s.end
+        begin, finish = starts[s.of], ends[s.of]
+        low, high = np.maximum(s.high - length, begin), np.minimum(s.low, finish - length)
+        use = np.flatnonzero(fresh & (low <= high) & (s.low >= begin) & (s.high <= finish))
+        for kept, x in zip((names, places, lows, highs, sizes), (s.name, s.beg, low, high, s.end - s.beg)):
+            kept.append(x[use])
+    names, places, lows, highs, sizes = map(np.concatenate, (names, places, lows, highs, sizes))
+    order = np.lexsort((~mixed(names), np.minimum(sizes, ENOUGH)))
+    n = (highs - lows + 1)[order]
+    fill = np.repeat(lows[order] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    name[fill] = np.repeat(names[order], n)
+    place[fill] = np.repeat(places[order], n)
+    for s in reversed(levels[:POOLED]):
         # windows that hold what decides a symbol, and not what decides the one before it
         first, _ = s.edges()
         begin, finish = starts[s.of], ends[s.of]
@@ -151,9 +175,10 @@ def segments(texts: list[np.ndarray], length: int):
     words = np.concatenate(texts)
     name, place = window_anchors(words, starts, ends, length)
     of = np.repeat(np.arange(len(texts)), size)
-    cut = np.flatnonzero(np.append(True, (place[1:] != place[:-1]) | (name[1:] != name[:-1]) | (of[1:] != of[:-1])))
+    held = place >= 0
+    cut = np.flatnonzero(np.append(True, (name[1:] != name[:-1]) | (held[1:] != held[:-1]) | (of[1:] != of[:-1])))
     last = np.append(cut[1:], len(words)) - 1
-    real = place[cut] >= 0
+    real = held[cut]
     cut, last = cut[real], last[real]
     raw, digest = memoryview(words), xxhash.xxh3_64_intdigest
     digests = np.fromiter((digest(raw[a:b]) for a, b in zip(cut.tolist(), (last + length).tolist())), np.uint64, len(cut))
@@ -253,7 +278,8 @@ def earlier_spans(docs: DataFrame, id_col: str, text_col: str, length: int) -> D
         ("key", T.LongType()), ("start", T.IntegerType()), ("size", T.IntegerType()), ("anchor", T.LongType()), ("digest", T.LongType()))]])
     segs = store(rows.mapInArrow(_segment(to_arrow_schema(seg_type), length), seg_type), "segments")
     who = F.struct(F.col("id").alias("id"))  # a struct sorts null first, and is itself never null
-    shared = segs.groupBy("anchor").agg(F.min(who).alias("a"), F.max(who).alias("b")).filter("a < b").select("anchor")
+    shared = segs.groupBy("anchor").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.max(F.col("id").isNull()).alias("none")).filter(
+        "a < b OR (none AND a IS NOT NULL)").select("anchor")
     again = store(segs.join(store(shared, "names"), "anchor", "left_semi"), "again")
     kinds = store(again.groupBy("anchor", "digest").agg(
         F.min(F.struct("id", "key", "start", "size")).alias("at"), F.max(who).alias("most")), "kinds")
