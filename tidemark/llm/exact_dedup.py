@@ -4,8 +4,10 @@ Rows are range-partitioned on sampled splitters over the normalised bytes
 (their opening, then a 128-bit digest of all of them, then the id), sorted
 inside each partition by Spark's external sort, and neighbours are compared
 in full. The id in the splitter key lets a text that a third of all rows
-share cross as many partitions as it needs; a run that touches a partition's
-edge is completed from at most two summary rows per partition.
+share cross as many partitions as it needs. A run that touches a partition's
+edge, or that was too long to hold at once and came in slices, is completed
+from one summary row per part, by the SHA-256 of its text: two per partition
+and one per ``HELD`` bytes or rows of one run.
 """
 
 from __future__ import annotations
@@ -25,6 +27,8 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from tidemark.llm.common import batch, store, text_batches
 
 PREFIX_BYTES = 24
+HELD = 64 << 20, 100_000  # bytes and rows of an open run kept in memory
+BROADCAST_ROWS = 200_000  # summary rows of about 150 bytes; more are joined by a shuffle
 
 
 def normalised(text: pa.Array) -> pa.Array:
@@ -42,36 +46,46 @@ def _keys(schema: pa.Schema):
     return run
 
 
-def _runs(schema: pa.Schema, carried: list[str], last_stays: bool):
+def _runs(schema: pa.Schema, carried: list[str], last_stays: bool, most: tuple[int, int]):
     """One output row per row: its run in this partition, the run's size and
-    the id that stays of it. ``edge`` carries the text on the staying row of
-    the first and the last run, which may go on in another partition."""
+    the id that stays of it. ``edge`` is set on the staying row of the first
+    and the last run, which may go on in another partition, and of every
+    part of a run that came in slices."""
     def run(batches):
         pid = TaskContext.get().partitionId()
-        held, held_norm, number = [], None, 0  # slices of the run still open
+        held, held_norm, number, sliced = [], None, 0, False  # batches of the run still open
 
         def emit(rows: pa.RecordBatch, norm: list[bytes], starts: np.ndarray, edge: bool) -> pa.RecordBatch:
-            """``rows`` hold whole runs, beginning at ``starts``."""
+            """``rows`` hold whole runs (or one part of a run), beginning at ``starts``."""
             nonlocal number
             sizes = np.diff(np.append(starts, rows.num_rows))
             stay = starts + sizes - 1 if last_stays else starts
             of = np.repeat(np.arange(len(starts)), sizes)
             stays = np.zeros(rows.num_rows, bool)
             stays[stay] = True
-            edges = pa.nulls(rows.num_rows, pa.binary())
-            if edge:
-                edges = pa.array([norm[0] if x else None for x in stays], pa.binary())
             sha = pa.array([hashlib.sha256(x).hexdigest() for x in norm])
             out = batch(schema, *[rows.column(c) for c in carried], sha.take(pa.array(of)),
                         np.full(len(of), pid, np.int32), number + of, sizes[of],
-                        rows.column("id").take(pa.array(stay[of])), stays, edges)
+                        rows.column("id").take(pa.array(stay[of])), stays, stays & edge)
             number += len(starts)
             return out
 
-        def close(edge: bool) -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        def close(edge: bool):
+            """The run held, or its last part. Arrow may give it in several
+            batches: each is a part of its own then."""
+            nonlocal sliced
+            parts = pa.Table.from_batches(held).combine_chunks().to_batches()
             held.clear()
-            return emit(rows, [held_norm], np.zeros(1, np.int64), edge)
+            edge, sliced = edge or sliced or len(parts) > 1, False
+            for rows in parts:
+                yield emit(rows, [held_norm], np.zeros(1, np.int64), edge)
+
+        def cut():
+            """A run too long to hold: give out what there is of it."""
+            nonlocal sliced
+            if sum(h.nbytes for h in held) > most[0] or sum(h.num_rows for h in held) > most[1]:
+                yield from close(True)
+                sliced = True
 
         for b in batches:
             if not b.num_rows:
@@ -80,14 +94,16 @@ def _runs(schema: pa.Schema, carried: list[str], last_stays: bool):
             same = pc.equal(norm.slice(1), norm.slice(0, len(norm) - 1)).to_numpy(zero_copy_only=False)
             starts = np.append(0, np.flatnonzero(~same) + 1)
             slim = b.select(carried)
-            if held and norm[0].as_py() == held_norm:
+            if (held or sliced) and norm[0].as_py() == held_norm:
                 end = int(starts[1]) if len(starts) > 1 else b.num_rows
                 held.append(slim.slice(0, end))
                 starts = starts[1:]
             if not len(starts):
+                yield from cut()
                 continue
             if held:
-                yield close(number == 0)
+                yield from close(number == 0)
+            sliced = False
             inner = starts[:-1]
             if len(inner) and number == 0:  # the partition's first run
                 end = int(starts[1])
@@ -98,13 +114,14 @@ def _runs(schema: pa.Schema, carried: list[str], last_stays: bool):
                            inner - inner[0], False)
             held.append(slim.slice(starts[-1]))
             held_norm = norm[int(starts[-1])].as_py()
+            yield from cut()
         if held:
-            yield close(True)
+            yield from close(True)
     return run
 
 
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
-                carry: bool = False, added: str = "_kept") -> DataFrame:
+                carry: bool = False, added: str = "_kept", held: tuple[int, int] = HELD) -> DataFrame:
     """One row per row of ``docs``, dropped ones too.
 
     Columns: ``id_col``, keep_id, group_size long, kept boolean, text_sha256
@@ -135,17 +152,17 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         T.StructField("sha", T.StringType()), T.StructField("pid", T.IntegerType()),
         T.StructField("run", T.LongType()), T.StructField("size", T.LongType()),
         T.StructField("stay_id", rows.schema["id"].dataType), T.StructField("stays", T.BooleanType()),
-        T.StructField("edge", T.BinaryType())])
-    local = store(ranged.mapInArrow(_runs(to_arrow_schema(out), carried, keep == "largest"), out), "runs")
-    # at most two rows per partition: runs that may go on in a neighbour
-    whole = Window.partitionBy("edge")
-    pick = F.max_by if keep == "largest" else F.min_by
-    edges = local.filter(F.col("edge").isNotNull()).select(
+        T.StructField("edge", T.BooleanType())])
+    local = store(ranged.mapInArrow(_runs(to_arrow_schema(out), carried, keep == "largest", held), out), "runs")
+    whole, place = Window.partitionBy("sha"), F.struct("pid", "run")
+    pick, end = (F.max_by, F.max) if keep == "largest" else (F.min_by, F.min)
+    edges = store(local.filter("edge").select(
         F.col("pid").alias("e_pid"), F.col("run").alias("e_run"), F.sum("size").over(whole).alias("e_size"),
-        pick("stay_id", "pid").over(whole).alias("e_id"),
-        (F.max("pid") if keep == "largest" else F.min("pid")).over(whole).alias("e_last"))
-    joined = local.join(F.broadcast(edges), (F.col("pid") == F.col("e_pid")) & (F.col("run") == F.col("e_run")), "left")
-    kept = F.col("stays") & (F.col("e_last").isNull() | (F.col("e_last") == F.col("pid")))
+        pick("stay_id", place).over(whole).alias("e_id"), end(place).over(whole).alias("e_place")), "edges")
+    if edges.count() <= BROADCAST_ROWS:
+        edges = F.broadcast(edges)
+    joined = local.join(edges, (F.col("pid") == F.col("e_pid")) & (F.col("run") == F.col("e_run")), "left")
+    kept = F.col("stays") & (F.col("e_place").isNull() | (F.col("e_place") == place))
     if carry:
         back = {id_col: "id", text_col: "text"} | {c: f"x{i}" for i, c in enumerate(names) if c not in (id_col, text_col)}
         return joined.select(*[F.col(back[c]).alias(c) for c in names], kept.alias(added))

@@ -7,8 +7,12 @@ of a place in the language's text, over the letters read, estimate the cross
 entropy; the language that needs least wins.
 
 Learning takes a bounded sample (documented parameters): for each language
-``per_lang`` labelled documents of smallest hashed id, ``excerpt`` characters
-of each, ``learn_chars`` symbols in all. Every text is classified whole.
+``per_lang`` labelled documents of smallest hashed id among those whose text
+has a letter, the first ``excerpt`` characters of each, ``learn_chars`` symbols
+in all, taken from the start, the middle and the end of the excerpts. All
+languages together learn at most ``all_chars`` symbols: with the defaults each
+has 24,000 up to 16 languages and its equal share beyond (1,000 with the most
+languages allowed, ``all_chars`` / 1,000). Every text is classified whole.
 """
 
 from __future__ import annotations
@@ -26,6 +30,8 @@ from tidemark.llm.common import batch, text_batches, worker_cache
 
 DENSE = 200  # most different letters for which automata become full tables
 CHUNK = 2048  # symbols parsed in one go; a phrase never crosses a chunk
+LEAST_CHARS = 1000  # symbols a language learns at least; sets how many languages there may be
+SPREAD = 3  # places of an excerpt to learn from
 GAP, UNKNOWN = 0, 1  # symbols: a run of other characters, a letter outside the alphabet
 BATCH_CHARS = 1 << 20
 
@@ -60,6 +66,15 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
     return nxt
 
 
+def spread_parts(symbols: np.ndarray, most: int) -> list[np.ndarray]:
+    """At most ``most`` of the symbols: all, or ``SPREAD`` stretches of equal
+    length from the first to the last."""
+    if len(symbols) <= most or most < 30 * SPREAD:
+        return [symbols[:most]]
+    each = most // SPREAD
+    return [symbols[a:a + each] for a in np.linspace(0, len(symbols) - each, SPREAD).astype(int)]
+
+
 class SparseTable:
     """Transitions of many automata by row displacement: those of a state lie
     at its own offset plus their symbols, each place taken by one state. Small
@@ -124,7 +139,8 @@ class CrossParser:
             learnt: list[int] = []
             texts = samples[lang]
             for t in texts:
-                learnt += self.symbols(t)[:max(1, learn_chars // len(texts))].tolist() + [self.size - 1]
+                for part in spread_parts(self.symbols(t), max(1, learn_chars // len(texts))):
+                    learnt += part.tolist() + [self.size - 1]
             nxt = automaton(learnt)
             self.bits.append(math.log2(len(learnt) + 2))
             if not self.dense:
@@ -199,18 +215,23 @@ class CrossParser:
         return out
 
 
-def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, excerpt: int) -> dict[str, list[str]]:
+def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int, excerpt: int,
+                    most_langs: int = 400) -> dict[str, list[str]]:
     """Texts by language; at most ``per_lang`` * ``excerpt`` characters of each
-    language reach the driver."""
-    i, lang = F.col(f"`{id_col}`"), F.col(f"`{lang_col}`")
+    of ``most_langs`` languages reach the driver (more are an error). Of an id
+    that repeats with a language the least text is taken."""
+    good = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{lang_col}`").alias("lang"),
+                       F.substring(F.col(f"`{text_col}`"), 1, excerpt).alias("t")).filter(
+        F.col("lang").isNotNull() & F.col("id").isNotNull() & F.col("t").rlike(r"\p{L}")).withColumn("hash", F.xxhash64("id"))
+    known = good.select("lang").distinct().limit(most_langs + 1).count()
+    if known > most_langs:
+        raise ValueError(f"more than {most_langs} languages to learn; raise all_chars or clean the language column")
+    # an id counts once, however often it repeats
     order = Window.partitionBy("lang").orderBy("hash", "id")
-    ids = (docs.select(i.alias("id"), lang.alias("lang"), F.xxhash64(i).alias("hash")).filter("lang IS NOT NULL AND id IS NOT NULL")
-           .withColumn("k", F.row_number().over(order)).filter(F.col("k") <= per_lang).select(F.col("id").alias("s_id"), F.col("lang").alias("s_lang")))
-    rows = (docs.select(i.alias("id"), lang.alias("lang"), F.substring(F.col(f"`{text_col}`"), 1, excerpt).alias("t"))
-            .join(F.broadcast(ids.distinct()), (F.col("id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")))
-            .filter("t IS NOT NULL").withColumn("hash", F.xxhash64("id"))
-            .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("hash", "id", "t"))).filter(F.col("k") <= per_lang)
-            .select("lang", "hash", "id", "t").collect())
+    ids = (good.groupBy("lang", "hash", "id").agg(F.lit(1).alias("one")).withColumn("k", F.row_number().over(order))
+           .filter(F.col("k") <= per_lang).select(F.col("id").alias("s_id"), F.col("lang").alias("s_lang")))
+    rows = (good.join(F.broadcast(ids), (F.col("id") == F.col("s_id")) & (F.col("lang") == F.col("s_lang")))
+            .groupBy("lang", "hash", "id").agg(F.min("t").alias("t")).collect())
     out: dict[str, list[str]] = {}
     for r in sorted(rows, key=lambda r: (r["lang"], r["hash"], r["t"])):
         out.setdefault(r["lang"], []).append(r["t"])
@@ -218,17 +239,19 @@ def learning_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
 
 
 def identify(docs: DataFrame, learn: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-             per_lang: int = 64, excerpt: int = 4096, learn_chars: int = 24_000) -> DataFrame:
+             per_lang: int = 64, excerpt: int = 4096, learn_chars: int = 24_000, all_chars: int = 400_000) -> DataFrame:
     """``id_col``, lang_pred and score (0 to 1) for every row of ``docs``,
     learnt from the rows of ``learn`` with a language.
 
     Null texts and texts without a letter are ``und`` with score 0, as is all
     if nothing was learnt. Equal costs go to the first language by name. Rows
-    to learn from with null id, language or text are left out. Repeated rows
-    and null ids are kept; other columns never count.
+    to learn from with null id or language, or without a letter, are left out
+    before the sample is chosen. Repeated rows and null ids are kept; other
+    columns never count. Bounds of learning: see the module; more than
+    ``all_chars`` / 1,000 languages are an error.
     """
-    samples = learning_sample(learn, id_col, text_col, lang_col, per_lang, excerpt)
-    learn_chars = max(1000, min(learn_chars, 400_000 // max(1, len(samples))))
+    samples = learning_sample(learn, id_col, text_col, lang_col, per_lang, excerpt, all_chars // LEAST_CHARS)
+    learn_chars = min(learn_chars, all_chars // max(1, len(samples)))
     rows = text_batches(docs).select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     out = T.StructType([rows.schema["id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(out)

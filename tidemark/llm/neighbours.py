@@ -19,25 +19,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-CANDIDATE_FLOATS, QUERY_FLOATS = 1 << 20, 1 << 18  # of a block
+CANDIDATE_FLOATS, QUERY_FLOATS = 1 << 20, 1 << 22  # of a block
+SAFE = 1e-140, 1e140  # largest components for which squares neither vanish nor overflow
 TILE = 512, 4096  # queries and candidates of a product tile
 
 
 def quantised(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """int8 codes, scales, norms of the decoded vectors and of what they miss."""
-    scale = np.abs(x).max(axis=1) / 127
-    code = np.rint(x / scale[:, None])
-    code = np.clip(code, -127, 127).astype(np.int8)
+    """int8 codes, scales, norms of the decoded vectors and of what they miss.
+    Vectors whose squares would vanish or overflow miss without bound: their
+    pairs are all computed in double precision."""
+    most = np.abs(x).max(axis=1)
+    wild = (most < SAFE[0]) | (most > SAFE[1])
+    scale = np.where(wild, 1.0, most / 127)
+    tame = np.where(wild[:, None], 0.0, x)
+    code = np.clip(np.rint(tame / scale[:, None]), -127, 127).astype(np.int8)
     back = code * scale[:, None]
-    return code, scale, np.linalg.norm(back, axis=1), np.linalg.norm(x - back, axis=1)
+    return code, scale, np.linalg.norm(back, axis=1), np.where(wild, np.inf, np.linalg.norm(tame - back, axis=1))
 
 
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Row by row inner products in double precision, summed left to right."""
+    """Row by row inner products in double precision, summed left to right;
+    one that overflows both ways, which is no number, ranks last."""
     total = np.zeros(len(a))
-    for d in range(a.shape[1]):
-        total += a[:, d] * b[:, d]
-    return total
+    with np.errstate(over="ignore", invalid="ignore"):
+        for d in range(a.shape[1]):
+            total += a[:, d] * b[:, d]
+    return np.where(np.isnan(total), -np.inf, total)
 
 
 def distinct_rows(ids: np.ndarray, x: np.ndarray, keep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -61,7 +68,7 @@ def block_top(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray
     qc, qs, qn, qe = quantised(q)
     cc, cs, cn, ce = quantised(c)
     # |<x, y> - <x', y'>| <= |x - x'| |y| + |x'| |y - y'|, and a little for rounding
-    size = np.linalg.norm(c, axis=1)
+    size = np.where(np.isinf(ce), 1.0, np.linalg.norm(np.where(np.isinf(ce)[:, None], 0.0, c), axis=1))
     cf = cc.astype(exact).T
     out = []
     for s in range(0, len(q), TILE[0]):
@@ -73,13 +80,16 @@ def block_top(q_ids: np.ndarray, q: np.ndarray, c_ids: np.ndarray, c: np.ndarray
         for t in range(0, len(c), TILE[1]):
             cols = slice(t, min(t + TILE[1], len(c)))
             near = (qf @ cf[:, cols]).astype(np.float64) * qs[rows, None] * cs[cols]
-            slack = (qe[rows, None] * size[cols] + qn[rows, None] * ce[cols]) * (1 + 1e-9) + 1e-12 * (np.abs(near) + 1)
+            with np.errstate(invalid="ignore"):
+                slack = (qe[rows, None] * size[cols] + qn[rows, None] * ce[cols]) * (1 + 1e-9) + 1e-12 * (np.abs(near) + 1)
+            slack[np.isinf(qe[rows])] = np.inf
+            slack[:, np.isinf(ce[cols])] = np.inf
             near[q_ids[rows, None] == c_ids[None, cols]] = -np.inf
             low = near - slack
             if low.shape[1] > k:
                 best = np.maximum(best, np.partition(low, -k, axis=1)[:, -k])
-            i, j = np.nonzero((near + slack >= best[:, None]) & (near > -np.inf))
-            kept.append((i, j + t, (near + slack)[i, j]))
+            i, j = np.nonzero((near > -np.inf) & (np.where(near > -np.inf, near, 0) + slack >= best[:, None]))
+            kept.append((i, j + t, (near[i, j] + slack[i, j])))
         i, j, high = (np.concatenate(x) for x in zip(*kept)) if kept else (np.zeros(0, int),) * 3
         alive = high >= best[i]
         i, j = i[alive], j[alive]
@@ -113,19 +123,21 @@ def nearest(frame: DataFrame, is_query, k: int = 20, id_col: str = "vec_id", vec
     Nearest first, ties to the smaller id. A row is not its own candidate.
     Rows take no part if id or vector is null, the vector is empty or zero or
     holds a null or a non-finite number. Vectors of another dimension are no
-    candidates. An exactly repeated row counts once. With fewer than ``k``
+    candidates. An exactly repeated row counts once. Products that overflow
+    are infinite, and -infinite if they overflow both ways. With fewer than ``k``
     candidates all are returned; no query, no rows. Other columns are ignored.
     """
     x = F.col("v")
     good = (frame.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{vec_col}`").alias("v"), is_query.alias("q"))
             .filter(F.col("id").isNotNull() & x.isNotNull()
                     & F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < F.lit(float("inf"))))
-                    & F.exists(x, lambda e: e != 0)))
+                    & F.exists(x, lambda e: e != 0))
+            .groupBy("id", "v").agg(F.max("q").alias("q")))  # exact repeats go before anything is dealt
     n = good.agg(F.count("*").alias("n"), F.count_if("q").alias("q"), F.max(F.size("v")).alias("d")).first()
     dim = n["d"] or 1
     q_blocks = max(1, -(-n["q"] * dim // QUERY_FLOATS))
     c_blocks = max(1, -(-n["n"] * dim // CANDIDATE_FLOATS))
-    deal = lambda blocks: F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
+    deal = lambda blocks: F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int")
     every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     queries = good.filter("q").select("id", "v", deal(q_blocks).alias("qb")).withColumn("cb", every(c_blocks))
     candidates = good.select("id", "v", deal(c_blocks).alias("cb")).withColumn("qb", every(q_blocks))

@@ -98,14 +98,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Null ids and labels are left out; of an id with several labels the mean
     decides (0.5 and more is 1). No labelled row at all gives zero weights
-    (every score 0.5). At most ``max_train`` ids and ``shards`` weight
-    vectors of 2**bits floats reach the driver.
+    (every score 0.5). Of an id that repeats in ``docs`` the text of least
+    hash is learnt, so ``max_train`` bounds the rows too. At most
+    ``max_train`` ids and ``shards`` weight vectors of 2**bits floats reach
+    the driver.
     """
     ids = (labels.select(F.col(f"`{id_col}`").alias("l_id"), F.col(f"`{label_col}`").cast("double").alias("y"))
            .dropna().groupBy("l_id").agg((F.avg("y") >= 0.5).cast("double").alias("y"))
            .withColumn("order", F.xxhash64("l_id")).orderBy("order", "l_id").limit(max_train))
     chosen = (docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
               .join(F.broadcast(ids), F.col("id") == F.col("l_id"))
+              .groupBy("order", "id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))  # one row per id
               .select((F.pmod("order", F.lit(shards))).cast("int").alias("shard"), "order", "id", "text", "y"))
 
     def fit(pdf: pd.DataFrame) -> pd.DataFrame:
