@@ -427,12 +427,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    carry: bool = False, shard: int = SHARD, merged: int = MERGED, added: str = "_removed") -> DataFrame:
     """Every row with the bytes removed that ``length``-byte strings occurring
     anywhere else cover: ``id_col``, n_bytes, n_removed, n_spans (maximal
-    removed runs) long, kept_sha256. With ``carry``: all columns of ``docs``
-    with the text cut, and ``added``, the number of bytes removed; a character cut in part goes whole.
+    removed runs) long, kept_sha256 (of the bytes left), text (what is left as
+    text; a character cut in part goes whole). With ``carry``: all columns of
+    ``docs`` with the text cut, and ``added``, the number of bytes removed.
 
     Strings are judged on the input; matches overlap and lie in the same or
     another row, never across rows. Null text counts as empty (and stays null
-    with ``carry``). Repeated rows count as each other's copies. Null ids are
+    in ``text``). Repeated rows count as each other's copies. Null ids are
     kept. An empty table gives an empty result. ``length``: a multiple of 8.
     """
     cols = docs.columns if carry else []
@@ -445,7 +446,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kept_cols = [f.name for f in joined.schema.fields if f.name.startswith("x")]
     out = T.StructType([f for f in joined.schema.fields if f.name == "id" or f.name in kept_cols] + (
         [T.StructField("text", T.StringType()), T.StructField("removed", T.LongType())] if carry else
-        [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")] + [T.StructField("kept_sha256", T.StringType())]))
+        [T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")]
+        + [T.StructField("kept_sha256", T.StringType()), T.StructField("text", T.StringType())]))
     schema = to_arrow_schema(out)
 
     def run(batches):
@@ -460,15 +462,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     at = e
                 kept.append(data[at:])
                 removed.append(sum(e - s for s, e in cuts))
-                if carry:
-                    text.append(b"".join(k if k is data else k.decode("utf-8", "ignore").encode() for k in kept).decode("utf-8", "replace")
-                                if value.is_valid else None)
-                else:
+                text.append(b"".join(k if k is data else k.decode("utf-8", "ignore").encode() for k in kept).decode("utf-8", "replace")
+                            if value.is_valid else None)
+                if not carry:
                     size.append(len(data))
                     count.append(len(cuts))
                     sha.append(hashlib.sha256(b"".join(kept)).hexdigest())
             fixed = [b.column("id"), *[b.column(c) for c in kept_cols]]
-            yield batch(schema, *fixed, *([text, removed] if carry else [size, removed, count, sha]))
+            yield batch(schema, *fixed, *([text, removed] if carry else [size, removed, count, sha, text]))
 
     result = joined.mapInArrow(run, out)
     if not carry:
