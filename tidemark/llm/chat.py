@@ -40,7 +40,11 @@ def rotate(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str =
     (``start:length`` of each span to learn from, in characters of the piece,
     comma-separated: the speaker's text and its end mark), n_masked.
 
-    Joined in order of piece, ``rendered`` is the dialogue. Null text is
+    Joined in order of piece, ``rendered`` is the dialogue. Every role is a
+    participant, ``system`` too; filter the rows (or the result by speaker) to
+    learn from some only. Texts are rendered as they are: one that holds a
+    marker (``<|end|>``, ``<|assistant|>``) looks like a turn, and only ``mask``
+    says what was said by whom. Null text is
     empty, a null role is the participant ``unknown``, null turns come first,
     null conversation ids are one conversation. Turns with equal numbers are
     ordered by role, then by the SHA-256 of the text; repeated rows are kept.

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import scratch_path
+from tidemark.sources.landing import drop_table
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,14 +49,32 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+_MADE: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession):
+    """What ``store`` writes inside the block is removed at its end, unless it
+    was to be kept: for callers that have written their result by then."""
+    _MADE.append([])
+    try:
+        yield
+    finally:
+        for path in _MADE.pop():
+            drop_table(spark, path)
+
+
+def store(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet under the shared folder and read it back.
 
     Cuts the lineage: later reads survive a lost executor and never compute
-    ``df`` again, and every use sees the same rows.
+    ``df`` again, and every use sees the same rows. ``keep``: outlives a
+    surrounding ``intermediates`` block.
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    if _MADE and not keep:
+        _MADE[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
