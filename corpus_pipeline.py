@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on
 all rows that the stage before it kept. All but the last return the columns
 of ``documents``. ``run`` writes every stage's result under the shared
-folder and reads it again as the next one's input.
+folder and reads it again as the next one's input; what a stage wrote on its
+way goes once its result is there.
 
 Empty tables give empty results in every stage; null texts count as empty;
 further columns, whatever their names, are carried along untouched up to
@@ -17,12 +18,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup as exact
 from tidemark.llm import packing, quality, simhash, substrings
-from tidemark.llm.common import free_name, store, table
+from tidemark.llm.common import free_name, intermediates, store, table
 from tidemark.llm.queries import WORD_BPE, vocabulary
 
 #: SQL cannot express the classifier, so there is no statement for the whole
 ORACLE_SQL = None
 LEAST_QUALITY = 0.3
+#: bytes of a string whose repeats go in ``suffix_array_dedup``: less than 51 short words take, so that
+#: passages of over 50 words are found wherever they begin. (op2's own 400 bytes are its contract's.)
+PASSAGE_BYTES = 240
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,9 +49,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less the bytes in 400-byte strings that occur elsewhere;
-    n_chars follows the text."""
-    cut = substrings.remove_repeats(docs, carry=True, added=free_name(docs, "_removed"))
+    """All documents, less the bytes in strings of ``PASSAGE_BYTES`` that occur
+    elsewhere; n_chars follows the text."""
+    cut = substrings.remove_repeats(docs, length=PASSAGE_BYTES, carry=True, added=free_name(docs, "_removed"))
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*_columns(docs))
@@ -74,5 +78,6 @@ STAGES = [
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = store(stage(spark, docs, sf_dir), name)
+        with intermediates(spark):
+            docs = store(stage(spark, docs, sf_dir), name, keep=True)
     return docs
