@@ -2,10 +2,13 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidemark.plans.runner import run_pipeline
+from tidemark.plans.runner import gold_table, run_pipeline
 from tidemark.plans.q_io import write_source_files
+from tidemark.plans.runner import read_snapshot
+from tidemark.sources.landing import path_exists
 from tidemark.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -19,12 +22,13 @@ def test_two_runs_track_one_plan_change(spark):
     reg, paths = write_sources(spark)
     wh = scratch_path(spark, "warehouse")
     r1 = run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", scale=0.15,
-                      reference_now="2024-01-10 00:00:00")
+                      reference_now="2024-01-10 00:00:00", prefix="two_runs_", publish_failed=True)
     assert r1.landed["app_subscriptions"] == 1500 and r1.landed["crm_contacts"] == 135
     n_subs = r1.rows["subscriptions"]
     assert r1.rows["scd_subscriptions"] == n_subs                  # first run: one open version each
     assert set(r1.gates) == {"bronze", "silver", "gold"}
-    assert 0 < r1.pass_rate <= 1
+    assert 0 < r1.pass_rate <= 1 and r1.published == 1
+    assert set(r1.freshness) == set(reg) and all(h >= 0 for h in r1.freshness.values())
 
     # one subscription changes plan after the first run
     subs = spark.read.parquet(paths["subs"])
@@ -33,21 +37,22 @@ def test_two_runs_track_one_plan_change(spark):
         "updated_at", F.lit(dt.datetime(2001, 9, 2)).cast("timestamp_ntz")
     ).write.mode("append").parquet(paths["subs"])
     r2 = run_pipeline(spark, reg, wh, "2001-09-03 00:00:00", scale=0.15,
-                      reference_now="2024-01-10 00:00:00")
+                      reference_now="2024-01-10 00:00:00", prefix="two_runs_", publish_failed=True)
     assert r2.landed["app_subscriptions"] == 1 and r2.landed["app_users"] == 0
     assert r2.rows["scd_subscriptions"] == n_subs + 1               # +1 version
-    assert spark.sql("SELECT sum(active_subscriptions) FROM gold.mart_mrr").first()[0] == spark.read.parquet(
-        f"{wh}/gold/mart_mrr").agg(F.sum("active_subscriptions")).first()[0]
-    assert spark.table("silver.events").count() == spark.read.parquet(f"{wh}/silver/events").count()
-    assert spark.table("bronze.app_subscriptions").count() == 1501
-    fact = spark.read.parquet(f"{wh}/gold/fact_subscriptions")
+    assert r2.rows["scd_opened_by_run"] == r2.rows["scd_closed_by_run"] == 1
+    assert spark.sql("SELECT sum(active_subscriptions) FROM two_runs_gold.mart_mrr").first()[0] == gold_table(
+        spark, wh, "mart_mrr").agg(F.sum("active_subscriptions")).first()[0]
+    assert spark.table("two_runs_silver.events").count() == spark.read.parquet(f"{wh}/silver/events").count()
+    assert spark.table("two_runs_bronze.app_subscriptions").count() == 1501
+    fact = gold_table(spark, wh, "fact_subscriptions")
     assert fact.filter("is_current").count() == n_subs              # +1 history row only
     assert fact.filter("NOT is_current").count() == 1
 
-    # the history is append-only and run-partitioned; a partition left by a run that
-    # died before swapping in its open versions is dropped by the next run
-    hist = f"{wh}/snapshots/scd_subscriptions/history"
-    spark.read.parquet(f"{hist}/run_id=20010903T000000").write.parquet(f"{hist}/run_id=20010903T120000")
+    # what a run left that died before its commit is seen by nobody
+    root = f"{wh}/snapshots/scd_subscriptions"
+    read_snapshot(spark, root).write.parquet(f"{root}/commits/died/rows/state=open/bucket=0")
+    assert read_snapshot(spark, root).count() == n_subs + 1
 
     # a third run with nothing new changes nothing
     r3 = run_pipeline(spark, reg, wh, "2001-09-04 00:00:00", scale=0.15,
@@ -97,7 +102,6 @@ def test_incremental_events_equal_full_rebuild(spark):
 
 
 def test_reruns_backfills_and_refresh_keep_everything(spark):
-    from tidemark.plans.runner import read_snapshot
     reg, paths = write_sources(spark)
     wh = scratch_path(spark, "warehouse")
     run = lambda as_of, **kw: run_pipeline(spark, reg, wh, as_of, gate_layers=(), **kw)
@@ -129,6 +133,68 @@ def test_reruns_backfills_and_refresh_keep_everything(spark):
     assert spark.read.parquet(f"{wh}/silver/subscriptions").count() == versions() < n   # no stale state
 
 
+def test_same_clock_with_new_data_loses_nothing(spark):
+    reg, paths = write_sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    run = lambda: run_pipeline(spark, reg, wh, "2001-09-03 00:00:00", gate_layers=())
+    run()
+    subs = spark.read.parquet(paths["subs"])
+    first = subs.orderBy("subscription_id", F.col("updated_at").desc()).limit(1).collect()[0]
+    for day, plan in ((2, "basic"), (3, "pro")):
+        spark.createDataFrame([{**first.asDict(), "plan": plan, "updated_at": dt.datetime(2001, 9, day)}], subs.schema).write.mode(
+            "append").parquet(paths["subs"])
+        run()
+    got = read_snapshot(spark, f"{wh}/snapshots/scd_subscriptions").filter(F.col("subscription_id") == str(first["subscription_id"]))
+    assert [r["plan"] for r in got.orderBy("valid_from").collect()][-2:] == ["basic", "pro"]
+    assert got.filter("valid_to IS NULL").count() == 1
+
+
+def test_a_failed_gate_keeps_the_earlier_gold(spark):
+    import tidemark.operators.dq as dq
+    import tidemark.operators.rules as rules
+    reg, paths = write_sources(spark)
+    wh = scratch_path(spark, "warehouse")
+    assert run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", gate_layers=()).published == 1
+    before = sorted(map(tuple, gold_table(spark, wh, "mart_mrr").collect()))
+    subs = spark.read.parquet(paths["subs"])
+    subs.orderBy("subscription_id").limit(50).withColumn("plan", F.lit("enterprise")).withColumn(
+        "updated_at", F.lit(dt.datetime(2001, 9, 2)).cast("timestamp_ntz")).dropDuplicates(["subscription_id"]).write.mode("append").parquet(paths["subs"])
+    refuse = [dq.Check("gold", "mart_mrr", "never", "row_count", fail=("ge", 0))]
+    old = rules.checks_for
+    rules.checks_for = lambda layer: refuse
+    try:
+        r = run_pipeline(spark, reg, wh, "2001-09-03 00:00:00", gate_layers=("gold",))
+        assert r.gates == {"gold": "fail"} and r.published is None
+        with pytest.raises(dq.GateError):
+            run_pipeline(spark, reg, wh, "2001-09-04 00:00:00", gate_layers=("gold",), raise_on_fail=True)
+    finally:
+        rules.checks_for = old
+    assert sorted(map(tuple, gold_table(spark, wh, "mart_mrr").collect())) == before
+    assert run_pipeline(spark, reg, wh, "2001-09-05 00:00:00", gate_layers=()).published == 2
+    assert sorted(map(tuple, gold_table(spark, wh, "mart_mrr").collect())) != before
+
+
+def test_names_of_others_are_left_alone(spark):
+    from tidemark.plans.runner import NameTaken, register_tables
+    spark.sql("CREATE DATABASE IF NOT EXISTS others_silver")
+    spark.sql("DROP TABLE IF EXISTS others_silver.customers")
+    spark.range(3).write.saveAsTable("others_silver.customers")          # a managed table of someone else
+    reg, _ = write_sources(spark)
+    wh, second = scratch_path(spark, "warehouse"), scratch_path(spark, "warehouse")
+    with pytest.raises(NameTaken):
+        run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", gate_layers=(), prefix="others_")
+    assert not path_exists(spark, wh)                                    # refused before anything was done
+    assert spark.table("others_silver.customers").count() == 3
+    run_pipeline(spark, reg, wh, "2001-09-01 00:00:00", gate_layers=(), prefix="mine_")
+    n = spark.table("mine_silver.customers").count()
+    run_pipeline(spark, reg, second, "2001-09-01 00:00:00", gate_layers=())
+    with pytest.raises(NameTaken):
+        register_tables(spark, reg, second, "mine_")
+    register_tables(spark, reg, wh, "mine_")
+    assert spark.table("mine_silver.customers").count() == n
+    spark.sql("DROP TABLE others_silver.customers")
+
+
 def test_missing_table_is_an_error_verdict(spark):
     reg, _ = write_sources(spark)
     import tidemark.operators.rules as rules

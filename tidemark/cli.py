@@ -18,12 +18,10 @@ import sys
 
 from tidemark.operators import dq, rules
 from tidemark.session import apply_cluster_defaults, build_session
-from tidemark.sources import landing
+from tidemark.sources import landing, published
 from tidemark.sources.registry import load_registry
 
 SILVER = ["customers", "identity_map", "subscriptions", "events"]
-GOLD = ["dim_customer", "fact_subscriptions", "mart_mrr", "mart_ltv", "mart_funnel",
-        "recon_billing_vs_app"]
 
 
 def stored_tables(spark, registry: dict, warehouse: str) -> dict:
@@ -33,11 +31,13 @@ def stored_tables(spark, registry: dict, warehouse: str) -> dict:
         path = landing.table_path(warehouse, cfg["target_bronze"])
         if landing.table_exists(spark, path):
             out[name] = landing.read_table(spark, path)
-    for layer, names in (("silver", SILVER), ("gold", GOLD)):
-        for n in names:
-            path = f"{warehouse}/{layer}/{n}"
-            if landing.table_exists(spark, path) or landing.path_exists(spark, path):
-                out[n] = spark.read.parquet(path)
+    for n in SILVER:
+        path = f"{warehouse}/silver/{n}"
+        if landing.table_exists(spark, path) or landing.path_exists(spark, path):
+            out[n] = spark.read.parquet(path)
+    version = published.current(spark, f"{warehouse}/gold")     # the gold of the last run that passed
+    for n in version.places if version else ():
+        out[n] = published.read(spark, f"{warehouse}/gold", n, version)
     return out
 
 
@@ -61,6 +61,9 @@ def main(argv=None) -> int:
         if name == "run":
             p.add_argument("--full-refresh", action="store_true")
             p.add_argument("--reset-history", action="store_true")
+            p.add_argument("--publish-failed", action="store_true", help="show the run's gold although a gate failed")
+            p.add_argument("--register", metavar="PREFIX", nargs="?", const="", default=None,
+                           help="make the tables reachable by name, their schemas named with this prefix")
         if name == "check":
             p.add_argument("--layer", required=True, choices=["bronze", "silver", "gold"])
     a = ap.parse_args(argv)
@@ -81,9 +84,10 @@ def main(argv=None) -> int:
     if a.cmd == "run":
         from tidemark.plans.runner import run_pipeline
         run = run_pipeline(spark, registry, a.warehouse, as_of, full_refresh=a.full_refresh, reset_history=a.reset_history,
-                           scale=a.scale, reference_now=a.reference_now)
-        print(json.dumps({"landed": run.landed, "rows": run.rows, "gates": run.gates,
-                          "pass_rate": run.pass_rate}, default=str))
+                           scale=a.scale, reference_now=a.reference_now, prefix=a.register,
+                           publish_failed=a.publish_failed)
+        print(json.dumps({"landed": run.landed, "rows": run.rows, "gates": run.gates, "published": run.published,
+                          "freshness_hours": run.freshness, "pass_rate": run.pass_rate}, default=str))
         return 2 if "fail" in run.gates.values() else 3 if "error" in run.gates.values() else 0
     tables = stored_tables(spark, registry, a.warehouse)
     wanted = rules.checks_for(a.layer)

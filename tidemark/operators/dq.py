@@ -13,8 +13,8 @@ Execution plan per table:
   scan, partial + final aggregation;
 * all accepted-values tests of a table share one more scan that keeps only
   rows with a value outside a list;
-* duplicate / uniqueness metrics need one ``groupBy`` per column set (a
-  shuffle, pre-aggregated map-side);
+* all duplicate / uniqueness metrics of a table share one scan and one
+  ``groupBy`` of (metric, value), pre-aggregated map-side;
 * schema and column-count checks read only the schema (no job);
 * cross-table metrics are small plans of their own that end in one row.
 
@@ -123,6 +123,21 @@ def duplicate_count(df: DataFrame, columns: Sequence[str], ignore_nulls: bool =
             .agg(F.count_if(F.col("n") > 1).alias("value")))
 
 
+def duplicate_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """``duplicate_count`` of several checks of one table as one row ``m0,
+    m1, ...``: one scan and one shuffle of (check, value) pairs instead of one
+    of each per check."""
+    pairs = []
+    for k, c in enumerate(checks):
+        cols = [_c(x) for x in c.params.get("columns", [c.column])]
+        pair = F.struct(F.lit(k).alias("k"), F.array(*[x.cast("string") for x in cols]).alias("v"))
+        known = reduce(Column.__and__, [x.isNotNull() for x in cols])
+        pairs.append(F.when(known, pair) if c.params.get("ignore_nulls", True) else pair)
+    twice = (df.select(F.explode(F.array_compact(F.array(*pairs))).alias("p")).groupBy("p.k", "p.v")
+             .agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    return twice.agg(*[F.count_if(F.col("k") == k).alias(f"m{k}") for k in range(len(checks))])
+
+
 def unaccepted_counts(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Per accepted-values check the number of distinct values outside its
     list (D3), as one row ``m0, m1, ...``; NULL passes. Clean rows go before
@@ -244,6 +259,11 @@ def run_checks(spark: SparkSession, tables: dict[str, DataFrame], checks: Sequen
                 row = df.agg(*exprs)
                 parts.append(row.select(F.explode(F.array(*[
                     _verdict(c, f"m{k}", scale) for k, c in enumerate(aggs)])).alias("r")))
+            keyed = [c for c in items if c.kind in GROUP_KINDS]
+            if len(keyed) > 1:
+                parts.append(duplicate_counts(df, keyed).select(F.explode(F.array(*[
+                    _verdict(c, f"m{k}", scale) for k, c in enumerate(keyed)])).alias("r")))
+                items = [c for c in items if c not in keyed]
         for c in items:
             if c.kind in GROUP_KINDS and df is not None:
                 v = duplicate_count(df, c.params.get("columns", [c.column]),

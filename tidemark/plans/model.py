@@ -9,8 +9,10 @@ lost executor recompute from the written table instead of from bronze.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -115,20 +117,29 @@ class Lakehouse:
             return {n: self.bronze[n] for n in names}
         return {n: getattr(self, n) for n in names}
 
+    #: tables of one step do not read each other and are written side by side
+    STEPS = [["customers", "subscriptions", "events", "scd_subscriptions"], ["identity_map", "dim_customer"], ["fact_subscriptions"]]
+
     def materialize(self, names: list[str], root: str | None = None) -> dict[str, str]:
         """Write the named tables as Parquet under the shared folder, then
         read them back in place of their plans."""
         root = root or scratch_path(self.spark, "lakehouse")
-        out = {}
-        for n in names:
-            path = f"{root}/{n}"
-            if n in self.bronze.keys():
-                self.bronze[n].write.mode("overwrite").parquet(path)
-                self.bronze[n] = self.spark.read.parquet(path)
-            else:
-                getattr(self, n).write.mode("overwrite").parquet(path)
-                self.__dict__[n] = self.spark.read.parquet(path)
-            out[n] = path
+        out = {n: f"{root}/{n}" for n in names}
+        first = [n for n in names if n in self.bronze.keys()]
+        later = [n for n in names if n not in first]
+        steps = [first, *[[n for n in later if n in step] for step in self.STEPS],
+                 [n for n in later if not any(n in step for step in self.STEPS)]]
+        for step in filter(None, steps):
+            plans = [self.bronze[n] if n in first else getattr(self, n) for n in step]
+            with ThreadPoolExecutor(len(step)) as pool:
+                list(pool.map(inheritable_thread_target(self.spark)(lambda x: x[0].write.mode("overwrite").parquet(x[1])),
+                              zip(plans, [out[n] for n in step])))
+            for n in step:
+                held = self.spark.read.parquet(out[n])
+                if n in first:
+                    self.bronze[n] = held
+                else:
+                    self.__dict__[n] = held
         return out
 
 

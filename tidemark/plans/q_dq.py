@@ -49,10 +49,10 @@ REUSED = {
     # customers: checks, rows-lost, orphans, identity map; events: checks, orphans
     "silver": ["customers", "events"],
     # dimension and fact feed every mart and several checks each
-    "gold": ["customers", "dim_customer", "fact_subscriptions"],
+    "gold": ["customers", "dim_customer", "fact_subscriptions", "mart_mrr", "mart_ltv", "mart_funnel", "recon_billing_vs_app"],
     # plus the silver tables that have both fused and uniqueness tests
-    "model_tests": ["customers", "subscriptions", "events", "dim_customer", "fact_subscriptions"],
-    "singular": ["customers", "dim_customer", "fact_subscriptions"],
+    "model_tests": ["customers", "subscriptions", "events", "dim_customer", "fact_subscriptions", "mart_mrr", "mart_ltv"],
+    "singular": ["customers", "dim_customer", "fact_subscriptions", "mart_mrr", "mart_funnel", "recon_billing_vs_app"],
 }
 
 

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.operators import components, gold, reconcile, scd2, silver, sketch, timeline
+from tidemark.operators import components, gold, reconcile, scd2, sketch, timeline
 from tidemark.plans.gold_store import GoldStore
 from tidemark.plans.oracle import build
 from tidemark.plans.queries import fresh_lake, lake, register

@@ -6,10 +6,10 @@ Parquet folders under ``warehouse`` (``bronze/``, ``silver/``,
 executor recomputes from the last written table, never from the sources.
 
 The subscription snapshot is the incremental SCD-2 path: each run applies
-``snapshot_changes`` to the stored open versions and the current silver
-subscriptions; the open versions are replaced (stage and swap: a table
-cannot be overwritten while it is read) and the versions the run closed
-are appended to the run-partitioned history, which is never rewritten.
+the changes that the history does not hold yet to the hash buckets they touch
+(``plans.scd_store``). Gold is written to a folder of the run, audited there,
+and becomes visible by one pointer (``sources.published``) when no gate
+failed: readers see the gold of the last good run, whole, at any moment.
 
 Row counts of every written table are measured while writing
 (``DataFrame.observe``), without a second pass (E5).
@@ -18,16 +18,20 @@ Row counts of every written table are measured while writing
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import conform, dedupe, dq, rules, scd2, silver
+from tidemark.functions import from_iso8601, ts_literal
+from tidemark.operators import conform, dedupe, dq, rules, silver
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.plans.model import Lakehouse
+from tidemark.plans.scd_store import BucketedHistory
 from tidemark.session import scratch_path
-from tidemark.sources import landing
+from tidemark.sources import landing, published
 from tidemark.sources.registry import plan_pricing
 
 SILVER = ["customers", "identity_map", "subscriptions", "events"]
@@ -45,6 +49,8 @@ class PipelineRun:
     rows: dict[str, int]
     checks: list[dict] = field(default_factory=list)
     gates: dict[str, str] = field(default_factory=dict)
+    published: int | None = None        # number of the gold version this run made visible
+    freshness: dict[str, float] = field(default_factory=dict)   # hours since the last landing, per bronze table
 
     @property
     def pass_rate(self) -> float | None:
@@ -78,82 +84,31 @@ def _run_id(as_of) -> str:
     return as_of.strftime("%Y%m%dT%H%M%S")
 
 
-def _stamp(spark: SparkSession, root: str) -> tuple[str | None, str | None]:
-    """(commit, label) stamped on the stored open versions, None before any
-    run. Commits sort in the order they were made; the label is the run's own
-    name (its logical time, or stream and epoch)."""
-    cur_path = f"{root}/current"
-    landing.recover_table(spark, cur_path)
-    if not landing.table_exists(spark, cur_path):
-        return None, None
-    cur = spark.read.parquet(cur_path)
-    label = F.max("_label") if "_label" in cur.columns else F.max("_run")
-    return tuple(cur.agg(F.max("_run"), label).first())
-
-
-def _commit_after(last: str | None, run_id: str) -> str:
-    """A commit id that sorts after ``last``: the run id itself, unless the
-    run's logical time lies before (a backfill), then ``last`` counted on."""
-    if last is None or run_id > last.split("~")[0]:
-        return run_id
-    base, n = (last.split("~") + ["0"])[:2]
-    return f"{base}~{int(n) + 1:04d}~{run_id}"
+def history_of(spark: SparkSession, root: str, buckets: int = 16) -> BucketedHistory:
+    """``buckets`` counts for a new history only: a stored one keeps its own."""
+    return BucketedHistory(spark, root, "subscription_id", "sub_updated_at", buckets, ("plan", "status", "account_id"))
 
 
 def read_snapshot(spark: SparkSession, root: str) -> DataFrame:
     """Open versions + history, as one table."""
-    hist_path = f"{root}/history"
-    snapshot = spark.read.parquet(f"{root}/current").drop("_run", "_label")
-    if landing.path_exists(spark, hist_path):
-        snapshot = snapshot.unionByName(
-            spark.read.option("basePath", hist_path).parquet(hist_path).drop("run_id"))
-    return snapshot
-
-
-def _history_runs(spark: SparkSession, hist_path: str) -> list[str]:
-    if not landing.path_exists(spark, hist_path):
-        return []
-    fs, p = landing._fs(spark, hist_path)
-    return [st.getPath().getName().split("=", 1)[1] for st in fs.listStatus(p)
-            if st.getPath().getName().startswith("run_id=")]
-
-
-def snapshot_run(spark: SparkSession, source: DataFrame, root: str, run_id: str,
-                 rows: dict[str, int], label: str | None = None) -> DataFrame:
-    """Apply one SCD-2 run to a snapshot stored as ``current`` (open
-    versions, replaced each run) + ``history`` (closed versions, append-only,
-    one partition per commit). A run reads and rewrites only the open
-    versions; the history grows by the versions it closed.
-
-    A run whose label is the last committed one changes nothing. Commits are
-    ordered by when they were made, not by their logical time, so a backfill
-    with an older clock follows the runs before it and never touches their
-    history. Commit order: the closed versions go to the commit's own
-    partition, then ``current`` is swapped in, stamped with the commit. A
-    partition newer than the stamp belongs to a run that died before its
-    swap: it is dropped before the next run starts.
-    """
-    cur_path, hist_path = f"{root}/current", f"{root}/history"
-    label = label or run_id
-    last, last_label = _stamp(spark, root)
-    if last is not None and last_label == label:
-        rows["scd_closed_by_run"] = 0
-        snapshot = read_snapshot(spark, root)
-        rows["scd_subscriptions"] = snapshot.count()
-        return snapshot
-    open_rows = spark.read.parquet(cur_path).drop("_run", "_label") if last is not None else None
-    for r in _history_runs(spark, hist_path):
-        if last is None or r > last:
-            landing.drop_table(spark, f"{hist_path}/run_id={r}")
-    commit = _commit_after(last, run_id)
-    new_open, closed = scd2.snapshot_changes(open_rows, source, "subscription_id",
-                                             "sub_updated_at")
-    _write(closed, f"{hist_path}/run_id={commit}", "scd_closed_by_run", rows)
-    _swap_in(spark, new_open.withColumns({"_run": F.lit(commit), "_label": F.lit(label)}),
-             cur_path, "scd_open", rows)
-    snapshot = read_snapshot(spark, root)
-    rows["scd_subscriptions"] = snapshot.count()
-    return snapshot
+    return history_of(spark, root).read()
+
+
+def snapshot_run(spark: SparkSession, changes: DataFrame, root: str, run_id: str, rows: dict[str, int],
+                 buckets: int = 16) -> DataFrame | None:
+    """One SCD-2 run over the bucketed state (``plans.scd_store``): ``changes``
+    are the rows new since the last run, or any superset of them (the whole
+    source gives the same, and touches every bucket). Every run compares,
+    whatever its clock: the same rows again change nothing, new rows under a
+    repeated or older clock are taken in. Counts come from the commit, not
+    from the table."""
+    history = history_of(spark, root, buckets)
+    done = history.apply(changes.select(SNAPSHOT_COLUMNS), run_id)
+    version = history.version()
+    rows["scd_opened_by_run"], rows["scd_closed_by_run"] = done.opened, done.closed
+    rows["scd_open"] = version.facts["n_open"] if version else 0
+    rows["scd_subscriptions"] = version.facts["n_all"] if version else 0
+    return history.read(version)
 
 
 # Which landing runs a silver table holds: a side table in its folder, one row
@@ -169,10 +124,12 @@ def _landed_runs(bronze: DataFrame) -> dict[str, int]:
             .agg(F.count(F.lit(1)).alias("n")).collect()}
 
 
-def _to_merge(spark: SparkSession, bronze: DataFrame, path: str) -> tuple[DataFrame, dict[str, int]]:
+def _to_merge(spark: SparkSession, bronze: DataFrame, path: str,
+              landed: dict[str, int] | None = None) -> tuple[DataFrame, dict[str, int]]:
     """The bronze rows of every landing run that ``path`` does not hold in
-    full yet, whichever run landed them, and the counts to record."""
-    landed = _landed_runs(bronze)
+    full yet, whichever run landed them, and the counts to record (``landed``:
+    those counts, where they are known already)."""
+    landed = _landed_runs(bronze) if landed is None else landed
     side = f"{path}/{MERGED_DIR}"
     held = ({r["run"]: r["n"] for r in spark.read.parquet(side).collect()}
             if landing.path_exists(spark, side) else {})
@@ -244,16 +201,16 @@ def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
 
 
 def _state_run(spark: SparkSession, bronze: DataFrame, path: str, name: str, conformed, keys: list[str],
-               order, rows: dict[str, int]) -> DataFrame:
+               order, rows: dict[str, int], landed: dict[str, int] | None = None) -> DataFrame:
     """A "latest per key" state without rescanning its log: the latest over
     (stored state + bronze rows not merged yet) equals the latest over all of
     bronze (the order is total), so a run reads O(keys + new changes)."""
     landing.recover_table(spark, path)
     if not landing.table_exists(spark, path):
-        landed = _landed_runs(bronze)
+        landed = _landed_runs(bronze) if landed is None else landed
         _write(latest_per_key(conformed(bronze), keys, order), path, name, rows)
     else:
-        new, landed = _to_merge(spark, bronze, path)
+        new, landed = _to_merge(spark, bronze, path, landed)
         prev = spark.read.parquet(path)
         merged = latest_per_key(prev.unionByName(conformed(new).select(prev.columns)), keys, order)
         _swap_in(spark, merged, path, name, rows)
@@ -261,9 +218,21 @@ def _state_run(spark: SparkSession, bronze: DataFrame, path: str, name: str, con
     return spark.read.parquet(path)
 
 
-def _subscriptions_run(spark: SparkSession, bronze: DataFrame, path: str, rows: dict[str, int]) -> DataFrame:
+def _subscriptions_run(spark: SparkSession, bronze: DataFrame, path: str, rows: dict[str, int],
+                       landed: dict[str, int] | None = None) -> DataFrame:
     return _state_run(spark, bronze, path, "subscriptions", silver.subscriptions_latest, ["subscription_id"],
-                      silver.subscription_order(updated="sub_updated_at", ingested="_ingested_at"), rows)
+                      silver.subscription_order(updated="sub_updated_at", ingested="_ingested_at"), rows, landed)
+
+
+def _history_run(spark: SparkSession, bronze: DataFrame, root: str, run_id: str, rows: dict[str, int],
+                 landed: dict[str, int] | None = None, buckets: int = 16) -> DataFrame:
+    """The landed changes that the history does not hold yet, as one run. Its
+    own record of landing runs is written after the commit: a run that dies
+    in between brings its changes once more, which changes nothing."""
+    new, landed = _to_merge(spark, bronze, root, landed)
+    snapshot = snapshot_run(spark, silver.subscriptions_latest(new), root, run_id, rows, buckets)
+    _set_merged(spark, root, landed)
+    return snapshot if snapshot is not None else silver.subscriptions_latest(new).limit(0)
 
 
 def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, rows: dict[str, int]) -> DataFrame:
@@ -280,35 +249,74 @@ def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, rows: dict
     full_loads = conform.customers(conform.conform_crm(bronze["crm_contacts"]),
                                    conform.conform_billing(bronze["stripe_customers"]))
     path = f"{warehouse}/silver/customers"
-    _write(full_loads.unionByName(state.select(conform.CUSTOMER_COLUMNS)), path, "customers", rows)
+    _swap_in(spark, full_loads.unionByName(state.select(conform.CUSTOMER_COLUMNS)), path, "customers", rows)
     return spark.read.parquet(path)
 
 
-def register_tables(spark: SparkSession, registry: dict, warehouse: str, prefix: str = "") -> list[str]:
-    """Make the stored tables reachable by name (S12, S23, S24): external
-    tables ``bronze.*``, ``silver.*``, ``gold.*`` and ``snapshots.*`` of the
-    session's catalog over the warehouse's folders. ``prefix`` sets apart the
-    schemas of several warehouses. Dropping a name leaves its files."""
+OWNER = "tidemark.warehouse"       # table property: whose folders a registered name shows
+
+
+class NameTaken(RuntimeError):
+    """A table of that name is not this warehouse's; it was left as it is."""
+
+
+def _owner(spark: SparkSession, name: str) -> str | None:
+    """The warehouse that registered an external table, None for any other."""
+    held = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    if held.get("Type") != "EXTERNAL":
+        return None
+    props = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+    return props.get(OWNER)
+
+
+def table_places(spark: SparkSession, registry: dict, warehouse: str, prefix: str = "") -> dict[str, str]:
+    """`schema`.`table` -> folder of every stored table there is."""
     places = {cfg["target_bronze"]: landing.table_path(warehouse, cfg["target_bronze"]) for cfg in registry.values()}
     places |= {f"silver.{n}": f"{warehouse}/silver/{n}" for n in SILVER}
-    places |= {f"gold.{n}": f"{warehouse}/gold/{n}" for n in GOLD}
-    places["snapshots.scd_subscriptions_open"] = f"{warehouse}/snapshots/scd_subscriptions/current"
+    gold = published.current(spark, f"{warehouse}/gold")
+    places |= {f"gold.{n}": published.path_of(f"{warehouse}/gold", gold, n) for n in (gold.places if gold else {})}
+    return {"`{}`.`{}`".format(*f"{prefix}{n}".split(".", 1)): p for n, p in places.items() if landing.table_exists(spark, p)}
+
+
+def check_names(spark: SparkSession, registry: dict, warehouse: str, prefix: str = "") -> None:
+    """Refuse, before anything is done, names that others hold."""
+    names = [cfg["target_bronze"] for cfg in registry.values()] + [f"silver.{n}" for n in SILVER] + [f"gold.{n}" for n in GOLD]
+    for n in names:
+        name = "`{}`.`{}`".format(*f"{prefix}{n}".split(".", 1))
+        if spark.catalog.tableExists(name.replace("`", "")) and _owner(spark, name) != warehouse:
+            raise NameTaken(f"{name} is not a table of {warehouse}; register under another prefix")
+
+
+def register_tables(spark: SparkSession, registry: dict, warehouse: str, prefix: str = "") -> list[str]:
+    """Make the stored tables reachable by name (S12, S23, S24): external
+    tables ``bronze.*``, ``silver.*`` and ``gold.*`` of the session's catalog
+    over the warehouse's folders, gold over the published version. ``prefix``
+    sets apart the schemas of several warehouses. A name that another
+    warehouse registered, or that is a table of anyone else, is refused
+    before any name is touched; own names are only made anew, never their
+    files."""
+    check_names(spark, registry, warehouse, prefix)
     made = []
-    for name, path in places.items():
-        if not landing.table_exists(spark, path):
-            continue
-        schema, table = f"{prefix}{name}".split(".", 1)
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
-        spark.sql(f"DROP TABLE IF EXISTS `{schema}`.`{table}`")
-        merged = landing.read_table(spark, path) if name.startswith("bronze") else None
-        spark.catalog.createTable(f"`{schema}`.`{table}`", path=path, source="parquet",
-                                  **({"schema": merged.schema} if merged is not None else {}))
-        if name == "silver.events":
-            spark.catalog.recoverPartitions(f"`{schema}`.`{table}`")
-        made.append(f"{schema}.{table}")
+    for name, path in table_places(spark, registry, warehouse, prefix).items():
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")
+        if spark.catalog.tableExists(name.replace("`", "")):
+            spark.sql(f"DROP TABLE {name}")             # own and external (checked above): files stay
+        columns = ""
+        if name.startswith(f"`{prefix}bronze"):
+            fields = landing.read_table(spark, path).schema.fields
+            columns = " (" + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ")"
+        spark.sql(f"CREATE TABLE {name}{columns} USING parquet LOCATION '{path}' TBLPROPERTIES ('{OWNER}' = '{warehouse}')")
+        if name == f"`{prefix}silver`.`events`":
+            spark.catalog.recoverPartitions(name.replace("`", ""))
+        made.append(name.replace("`", ""))
     return made
 
 
+def gold_table(spark: SparkSession, warehouse: str, name: str) -> DataFrame:
+    """A gold table of the last published run."""
+    return published.read(spark, f"{warehouse}/gold", name)
+
+
 def _iso(as_of) -> str:
     if isinstance(as_of, str):
         as_of = _dt.datetime.fromisoformat(as_of)
@@ -320,13 +328,21 @@ def _iso(as_of) -> str:
 def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
                  full_refresh: bool = False, names=None, scale: float = 1.0,
                  reference_now=None, gate_layers=("bronze", "silver", "gold"),
-                 raise_on_fail: bool = False, lookback=None, reset_history: bool = False) -> PipelineRun:
-    """Run the whole pipeline once at logical time ``as_of``. ``lookback``
+                 raise_on_fail: bool = False, lookback=None, reset_history: bool = False,
+                 prefix: str | None = None, publish_failed: bool = False, history_buckets: int = 16) -> PipelineRun:
+    """Run the whole pipeline once at logical time ``as_of``. Gold is published
+    when every gate of ``gate_layers`` lets it (a failed or unanswered one
+    keeps the earlier gold in view, unless ``publish_failed``).
+    ``history_buckets``: of a new SCD-2 history, so many that an open bucket
+    fits a task. ``prefix`` (the empty one too) registers
+    the tables by name, see ``register_tables``; None registers none. ``lookback``
     (a timedelta) re-reads that much before each watermark (E6).
     ``full_refresh`` rebuilds incremental bronze and the silver tables kept
     from it (S28); the SCD-2 history stays unless ``reset_history`` drops it
     (S27). A check whose table is missing counts as one that could not run."""
     as_of_text = str(as_of)
+    if prefix is not None:
+        check_names(spark, registry, warehouse, prefix)
     if full_refresh:                                   # S28: reset incremental tables
         landing.reset(spark, registry, warehouse)
         for name in STATEFUL_SILVER:
@@ -343,6 +359,7 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
             bronze[name] = landing.read_table(spark, path)
     lh = Lakehouse(spark, bronze, as_of_text, plan_pricing(spark))
     rows: dict[str, int] = {}
+    sub_runs = _landed_runs(bronze["app_subscriptions"]) if "app_subscriptions" in bronze else None
 
     for n in SILVER:        # identity_map comes after customers: it reads the written table
         if n == "events":
@@ -354,21 +371,25 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
             continue
         if n == "subscriptions" and "app_subscriptions" in bronze:
             lh.__dict__[n] = _subscriptions_run(spark, bronze["app_subscriptions"],
-                                                f"{warehouse}/silver/subscriptions", rows)
+                                                f"{warehouse}/silver/subscriptions", rows, sub_runs)
             continue
-        _write(getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
+        _swap_in(spark, getattr(lh, n), f"{warehouse}/silver/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{warehouse}/silver/{n}")
 
-    lh.__dict__["scd_subscriptions"] = snapshot_run(
-        spark, lh.subscriptions.select(SNAPSHOT_COLUMNS), f"{warehouse}/snapshots/scd_subscriptions",
-        _run_id(as_of), rows)
+    snapshots = f"{warehouse}/snapshots/scd_subscriptions"
+    if "app_subscriptions" in bronze:
+        lh.__dict__["scd_subscriptions"] = _history_run(spark, bronze["app_subscriptions"], snapshots, _run_id(as_of), rows, sub_runs,
+                                                         history_buckets)
+    else:
+        lh.__dict__["scd_subscriptions"] = snapshot_run(spark, lh.subscriptions, snapshots, _run_id(as_of), rows, history_buckets)
 
-    for n in GOLD:
-        _write(getattr(lh, n), f"{warehouse}/gold/{n}", n, rows)
-        lh.__dict__[n] = spark.read.parquet(f"{warehouse}/gold/{n}")
+    gold_root, folder = f"{warehouse}/gold", f"runs/{_run_id(as_of)}-{uuid.uuid4().hex[:8]}"
+    before = published.current(spark, gold_root)
+    for n in GOLD:      # seen by nobody until it is published
+        _write(getattr(lh, n), f"{gold_root}/{folder}/{n}", n, rows)
+        lh.__dict__[n] = spark.read.parquet(f"{gold_root}/{folder}/{n}")
 
-    register_tables(spark, registry, warehouse)
-    run = PipelineRun(as_of_text, landed, rows)
+    run = PipelineRun(as_of_text, landed, rows, freshness=_freshness(spark, bronze, as_of))
     tables = dict(lh.bronze)
     tables.update({n: getattr(lh, n) for n in SILVER + GOLD})
     layer_checks = {layer: rules.checks_for(layer) for layer in gate_layers}
@@ -392,17 +413,36 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
             run.gates[layer] = "fail" if e.code == 2 else "error"
             if raise_on_fail:
                 raise
+    if publish_failed or not {"fail", "error"} & set(run.gates.values()):
+        run.published = published.publish(spark, gold_root, before, {n: f"{folder}/{n}" for n in GOLD},
+                                          {"as_of": as_of_text, "gates": run.gates}).number
+        published.clean(spark, gold_root, "runs")
+    if prefix is not None:
+        register_tables(spark, registry, warehouse, prefix)
     _record_run(spark, warehouse, _run_id(as_of), run)
     return run
 
 
+def _freshness(spark: SparkSession, bronze: dict[str, DataFrame], as_of) -> dict[str, float]:
+    """Hours from the last landing of each bronze table to ``as_of`` (E5), in
+    one job that reads one column; tables never landed are left out."""
+    if not bronze:
+        return {}
+    last = [df.agg(F.max(from_iso8601(F.col("_ingested_at"))).alias("at")).select(F.lit(n).alias("name"), "at") for n, df in bronze.items()]
+    rows = reduce(DataFrame.union, last).select("name", (F.unix_seconds(ts_literal(as_of)) - F.unix_seconds("at")).alias("s")).collect()
+    return {r["name"]: r["s"] / 3600 for r in rows if r["s"] is not None}
+
+
 def _record_run(spark: SparkSession, warehouse: str, run_id: str, run: PipelineRun) -> None:
     """Keep the run's metrics and check verdicts (E5) in run-partitioned
     tables under ``warehouse/quality`` (a retried run overwrites its own
     partition). A handful of rows per run, written from the driver."""
     metrics = ([("landed", k, float(v)) for k, v in run.landed.items()]
                + [("rows", k, float(v)) for k, v in run.rows.items()]
-               + [("gate", k, {"pass": 0.0, "warn": 1.0}.get(v, 2.0)) for k, v in run.gates.items()])
+               + [("gate", k, {"pass": 0.0, "warn": 1.0}.get(v, 2.0)) for k, v in run.gates.items()]
+               + [("freshness_hours", k, v) for k, v in run.freshness.items()])
+    if run.published is not None:
+        metrics.append(("published", "gold", float(run.published)))
     if run.pass_rate is not None:
         metrics.append(("checks", "pass_rate", float(run.pass_rate)))
     m = spark.createDataFrame(metrics, "kind string, name string, value double")

@@ -43,7 +43,7 @@ class BucketedHistory:
     """One stored history. ``key`` and ``updated_at`` as in ``scd2``; ``ties``
     order changes of one key and time within a run."""
 
-    def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str, buckets: int = 64, ties: tuple[str, ...] = ()):
+    def __init__(self, spark: SparkSession, root: str, key: str, updated_at: str, buckets: int = 16, ties: tuple[str, ...] = ()):
         self.spark, self.root, self.key, self.updated_at, self.ties = spark, root.rstrip("/"), key, updated_at, ties
         held = published.current(spark, self.root)
         self.buckets = held.facts["buckets"] if held else buckets  # fixed by the first run
@@ -135,6 +135,8 @@ class BucketedHistory:
             places[f"{CLOSED}/{folder}"] = f"{folder}/rows/state={CLOSED}"
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in met.schema["new"].dataType.fields)
         facts = {"label": label, "buckets": self.buckets, "schema": schema, "opened": done["opened"], "closed": done["closed"]}
+        held = before.facts if before else {"n_open": 0, "n_all": 0}
+        facts |= {"n_open": held["n_open"] + done["opened"] - done["closed"], "n_all": held["n_all"] + done["opened"]}
         version = published.publish(self.spark, self.root, before, places, facts)
         published.clean(self.spark, self.root, "commits")
         return RunResult(version.number, done["opened"], done["closed"], len(touched))

@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.json_array import read_split_array
+
 # The text tokens a pandas CSV reader turns into nulls by default.
 PANDAS_NULL_TOKENS = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
@@ -140,10 +142,19 @@ def read_parquet(spark: SparkSession, cfg: dict, since=None) -> DataFrame:
 
 
 def _csv(spark, cfg, since=None):
-    return read_csv_strings(spark, cfg["path"], cfg.get("null_values"))
+    """A configured CSV source reads as a pandas reader does (T21): its null
+    tokens, quoted empty fields among them, and line breaks inside quotes. A
+    source that needs neither says so (``null_values: []``, ``multi_line:
+    false``); its files are then split among tasks."""
+    return read_csv_strings(spark, cfg["path"], cfg.get("null_values", PANDAS_NULL_TOKENS), multiLine=cfg.get("multi_line", True))
 
 
 def _rest(spark, cfg, since=None):
+    """A JSON array; with a ``schema`` its files are split among tasks
+    (``sources.json_array``), without one a file is one task's, since the
+    schema is inferred. ``multi_line: false`` says that it is JSON lines."""
+    if cfg.get("schema") is not None and cfg.get("multi_line", True):
+        return read_split_array(spark, cfg["path"], as_schema(cfg["schema"]))
     return read_json_array(spark, cfg["path"], cfg.get("schema"), cfg.get("multi_line", True))
 
 

@@ -1,13 +1,11 @@
 """SCD-2 history maintained by a stream of subscription changes.
 
 Each micro-batch is applied in ``foreachBatch`` exactly like one scheduled
-run: the batch's latest change per subscription is merged into the stored
-silver state ("latest per id" over previous state + batch), then the open
-versions are compared with it, the versions it closes are appended to the
-run-partitioned history and the open versions are swapped in, stamped with
-the epoch id. A replayed epoch (the stream restarted after the writes but
-before its checkpoint commit) finds its id already stamped and is skipped,
-so each change is applied once.
+run: the batch's latest change per subscription is met with the open versions
+of the buckets it touches, and one commit makes what it opened and closed
+visible. A replayed epoch (the stream restarted after the commit but before
+its checkpoint) brings nothing newer and so changes nothing; a batch reads and
+writes in proportion to the buckets it touches, never the whole state.
 """
 
 from __future__ import annotations
@@ -18,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.operators import silver
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.plans import runner
-from tidemark.sources import landing
 from tidemark.streaming.events import stream_id
 
 PAYLOAD = ["subscription_id", "account_id", "plan", "status", "sub_started_at", "sub_updated_at"]
@@ -27,23 +24,9 @@ PAYLOAD = ["subscription_id", "account_id", "plan", "status", "sub_started_at",
 def apply_changes(spark: SparkSession, changes: DataFrame, root: str, run_id: str, stream: str = "") -> None:
     """One batch of typed subscription changes (the columns of
     ``silver.subscription_log``) applied to the state under ``root``.
-    ``stream`` names the checkpoint the epoch numbers belong to: only epochs
-    of the same checkpoint can have been applied already."""
-    _, last = runner._stamp(spark, f"{root}/snapshot")
-    if last is not None and last.rpartition(":")[0] == stream and last.rpartition(":")[2] >= run_id:
-        return                                    # this epoch is already applied
-    state_path = f"{root}/silver_subscriptions"
-    landing.recover_table(spark, state_path)
+    ``stream`` and ``run_id`` (checkpoint and epoch) label the commit."""
     order = silver.subscription_order(updated="sub_updated_at", ingested="_ingested_at")
-    batch = latest_per_key(changes, ["subscription_id"], order)
-    if landing.table_exists(spark, state_path):
-        batch = latest_per_key(spark.read.parquet(state_path).unionByName(batch),
-                               ["subscription_id"], order)
-    rows: dict[str, int] = {}
-    runner._swap_in(spark, batch, state_path, "silver_subscriptions", rows)
-    state = spark.read.parquet(state_path)
-    runner.snapshot_run(spark, state.select(PAYLOAD), f"{root}/snapshot", run_id, rows,
-                        label=f"{stream}:{run_id}")
+    runner.snapshot_run(spark, latest_per_key(changes, ["subscription_id"], order), f"{root}/snapshot", f"{stream}:{run_id}", {})
 
 
 def scd2_stream(spark: SparkSession, source_path: str, schema, root: str,
