@@ -19,9 +19,11 @@ from __future__ import annotations
 
 import datetime as _dt
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,11 +113,11 @@ def snapshot_run(spark: SparkSession, changes: DataFrame, root: str, run_id: str
     return history.read(version)
 
 
-# Which landing runs a silver table holds: a side table in its folder, one row
-# per run with the number of bronze rows merged. It is written after the
-# table, so a crash between the two merges those rows once more, which changes
-# nothing (the latest copy per key stays the latest).
-MERGED_DIR = "_tidemark_merged"
+# Which landing runs a silver table holds: a note in its folder, the number of
+# bronze rows merged per run. It is written after the table, so a crash between
+# the two merges those rows once more, which changes nothing (the latest copy
+# per key stays the latest); so does a note that is lost or half written.
+MERGED_NOTE = "_tidemark_merged.json"
 
 
 def _landed_runs(bronze: DataFrame) -> dict[str, int]:
@@ -130,9 +132,10 @@ def _to_merge(spark: SparkSession, bronze: DataFrame, path: str,
     full yet, whichever run landed them, and the counts to record (``landed``:
     those counts, where they are known already)."""
     landed = _landed_runs(bronze) if landed is None else landed
-    side = f"{path}/{MERGED_DIR}"
-    held = ({r["run"]: r["n"] for r in spark.read.parquet(side).collect()}
-            if landing.path_exists(spark, side) else {})
+    try:
+        held = dict(published.read_note(spark, f"{path}/{MERGED_NOTE}") or [])
+    except ValueError:
+        held = {}
     missing = [r for r, n in landed.items() if held.get(r) != n]
     known = [r for r in missing if r is not None]
     wanted = F.col("_ingested_at").isin(known) if known else F.lit(False)
@@ -142,8 +145,7 @@ def _to_merge(spark: SparkSession, bronze: DataFrame, path: str,
 
 
 def _set_merged(spark: SparkSession, path: str, landed: dict[str, int]) -> None:
-    (spark.createDataFrame(list(landed.items()), "run string, n long").coalesce(1)
-     .write.mode("overwrite").parquet(f"{path}/{MERGED_DIR}"))
+    published.write_note(spark, f"{path}/{MERGED_NOTE}", list(landed.items()))
 
 
 def _event_order():
@@ -385,9 +387,13 @@ def run_pipeline(spark: SparkSession, registry: dict, warehouse: str, as_of,
 
     gold_root, folder = f"{warehouse}/gold", f"runs/{_run_id(as_of)}-{uuid.uuid4().hex[:8]}"
     before = published.current(spark, gold_root)
-    for n in GOLD:      # seen by nobody until it is published
+    def build(n: str) -> None:      # seen by nobody until it is published
         _write(getattr(lh, n), f"{gold_root}/{folder}/{n}", n, rows)
         lh.__dict__[n] = spark.read.parquet(f"{gold_root}/{folder}/{n}")
+    build("dim_customer")
+    build("fact_subscriptions")
+    with ThreadPoolExecutor(len(GOLD)) as pool:     # the marts do not read each other
+        list(pool.map(inheritable_thread_target(spark)(build), GOLD[2:]))
 
     run = PipelineRun(as_of_text, landed, rows, freshness=_freshness(spark, bronze, as_of))
     tables = dict(lh.bronze)

@@ -44,14 +44,30 @@ def _pointer_numbers(spark: SparkSession, root: str) -> list[int]:
     return sorted(int(n[:-5]) for n in names if n.endswith(".json") and n[:-5].isdigit())
 
 
-def _read_pointer(spark: SparkSession, root: str, number: int) -> Version:
-    fs, p = _fs(spark, f"{root.rstrip('/')}/{POINTERS}/{number:012d}.json")
+def read_note(spark: SparkSession, path: str):
+    """The content of a small JSON file, None if there is none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return None
     stream = fs.open(p)
     try:
-        text = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:
         stream.close()
-    held = json.loads(text)
+
+
+def write_note(spark: SparkSession, path: str, content) -> None:
+    """A small JSON file, written by the driver without a job."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(json.dumps(content, sort_keys=True).encode()))
+    finally:
+        out.close()
+
+
+def _read_pointer(spark: SparkSession, root: str, number: int) -> Version:
+    held = read_note(spark, f"{root.rstrip('/')}/{POINTERS}/{number:012d}.json")
     return Version(number, held["places"], held["facts"])
 
 
@@ -66,12 +82,9 @@ def publish(spark: SparkSession, root: str, after: Version | None, places: dict[
     root = root.rstrip("/")
     number = 1 if after is None else after.number + 1
     fs, to = _fs(spark, f"{root}/{POINTERS}/{number:012d}.json")
-    _, draft = _fs(spark, f"{root}/{POINTERS}/draft-{uuid.uuid4().hex}")
-    out = fs.create(draft, True)
-    try:
-        out.write(bytearray(json.dumps({"places": places, "facts": facts}, sort_keys=True).encode()))
-    finally:
-        out.close()
+    name = f"{root}/{POINTERS}/draft-{uuid.uuid4().hex}"
+    write_note(spark, name, {"places": places, "facts": facts})
+    _, draft = _fs(spark, name)
     # rename does not replace on a distributed file system; a local one may, hence the look before
     if fs.exists(to) or not fs.rename(draft, to):
         fs.delete(draft, False)
