@@ -27,7 +27,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.functions import try_instant
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.sources.landing import table_exists, to_bronze
+from tidemark.sources.landing import to_bronze
+from tidemark.streaming.id_index import IdIndex
 
 NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -68,23 +69,24 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
 
 
 def dedupe_stream(spark: SparkSession, source_path: str, schema: T.StructType, target_path: str,
-                  checkpoint: str, columns: list[str], key: str = "event_id", time_text: str = "timestamp") -> StreamingQuery:
+                  checkpoint: str, columns: list[str], key: str = "event_id", time_text: str = "timestamp",
+                  buckets: int = 16) -> StreamingQuery:
     """Each event id once, however late it or its copies come.
 
     A micro-batch keeps one copy per id (the least by all columns) and of
     those the ids the target does not hold; they go to a folder of the
-    checkpoint's epoch, which a replayed epoch writes again without looking
-    at itself. Only ids are read of the target. A new checkpoint starts new
+    checkpoint's epoch, in ``buckets`` by id, which a replayed epoch writes
+    again without looking at itself. Ids are read only of the folders that may
+    hold one of the batch (``streaming.id_index``). A new checkpoint starts new
     folders, and what the target holds still counts.
     """
     def each(batch: DataFrame, epoch: int) -> None:
         run = f"{stream_id(spark, checkpoint)}-{epoch:012d}"
-        fresh = latest_per_key(batch.withColumn("event_at", try_instant(F.col(f"`{time_text}`"))), [key], [])
-        if table_exists(spark, target_path):
-            held = spark.read.parquet(target_path)
-            held = held.filter(F.col("run") != run).select(F.col(key).alias("_held"))
-            fresh = fresh.join(held, F.col(key).eqNullSafe(F.col("_held")), "left_anti")
-        fresh.select(*columns).write.mode("overwrite").parquet(f"{target_path}/run={run}")
+        typed = batch.withColumn("event_at", try_instant(F.col(f"`{time_text}`")))
+        work = f"{checkpoint}/tidemark-batch"    # the batch is read twice: its ids, then its rows
+        latest_per_key(typed, [key], []).select(*dict.fromkeys([key, *columns])).write.mode("overwrite").parquet(work)
+        index = IdIndex(spark, target_path, key, buckets)
+        index.add(index.missing(spark.read.parquet(work), run).select(*columns), run)
 
     return (spark.readStream.schema(schema).parquet(source_path).writeStream.foreachBatch(each)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
