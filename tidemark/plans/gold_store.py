@@ -22,8 +22,10 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -177,6 +179,14 @@ class GoldStore:
         return {t: p for t, p in places.items() if fresh.setdefault(p, path_exists(self.spark, f"{self.root}/{p}"))}
 
     def _propagate(self, before, records, versions, folder, places) -> dict | None:
+        """Write what a run changes. Tables that do not read each other are
+        written side by side; leaving the block waits for all of them, so that
+        nothing is still writing when a failed run's folder goes."""
+        in_thread = inheritable_thread_target(self.spark)
+        with ThreadPoolExecutor(8) as pool:
+            return self._flow(lambda fn, *args: pool.submit(in_thread(fn), *args), before, records, versions, folder, places)
+
+    def _flow(self, beside, before, records, versions, folder, places) -> dict | None:
         spark = self.spark
         empty_records = spark.createDataFrame([], ", ".join(f"{c} {'timestamp' if c in ('source_created_at', '_ingested_at') else 'string'}"
                                                             for c in CUSTOMER_COLUMNS))
@@ -184,11 +194,12 @@ class GoldStore:
             records = empty_records
         if "_deleted" not in records.columns:
             records = records.withColumn("_deleted", F.lit(False))
-        changed = self._store(records.select(*CUSTOMER_COLUMNS, "_deleted", customer_key_of(F.col("email_hash")).alias("customer_key")),
+        changed = beside(self._store, records.select(*CUSTOMER_COLUMNS, "_deleted", customer_key_of(F.col("email_hash")).alias("customer_key")),
                               folder, "in_records")
         empty_versions = spark.createDataFrame([], "subscription_id string, account_id string, plan string, status string, sub_started_at timestamp, "
                                                    "sub_updated_at timestamp, scd_id string, valid_from timestamp, valid_to timestamp")
         moved = self._store(_placed((versions if versions is not None else empty_versions).select(empty_versions.columns)), folder, "in_versions")
+        changed = changed.result()
         if changed.isEmpty() and moved.isEmpty():
             return None
 
@@ -199,9 +210,8 @@ class GoldStore:
         alive = changed.filter("NOT _deleted")
         old_keys = held_keys.join(changed.select(RECORD), RECORD, "left_semi")
         persons = self._store(old_keys.select("customer_key").union(alive.select("customer_key")).distinct(), folder, "persons")
-        _, p = self._keep(held_keys.join(changed.select(RECORD), RECORD, "left_anti").unionByName(alive.select(*RECORD, "customer_key")),
-                          folder, "record_keys", r_numbers)
-        places |= p
+        kept = [beside(self._keep, held_keys.join(changed.select(RECORD), RECORD, "left_anti").unionByName(alive.select(*RECORD, "customer_key")),
+                       folder, "record_keys", r_numbers)]
         p_numbers = self._numbers("records", persons)
         like_records = changed.drop("_deleted")
         held_records = self._held(before, "records", p_numbers, like_records)
@@ -213,17 +223,15 @@ class GoldStore:
         dim_new = self._store(gold.dim_customer(None, touched_records), folder, "dim_new")
         held_dim = self._held(before, "dim_customer", p_numbers, dim_new)
         dim_old = held_dim.join(persons, "customer_key", "left_semi")
-        _, p = self._keep(held_dim.join(persons, "customer_key", "left_anti").unionByName(dim_new), folder, "dim_customer", p_numbers)
-        places |= p
+        kept.append(beside(self._keep, held_dim.join(persons, "customer_key", "left_anti").unionByName(dim_new), folder, "dim_customer", p_numbers))
         # accounts
         of_dim = lambda d: d.filter("account_id IS NOT NULL").select("account_id")
         accounts = self._store(of_dim(dim_old).union(of_dim(dim_new)).union(of_dim(moved)).distinct(), folder, "accounts")
         a_numbers = self._numbers("bridge", accounts)
         like_bridge = dim_new.select("account_id", "customer_key")
         held_bridge = self._held(before, "bridge", a_numbers, like_bridge)
-        bridge, p = self._keep(held_bridge.join(persons, "customer_key", "left_anti").unionByName(
+        bridged = beside(self._keep, held_bridge.join(persons, "customer_key", "left_anti").unionByName(
             like_bridge.filter("account_id IS NOT NULL")), folder, "bridge", a_numbers)
-        places |= p
         spots = self._store(accounts.select(F.concat(F.lit("a"), F.col("account_id")).alias("_place")).union(moved.select("_place")).distinct(),
                             folder, "spots")
         v_numbers = self._numbers("versions", spots)
@@ -231,12 +239,13 @@ class GoldStore:
         # a version keeps its account, so its earlier form lies in a touched bucket
         new_versions, p = self._keep(held_versions.join(moved.select("scd_id"), "scd_id", "left_anti").unionByName(moved), folder, "versions", v_numbers)
         places |= p
+        bridge, p = bridged.result()
+        places |= p
+        held_fact = self._held(before, "fact_subscriptions", v_numbers, _placed(gold.fact_subscriptions(new_versions, bridge)))
+        fact_old = beside(self._store, held_fact.join(spots, "_place", "left_semi"), folder, "fact_old")
         fact_new = self._store(_placed(gold.fact_subscriptions(
             new_versions.join(spots, "_place", "left_semi"), bridge)), folder, "fact_new")
-        held_fact = self._held(before, "fact_subscriptions", v_numbers, fact_new)
-        fact_old = self._store(held_fact.join(spots, "_place", "left_semi"), folder, "fact_old")
-        _, p = self._keep(held_fact.join(spots, "_place", "left_anti").unionByName(fact_new), folder, "fact_subscriptions", v_numbers)
-        places |= p
+        kept.append(beside(self._keep, held_fact.join(spots, "_place", "left_anti").unionByName(fact_new), folder, "fact_subscriptions", v_numbers))
         # persons whose sums can differ: the touched ones, and all whose fact rows were written anew
         affected = self._store(reduce(DataFrame.union, [persons, bridge.join(accounts, "account_id", "left_semi").select("customer_key"),
                                                         held_bridge.join(accounts, "account_id", "left_semi").select("customer_key")])
@@ -245,15 +254,19 @@ class GoldStore:
         others = self._held(before, "dim_customer", f_numbers, dim_new).join(affected, "customer_key", "left_semi")
         dims_old = others
         dims_new = others.join(persons, "customer_key", "left_anti").unionByName(dim_new)
-        self._totals(before, folder, places, (dims_old, fact_old), (dims_new, fact_new))
+        totals = self._totals(beside, before, folder, (dims_old, fact_old.result()), (dims_new, fact_new))
         # LTV rows are replaced
         priced = self._paying(fact_new).filter("customer_key IS NOT NULL").groupBy("customer_key").agg(
             F.count(F.lit(1)).alias("active_subscriptions"), F.sum("monthly_price").cast("bigint").alias("current_mrr"),
             F.max("months").cast("bigint").alias("tenure_months"), F.sum(F.col("monthly_price") * F.col("months")).cast("bigint").alias("ltv_to_date"))
         ltv_new = self._store(priced, folder, "ltv_new")
         held_ltv = self._held(before, "ltv", f_numbers, ltv_new)
-        _, p = self._keep(held_ltv.join(affected, "customer_key", "left_anti").unionByName(ltv_new), folder, "ltv", f_numbers)
-        places |= p
+        kept.append(beside(self._keep, held_ltv.join(affected, "customer_key", "left_anti").unionByName(ltv_new), folder, "ltv", f_numbers))
+        for job in kept:
+            places |= job.result()[1]
+        for name, job in totals.items():
+            job.result()
+            places[name] = f"{folder}/{name}"
         return {"record_keys": like_keys.schema, "records": like_records.schema, "dim_customer": dim_new.schema, "bridge": like_bridge.schema,
                 "versions": moved.schema, "fact_subscriptions": fact_new.schema, "ltv": ltv_new.schema}
 
@@ -261,7 +274,7 @@ class GoldStore:
         return gold.current_active(fact).join(self.pricing, "plan").withColumn(
             "months", clamp_non_negative(months_between_whole(F.col("sub_started_at"), ts_literal(self.as_of))))
 
-    def _totals(self, before, folder, places, old, new) -> None:
+    def _totals(self, beside, before, folder, old, new) -> dict:
         """Each total: what it was, less what the touched keys gave, plus what they give."""
         def signed(part: Callable[[DataFrame, DataFrame], DataFrame], measures: list[str]) -> DataFrame:
             less = part(*old)
@@ -272,9 +285,9 @@ class GoldStore:
             summed = all_.groupBy(*keys).agg(*[F.coalesce(F.sum(m), F.lit(0)).cast("bigint").alias(m) for m in measures])
             if keys:
                 summed = summed.filter(F.col(measures[0]) != 0)
-            self._store(summed, folder, name)
-            places[name] = f"{folder}/{name}"
+            jobs[name] = beside(self._store, summed, folder, name)
 
+        jobs: dict = {}
         keep("mrr_counts", signed(lambda d, f: gold.current_active(f).groupBy("plan").agg(F.count(F.lit(1)).alias("n")), ["n"]), ["plan"], ["n"])
         funnel = lambda d, f: gold.mart_funnel(d, f).select("leads", "signups", "paid")
         keep("funnel_counts", signed(funnel, ["leads", "signups", "paid"]), [], ["leads", "signups", "paid"])
@@ -283,3 +296,4 @@ class GoldStore:
         orphans = lambda d, f: self._paying(f).filter("customer_key IS NULL").groupBy("monthly_price", "months").agg(
             F.count(F.lit(1)).alias("n"))
         keep("orphan_months", signed(orphans, ["n"]), ["monthly_price", "months"], ["n"])
+        return jobs
