@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.plans import runner
 from tidemark.plans.runner import gold_table, run_pipeline
 from tidemark.plans.q_io import write_source_files
 from tidemark.plans.runner import read_snapshot
@@ -220,3 +221,17 @@ def test_hot_day_of_events_is_split(spark):
     finally:
         for k, v in keep.items():
             spark.conf.set(k, v)
+
+
+def test_state_lies_still_when_nothing_landed(spark):
+    path, rows = scratch_path(spark, "state"), {}
+    bronze = spark.createDataFrame([("a", "1", "r1"), ("a", "2", "r2"), ("b", "1", "r1")], "id string, v string, _ingested_at string")
+
+    def run(landed):
+        df = runner._state_run(spark, landed, path, "state", lambda b: b, ["id"], [F.col("_ingested_at").desc()], rows)
+        return sorted(tuple(r) for r in df.collect()), {r[0] for r in df.select("_metadata.file_path").distinct().collect()}
+    kept, files = run(bronze)
+    assert kept == [("a", "2", "r2"), ("b", "1", "r1")] and rows["state"] == 2
+    assert run(bronze) == (kept, files) and rows["state"] == 2
+    changed, _ = run(bronze.union(spark.createDataFrame([("b", "9", "r3")], bronze.schema)))
+    assert changed == [("a", "2", "r2"), ("b", "9", "r3")]

@@ -31,7 +31,7 @@ from tidemark.functions import from_iso8601, ts_literal
 from tidemark.operators import conform, dedupe, dq, rules, silver
 from tidemark.operators.dedupe import latest_per_key
 from tidemark.plans.model import Lakehouse
-from tidemark.plans.scd_store import BucketedHistory
+from tidemark.plans.scd_store import BucketedHistory, RunResult
 from tidemark.session import scratch_path
 from tidemark.sources import landing, published
 from tidemark.sources.registry import plan_pricing
@@ -107,10 +107,14 @@ def snapshot_run(spark: SparkSession, changes: DataFrame, root: str, run_id: str
     history = history_of(spark, root, buckets)
     done = history.apply(changes.select(SNAPSHOT_COLUMNS), run_id)
     version = history.version()
+    _count_versions(version, done, rows)
+    return history.read(version)
+
+
+def _count_versions(version: published.Version | None, done: RunResult, rows: dict[str, int]) -> None:
     rows["scd_opened_by_run"], rows["scd_closed_by_run"] = done.opened, done.closed
     rows["scd_open"] = version.facts["n_open"] if version else 0
     rows["scd_subscriptions"] = version.facts["n_all"] if version else 0
-    return history.read(version)
 
 
 # Which landing runs a silver table holds: a note in its folder, the number of
@@ -127,16 +131,18 @@ def _landed_runs(bronze: DataFrame) -> dict[str, int]:
 
 
 def _to_merge(spark: SparkSession, bronze: DataFrame, path: str,
-              landed: dict[str, int] | None = None) -> tuple[DataFrame, dict[str, int]]:
+              landed: dict[str, int] | None = None) -> tuple[DataFrame | None, dict[str, int]]:
     """The bronze rows of every landing run that ``path`` does not hold in
-    full yet, whichever run landed them, and the counts to record (``landed``:
-    those counts, where they are known already)."""
+    full yet, whichever run landed them (None when it holds all), and the
+    counts to record (``landed``: those counts, where they are known already)."""
     landed = _landed_runs(bronze) if landed is None else landed
     try:
         held = dict(published.read_note(spark, f"{path}/{MERGED_NOTE}") or [])
     except ValueError:
         held = {}
     missing = [r for r, n in landed.items() if held.get(r) != n]
+    if not missing:
+        return None, landed
     known = [r for r in missing if r is not None]
     wanted = F.col("_ingested_at").isin(known) if known else F.lit(False)
     if len(known) < len(missing):
@@ -174,6 +180,9 @@ def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
         _set_merged(spark, path, landed)
         return spark.read.parquet(path)
     new, landed = _to_merge(spark, bronze, path)
+    if new is None:
+        rows["events_batch"] = rows["events_merged"] = 0
+        return spark.read.parquet(path)
     work = scratch_path(spark, "silver-events")
     _write(dated(silver.events_latest(new)), f"{work}/batch", "events_batch", rows)
     if not rows["events_batch"]:
@@ -214,6 +223,9 @@ def _state_run(spark: SparkSession, bronze: DataFrame, path: str, name: str, con
     else:
         new, landed = _to_merge(spark, bronze, path, landed)
         prev = spark.read.parquet(path)
+        if new is None:                 # nothing landed since: the state stays as it lies
+            rows[name] = prev.count()   # from the files' footers
+            return prev
         merged = latest_per_key(prev.unionByName(conformed(new).select(prev.columns)), keys, order)
         _swap_in(spark, merged, path, name, rows)
     _set_merged(spark, path, landed)
@@ -232,9 +244,14 @@ def _history_run(spark: SparkSession, bronze: DataFrame, root: str, run_id: str,
     own record of landing runs is written after the commit: a run that dies
     in between brings its changes once more, which changes nothing."""
     new, landed = _to_merge(spark, bronze, root, landed)
-    snapshot = snapshot_run(spark, silver.subscriptions_latest(new), root, run_id, rows, buckets)
+    history = history_of(spark, root, buckets)
+    if new is None and history.version() is not None:
+        _count_versions(history.version(), RunResult(None, 0, 0, 0), rows)
+        return history.read()
+    changes = silver.subscriptions_latest(bronze if new is None else new)
+    snapshot = snapshot_run(spark, changes, root, run_id, rows, buckets)
     _set_merged(spark, root, landed)
-    return snapshot if snapshot is not None else silver.subscriptions_latest(new).limit(0)
+    return snapshot if snapshot is not None else changes.limit(0)
 
 
 def _customers_run(spark: SparkSession, bronze: dict, warehouse: str, rows: dict[str, int]) -> DataFrame:
