@@ -11,6 +11,7 @@ from tidemark.plans.q_io import write_source_files
 from tidemark.plans.runner import read_snapshot
 from tidemark.sources.landing import path_exists
 from tidemark.session import scratch_path
+from tidemark.streaming.id_index import IdIndex
 
 SF = "/root/testdata/sf0.001"
 
@@ -235,3 +236,36 @@ def test_state_lies_still_when_nothing_landed(spark):
     assert run(bronze) == (kept, files) and rows["state"] == 2
     changed, _ = run(bronze.union(spark.createDataFrame([("b", "9", "r3")], bronze.schema)))
     assert changed == [("a", "2", "r2"), ("b", "9", "r3")]
+
+
+def test_events_reads_only_dates_that_may_hold_an_id(spark):
+    path, rows = scratch_path(spark, "events"), {}
+    schema = "event_id string, event_type string, anonymous_id string, user_id string, timestamp string, _ingested_at string"
+
+    def land(ids, day, batch):
+        at = None if day is None else f"2025-01-{day:02d} 10:00:00"
+        return spark.createDataFrame([(i, "view", "a", "u", at, f"2025-02-{batch:02d}T00:00:00+00:00") for i in ids], schema)
+
+    def run(bronze):
+        df = runner._events_run(spark, bronze, path, rows)
+        files = {r["event_date"]: r["f"] for r in df.select("event_date", F.col("_metadata.file_path").alias("f")).collect()}
+        return {r["event_id"]: r["event_date"] and r["event_date"].day for r in df.collect()}, files
+    bronze = land("abc", 1, 1).union(land("def", 2, 1)).union(land("g", 3, 1)).union(land("hi", None, 1))
+    _, before = run(bronze)
+    index = IdIndex(spark, path, "event_id", by="event_date")
+    assert index.unknown() == [] and index.named(land("xyz", 9, 2)) == []
+    assert [d for d, _ in index.named(land("eh", 9, 2))] == ["2025-01-02", "__HIVE_DEFAULT_PARTITION__"]
+    # e and g move (the third is left empty), h gets a time, the first is not looked at
+    bronze = bronze.union(land("egh", 4, 2))
+    days, after = run(bronze)
+    assert days == dict(a=1, b=1, c=1, d=2, e=4, f=2, g=4, h=4, i=None)
+    first = dt.date(2025, 1, 1)
+    assert after[first] == before[first] and dt.date(2025, 1, 3) not in after
+    # a run that died before its bit fields: those dates are read
+    IdIndex(spark, path, "event_id", by="event_date").forget(["2025-01-01", "2025-01-03"])
+    bronze = bronze.union(land("ah", 2, 3))
+    assert run(bronze)[0] == dict(a=2, b=1, c=1, d=2, e=4, f=2, g=4, h=2, i=None)
+    # a table from before there were any
+    runner.landing.drop_table(spark, f"{path}/_ids")
+    assert run(bronze.union(land("bi", 7, 4)))[0] == dict(a=2, b=7, c=1, d=2, e=4, f=2, g=4, h=2, i=7)
+    assert set(IdIndex(spark, path, "event_id", by="event_date").unknown()) <= {"2025-01-02", "2025-01-04"}

@@ -35,6 +35,7 @@ from tidemark.plans.scd_store import BucketedHistory, RunResult
 from tidemark.session import scratch_path
 from tidemark.sources import landing, published
 from tidemark.sources.registry import plan_pricing
+from tidemark.streaming.id_index import NULL_FOLDER, IdIndex
 
 SILVER = ["customers", "identity_map", "subscriptions", "events"]
 STATEFUL_SILVER = ["events", "subscriptions", "app_user_state"]
@@ -159,15 +160,31 @@ def _event_order():
             F.col("event_at").asc_nulls_last()]
 
 
+def _folder_name():
+    return F.coalesce(F.col("event_date").cast("string"), F.lit(NULL_FOLDER))
+
+
+def _dates(df: DataFrame) -> dict[str, int]:
+    """Rows per event date (one row per date reaches the driver)."""
+    return {r["d"]: r["n"] for r in df.groupBy(_folder_name().alias("d")).agg(F.count(F.lit(1)).alias("n")).collect()}
+
+
+def _index_dates(index: IdIndex, rows: DataFrame) -> None:
+    if dates := _dates(rows):
+        index.record(rows, list(dates), max(dates.values()))
+
+
 def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
                 rows: dict[str, int]) -> DataFrame:
     """Silver events, partitioned by event date and merged incrementally.
 
     First run: the whole bronze table, latest copy per event id. Later runs:
     the bronze rows not merged yet, one copy per id. The dates to rewrite are
-    those of the batch and those where an older copy of a batch id lies, so a
+    those of the batch and those where an older copy of a batch id may lie, so a
     copy with a corrected time leaves its old date; dates left without a row
-    are dropped. Rows go to the writers by date through a rebalance, which
+    are dropped. Which dates these are is said by bit fields per date
+    (``streaming.id_index``), so that only dates to rewrite are read; the ids of
+    a date without bit fields (a run died between its rows and them) are read. Rows go to the writers by date through a rebalance, which
     splits a day that holds a large share (and the rows without a date).
     """
     if bronze is None:
@@ -177,8 +194,10 @@ def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
         landed = _landed_runs(bronze)
         _write(dated(silver.events_latest(bronze)).hint("rebalance", "event_date"),
                path, "events_merged", rows, partition_by="event_date")
+        stored = spark.read.parquet(path)
+        _index_dates(IdIndex(spark, path, "event_id", by="event_date"), stored)
         _set_merged(spark, path, landed)
-        return spark.read.parquet(path)
+        return stored
     new, landed = _to_merge(spark, bronze, path)
     if new is None:
         rows["events_batch"] = rows["events_merged"] = 0
@@ -190,7 +209,12 @@ def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
         _set_merged(spark, path, landed)
         return spark.read.parquet(path)
     batch, current = spark.read.parquet(f"{work}/batch"), spark.read.parquet(path)
-    moved = current.join(batch.select("event_id"), "event_id", "left_semi").select("event_date")
+    index = IdIndex(spark, path, "event_id", by="event_date")
+    day = lambda c: F.when(F.col(c) != NULL_FOLDER, F.col(c)).cast("date").alias("event_date")
+    moved = spark.createDataFrame([(d,) for d in sorted({d for d, _ in index.named(batch)})], "d string").select(day("d"))
+    if unknown := index.unknown():
+        moved = moved.union(current.filter(_folder_name().isin(unknown)).join(batch.select("event_id"), "event_id", "left_semi")
+                            .select("event_date"))
     _write(moved.union(batch.select("event_date")).distinct(), f"{work}/dates", "events_dates", rows)
     dates = spark.read.parquet(f"{work}/dates")
     touched = current.join(dates.withColumnRenamed("event_date", "d"),
@@ -199,13 +223,15 @@ def _events_run(spark: SparkSession, bronze: DataFrame | None, path: str,
                                    ["event_id"], _event_order())
     _write(merged.hint("rebalance", "event_date"), f"{work}/merged", "events_merged", rows)
     merged = spark.read.parquet(f"{work}/merged")
+    index.forget([*_dates(dates)])
     (merged.hint("rebalance", "event_date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path))
     left = merged.select(F.col("event_date").alias("d")).distinct()
     for r in (dates.join(left, F.col("event_date").eqNullSafe(F.col("d")), "left_anti")
-              .select(F.coalesce(F.col("event_date").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("p"))
+              .select(_folder_name().alias("p"))
               .toLocalIterator()):      # dates without a row any more: a folder each
         landing.drop_table(spark, f"{path}/event_date={r['p']}")
+    _index_dates(index, merged)
     _set_merged(spark, path, landed)
     landing.drop_table(spark, work)
     return spark.read.parquet(path)

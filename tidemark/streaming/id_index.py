@@ -33,7 +33,8 @@ HASHES = 8
 IDS_PER_FILTER = 1 << 20
 FILTER_FOLDERS = 32   # more of them are gathered into one
 PART = "_bucket"
-FILTER = "run string, bucket int, n_bits long, bits binary"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+FILTER = "run string, bucket int, n_bits long, bits binary, place string"
 
 
 def id_hash(key: str) -> Column:
@@ -68,8 +69,8 @@ def may_hold(h: np.ndarray, n_bits: int, bits: bytes) -> bool:
 
 def _fields(keys: tuple, rows: pa.Table) -> pa.Table:
     n_bits, bits = bit_field(rows["h"].to_numpy().astype(np.uint64))
-    return pa.table({"run": rows["run"].slice(0, 1), "bucket": pa.array([keys[0].as_py()], pa.int32()),
-                     "n_bits": pa.array([n_bits], pa.int64()), "bits": pa.array([bits], pa.binary())})
+    return pa.table({"run": rows["run"].slice(0, 1), "bucket": rows["bucket"].slice(0, 1), "n_bits": pa.array([n_bits], pa.int64()),
+                     "bits": pa.array([bits], pa.binary()), "place": rows["place"].slice(0, 1)})
 
 
 def _named(keys: tuple, ids: pa.Table, fields: pa.Table) -> pa.Table:
@@ -79,10 +80,11 @@ def _named(keys: tuple, ids: pa.Table, fields: pa.Table) -> pa.Table:
 
 
 class IdIndex:
-    """The bit fields of one target. ``buckets`` is fixed by the first run."""
+    """The bit fields of one target, whose folders are named ``<by>=<run>``.
+    ``buckets`` is fixed by the first run."""
 
-    def __init__(self, spark: SparkSession, target: str, key: str, buckets: int = 16):
-        self.spark, self.target, self.key = spark, target.rstrip("/"), key
+    def __init__(self, spark: SparkSession, target: str, key: str, buckets: int = 16, by: str = "run"):
+        self.spark, self.target, self.key, self.by = spark, target.rstrip("/"), key, by
         self.root = f"{self.target}/_ids"
         self.version = published.current(spark, self.root)
         self.buckets = self.version.facts["buckets"] if self.version else buckets
@@ -90,32 +92,41 @@ class IdIndex:
     def bucket(self) -> Column:
         return F.pmod(id_hash(self.key), F.lit(self.buckets)).cast("int")
 
-    def _runs(self) -> list[str]:
-        """Names of the run folders there are."""
-        if not path_exists(self.spark, self.target):
-            return []
-        fs, p = _fs(self.spark, self.target)
-        return [n[4:] for n in (st.getPath().getName() for st in fs.listStatus(p)) if n.startswith("run=")]
+    def _places(self) -> dict[str, str]:
+        return dict(self.version.places) if self.version else {}
 
     def fields(self, without: str | None = None) -> DataFrame | None:
-        """All bit fields, those of the run ``without`` left out."""
-        places = {p for r, p in (self.version.places if self.version else {}).items() if r != without}
-        if not places:
+        """The valid bit fields (those of the folder that the pointer names for
+        a run), those of the run ``without`` left out."""
+        valid = {r: p for r, p in self._places().items() if r != without}
+        if not valid:
             return None
-        rows = self.spark.read.schema(FILTER).parquet(*[f"{self.root}/{p}" for p in sorted(places)])
-        return rows.filter(F.col("run") != without) if without is not None else rows
+        rows = self.spark.read.schema(FILTER).parquet(*[f"{self.root}/{p}" for p in sorted(set(valid.values()))])
+        return rows.join(self.spark.createDataFrame(list(valid.items()), "run string, place string"), ["run", "place"], "left_semi")
+
+    def unknown(self) -> list[str]:
+        """Runs with a folder and without bit fields."""
+        if not path_exists(self.spark, self.target):
+            return []
+        fs, p = _fs(self.spark, self.target)
+        names = [st.getPath().getName() for st in fs.listStatus(p)]
+        return sorted({n[len(self.by) + 1:] for n in names if n.startswith(f"{self.by}=")} - set(self._places()))
+
+    def named(self, batch: DataFrame, without: str | None = None) -> list[tuple[str, int]]:
+        """Run and bucket of what may hold an id of ``batch``: at most one for
+        each folder there is."""
+        fields = self.fields(without)
+        if fields is None:
+            return []
+        ids = batch.select(self.bucket().alias("bucket"), id_hash(self.key).alias("h"))
+        found = ids.groupBy("bucket").cogroup(fields.groupBy("bucket")).applyInArrow(_named, "run string, bucket int")
+        return sorted((r["run"], r["bucket"]) for r in found.collect())
 
     def folders(self, batch: DataFrame, run: str) -> list[str]:
         """Folders of other runs that may hold an id of ``batch``: one name for
         each that does, and a run's whole folder where it has no bit fields."""
-        known = set(self.version.places) if self.version else set()
-        found = [f"{self.target}/run={r}" for r in sorted(set(self._runs()) - known - {run})]
-        fields = self.fields(without=run)
-        if fields is not None:
-            ids = batch.select(self.bucket().alias("bucket"), id_hash(self.key).alias("h"))
-            named = ids.groupBy("bucket").cogroup(fields.groupBy("bucket")).applyInArrow(_named, "run string, bucket int").collect()
-            found += sorted(f"{self.target}/run={r['run']}/{PART}={r['bucket']}" for r in named)
-        return found
+        return ([f"{self.target}/{self.by}={r}" for r in self.unknown() if r != run]
+                + [f"{self.target}/{self.by}={r}/{PART}={b}" for r, b in self.named(batch, run)])
 
     def missing(self, batch: DataFrame, run: str) -> DataFrame:
         """The rows of ``batch`` whose id no other run's folder holds."""
@@ -129,9 +140,8 @@ class IdIndex:
     def add(self, rows: DataFrame, run: str) -> int:
         """Write a run's rows and then their bit fields; the number of rows.
         A run that is written again loses its old bit fields first."""
-        if self.version and run in self.version.places:
-            self._publish({r: p for r, p in self.version.places.items() if r != run})
-        path = f"{self.target}/run={run}"
+        self.forget([run])
+        path = f"{self.target}/{self.by}={run}"
         seen = Observation()
         (rows.withColumn(PART, self.bucket()).hint("rebalance", PART).observe(seen, F.count(F.lit(1)).alias("n"))
          .write.mode("overwrite").partitionBy(PART).parquet(path))
@@ -139,20 +149,32 @@ class IdIndex:
         if not n:
             drop_table(self.spark, path)    # a folder without rows has no schema to read
             return 0
-        parts = 1 + n // (self.buckets * IDS_PER_FILTER)
-        ids = self.spark.read.parquet(path).select(F.col(PART).alias("bucket"), id_hash(self.key).alias("h")).select(
-            "bucket", "h", F.pmod(F.shiftrightunsigned("h", 40), F.lit(parts)).alias("part"), F.lit(run).alias("run"))
+        self.record(self.spark.read.parquet(path).withColumn(self.by, F.lit(run)), [run], n)
+        return n
+
+    def forget(self, runs: list[str]) -> None:
+        """The runs' folders are about to change: read them in full until ``record``."""
+        places = self._places()
+        if set(runs) & set(places):
+            self._publish({r: p for r, p in places.items() if r not in runs})
+
+    def record(self, rows: DataFrame, runs: list[str], largest: int) -> None:
+        """Bit fields of what the folders of ``runs`` now hold, ``rows`` (with
+        the column ``by``); ``largest``: rows of the largest of them."""
+        parts = 1 + largest // (self.buckets * IDS_PER_FILTER)
         place = f"fields/{uuid.uuid4().hex[:12]}"
-        ids.groupBy("bucket", "part").applyInArrow(_fields, FILTER).write.parquet(f"{self.root}/{place}")
-        self._publish((self.version.places if self.version else {}) | {run: place})
+        ids = rows.select(F.coalesce(F.col(self.by).cast("string"), F.lit(NULL_FOLDER)).alias("run"), self.bucket().alias("bucket"),
+                          id_hash(self.key).alias("h"), F.lit(place).alias("place"))
+        ids = ids.withColumn("part", F.pmod(F.shiftrightunsigned("h", 40), F.lit(parts)))
+        ids.groupBy("run", "bucket", "part").applyInArrow(_fields, FILTER).write.parquet(f"{self.root}/{place}")
+        self._publish(self._places() | dict.fromkeys(runs, place))
         if len(set(self.version.places.values())) > FILTER_FOLDERS:
             self.gather()
-        return n
 
     def gather(self) -> None:
-        """All bit fields in one folder."""
+        """All valid bit fields in one folder."""
         place = f"fields/{uuid.uuid4().hex[:12]}"
-        self.fields().repartition("bucket").write.parquet(f"{self.root}/{place}")
+        self.fields().withColumn("place", F.lit(place)).repartition("bucket").write.parquet(f"{self.root}/{place}")
         self._publish(dict.fromkeys(self.version.places, place))
 
     def _publish(self, places: dict[str, str]) -> None:
