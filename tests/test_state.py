@@ -276,6 +276,19 @@ def test_timeline_with_a_hot_device(spark, partitions):
     assert got == exp
 
 
+def test_timeline_frames_only_run_on(spark):
+    """A frame up to a group's end costs the square of the group."""
+    events = spark.range(20_000).select(F.col("id").alias("event_id"), F.lit("kiosk").alias("anonymous_id"),
+                                        F.when(F.col("id") % 9_000 == 8_999, F.col("id")).alias("user_id"),
+                                        (F.lit(D) + F.make_dt_interval(secs=F.col("id"))).alias("event_at"))
+    got = timeline.event_timeline(events, 1)
+    assert "unboundedfollowing" not in got._jdf.queryExecution().executedPlan().toString().lower()
+    assert {(r["resolved_user_id"], r["resolution"]): r["count"] for r in got.groupBy("resolved_user_id", "resolution").count().collect()} == {
+        (8_999, "next_login"): 8_999, (8_999, "user"): 1, (17_999, "next_login"): 8_999, (17_999, "user"): 1, (17_999, "last_login"): 2_000}
+    twice = spark.createDataFrame([("e", "d", "u2", D), ("e", "d", None, D), ("e", "d", "u1", D)], "event_id string, anonymous_id string, user_id string, event_at timestamp")
+    assert sorted(r["resolved_user_id"] for r in timeline.event_timeline(twice).collect()) == ["u1", "u1", "u2"]
+
+
 # ---------------------------------------------------------------- reconciliation
 def test_reconcile_looks_only_where_sides_differ(spark):
     source = spark.range(100_000).select("id", (F.col("id") % 7).cast("string").alias("v"), F.lit(None).cast("string").alias("w"))
