@@ -304,6 +304,18 @@ def test_reconcile_looks_only_where_sides_differ(spark):
     assert reconcile.reconcile(source.limit(0), source.limit(0), "id", ["v"]).count() == 0
 
 
+def test_reconcile_with_differences_all_over(spark):
+    source = spark.range(3_000_000).select((F.col("id") - 1_000_000).alias("id"), F.lit("x").alias("v"))
+    rest = F.pmod(F.col("id"), F.lit(1000))
+    landed = source.filter(rest != 7).withColumn("v", F.when(rest == 500, "y").otherwise(F.col("v")))
+    rounds = reconcile.Rounds()
+    got = reconcile.reconcile(source, landed, "id", ["v"], ranges=32, leaf=100, most=8000, rounds=rounds)
+    assert {(r["status"], r["rest"]): r["count"] for r in got.groupBy("status", rest.alias("rest")).count().collect()} == {
+        ("missing", 7): 3000, ("changed", 500): 3000}
+    assert rounds.log[-1][1] == 6000 and rounds.log[-1][2] < 600_000
+    assert reconcile._spans([9, 1, 2, 5, 30], 2) == [(1, 10), (30, 31)] and reconcile._spans([9, 1, 2, 5, 30], 9) == [(1, 3), (5, 6), (9, 10), (30, 31)]
+
+
 def test_sketches_of_runs_merge(spark):
     people = spark.range(60_000).select(F.concat(F.lit("p"), F.col("id")).alias("customer_key"), F.explode(F.array(
         F.lit("crm"), F.when(F.col("id") % 2 == 0, "app"), F.when(F.col("id") % 5 == 0, "stripe"))).alias("source_system"),

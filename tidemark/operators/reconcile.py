@@ -5,18 +5,23 @@ watermark, or were deleted. Comparing row by row would move both sides whole.
 Here each side computes, next to its data, one digest per range of keys: the
 count of its rows and an order-free sum of their hashes. Only ranges whose
 digests differ are looked into, cut finer round by round, and only the last
-ranges' rows are compared one by one. The range conditions are plain filters
-on the key, so a database gets them in its WHERE clause and a Parquet scan
-skips row groups by them.
+ranges' rows are compared one by one. A few plain filters on the key cover the
+open ranges, so a database gets them in its WHERE clause and a Parquet scan
+skips row groups by them; however many ranges differ, a join with their
+numbers leaves only their rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: plain range conditions of one filter
+SPANS = 32
+
 
 @dataclass
 class Rounds:
@@ -30,23 +35,31 @@ def _hash(cols: list[str]) -> Column:
     return F.xxhash64(*[x for c in cols for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`").cast("string"))])
 
 
+def _range_of(key: str, first: int, width: int) -> Column:
+    return F.call_function("div", F.col(key) - F.lit(first), F.lit(width).cast("long"))
+
+
 def _digests(df: DataFrame, key: str, cols: list[str], first: int, width: int) -> DataFrame:
-    return df.groupBy(F.floor((F.col(key) - F.lit(first)) / F.lit(width)).cast("long").alias("range")).agg(
+    return df.groupBy(_range_of(key, first, width).alias("range")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(_hash(cols).cast("decimal(38,0)")).alias("digest"))
 
 
-def _within(df: DataFrame, key: str, ranges: list[tuple[int, int]]) -> DataFrame:
-    """Rows of the ranges [a, b): neighbours joined into one condition."""
-    merged: list[list[int]] = []
-    for a, b in sorted(ranges):
-        if merged and a <= merged[-1][1]:
-            merged[-1][1] = max(merged[-1][1], b)
-        else:
-            merged.append([a, b])
-    where = F.lit(False)
-    for a, b in merged:
-        where = where | ((F.col(key) >= F.lit(a)) & (F.col(key) < F.lit(b)))
-    return df.filter(where)
+def _spans(numbers: list[int], most: int) -> list[tuple[int, int]]:
+    """At most ``most`` spans [a, b) that cover the numbers: parted where the gaps are widest."""
+    numbers = sorted(numbers)
+    gaps = sorted((n for n in range(1, len(numbers)) if numbers[n] - numbers[n - 1] > 1), key=lambda n: numbers[n - 1] - numbers[n])
+    starts = [0, *sorted(gaps[:most - 1]), len(numbers)]
+    return [(numbers[a], numbers[b - 1] + 1) for a, b in zip(starts, starts[1:])]
+
+
+def _within(df: DataFrame, key: str, first: int, width: int, numbers: list[int]) -> DataFrame:
+    """Rows of the numbered ranges of ``width`` keys."""
+    spans = _spans(numbers, SPANS)
+    df = df.filter(reduce(Column.__or__, [(F.col(key) >= F.lit(first + a * width)) & (F.col(key) < F.lit(first + b * width)) for a, b in spans]))
+    if sum(b - a for a, b in spans) == len(numbers):
+        return df
+    open_ = df.sparkSession.createDataFrame([(n,) for n in numbers], "_open long")
+    return df.join(F.broadcast(open_), _range_of(key, first, width) == F.col("_open"), "left_semi")
 
 
 def reconcile(source: DataFrame, landed: DataFrame, key: str, cols: list[str], ranges: int = 256, leaf: int = 4096,
@@ -69,23 +82,22 @@ def reconcile(source: DataFrame, landed: DataFrame, key: str, cols: list[str], r
     if not ends:
         return compared(source, landed)
     first, last = min(e["a"] for e in ends), max(e["b"] for e in ends) + 1
-    open_, width = [(first, last)], last - first
+    open_, held, width = [0], last - first, last - first    # numbers of the ranges of ``held`` keys
     while True:
         width = max(1, -(-width // ranges))
-        mine, theirs = (_digests(_within(d, key, open_), key, cols, first, width) for d in (source, landed))
+        mine, theirs = (_digests(_within(d, key, first, held, open_), key, cols, first, width) for d in (source, landed))
         theirs = theirs.select("range", F.col("n").alias("n2"), F.col("digest").alias("digest2"))
         differ = [r["range"] for r in mine.join(theirs, "range", "full_outer").filter(
             ~(F.col("n").eqNullSafe(F.col("n2")) & F.col("digest").eqNullSafe(F.col("digest2")))).select("range").limit(most * ranges + 1).collect()]
-        looked = sum(-(-(b - a) // width) for a, b in open_)
-        rounds.log.append((looked, len(differ), len(differ) * width))
+        rounds.log.append((len(open_) * -(-held // width), len(differ), len(differ) * width))
         if not differ:
             return compared(source.limit(0), landed.limit(0))
         if len(differ) > most * ranges:      # nearly everything differs: no use in looking closer
             break
-        open_ = [(first + r * width, first + (r + 1) * width) for r in differ]
+        open_, held = differ, width
         if width <= leaf or len(differ) > most:
             break
-    return compared(_within(source, key, open_), _within(landed, key, open_))
+    return compared(_within(source, key, first, held, open_), _within(landed, key, first, held, open_))
 
 
 def _compared(source: DataFrame, landed: DataFrame, key: str, cols: list[str]) -> DataFrame:
