@@ -221,6 +221,24 @@ def test_states_at_many_instants(spark):
     assert scd2.states_at(history, instants.filter("n = 99"), "at").count() == 0
 
 
+def test_versions_stay_where_few_instants_look_them_up(spark, monkeypatch):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    history = spark.range(3000).select(F.col("id").alias("key"), *[(F.lit(D) + F.make_dt_interval(days=(F.col("id") % 300 + n).cast("int"))).alias(c)
+                                                                   for c, n in (("valid_from", 0), ("valid_to", 40))])
+    instants = spark.createDataFrame([(day(t),) for t in range(0, 400, 10)], "at timestamp")
+    spark.conf.set(key, "-1")
+    try:
+        few = scd2.states_at(history, instants, "at")
+        shuffled = lambda df: "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+        assert not shuffled(few) and few.count() == sum(10 * sum(f <= t < f + 40 for f in range(300)) for t in range(0, 400, 10))
+        monkeypatch.setattr(scd2, "FEW", 39)
+        many = scd2.states_at(history, instants, "at")
+        assert shuffled(many) and many.exceptAll(few).isEmpty() and many.count() == few.count()
+    finally:
+        spark.conf.set(key, before)
+
+
 # ---------------------------------------------------------------- identity
 def brute_components(links):
     at = {}

@@ -28,6 +28,8 @@ from tidemark.operators.dedupe import latest_per_key
 from tidemark.operators.sequence import next_within_key
 
 SCD_COLUMNS = ["scd_id", "valid_from", "valid_to"]
+#: instants that ``states_at`` broadcasts
+FEW = 100_000
 
 
 def version_id(key: str, updated_at: str) -> Column:
@@ -148,12 +150,14 @@ def states_at(history: DataFrame, instants: DataFrame, at: str, by: Sequence[str
 
     Instants or versions without a start match nothing; equal instants are
     answered each; columns of ``history`` that ``instants`` has too (beside
-    ``by``) are left out.
+    ``by``) are left out. ``history`` is read once, ``instants`` twice. Up to
+    ``FEW`` instants go to the versions as a broadcast, so that the copies of
+    the versions stay where they are; more are shuffled with them.
     """
     micros = lambda c: F.unix_micros(c.cast("timestamp"))
     out = [c for c in history.columns if c not in instants.columns]
     probes = instants.withColumn("_t", micros(F.col(at))).filter("_t IS NOT NULL")
-    span = probes.agg(F.min("_t").alias("first"), F.max("_t").alias("last")).first()
+    span = probes.agg(F.min("_t").alias("first"), F.max("_t").alias("last"), F.count(F.lit(1)).alias("n")).first()
     first, last = span["first"] or 0, span["last"] or 0
     step, top = days * 86_400_000_000, 0
     while (last - first) // (step * spread ** top) >= spread:
@@ -170,5 +174,7 @@ def states_at(history: DataFrame, instants: DataFrame, at: str, by: Sequence[str
                   bin_of(F.col("_b"), F.col("_level")), bin_of(F.col("_e"), F.col("_level"))))))
     looked = (probes.withColumn("_level", F.explode(F.sequence(F.lit(0), F.lit(top))))
               .withColumn("_bin", bin_of(F.col("_t"), F.col("_level"))))
+    if span["n"] <= FEW:
+        looked = F.broadcast(looked)
     met = looked.join(placed, [*by, "_level", "_bin"]).filter((F.col("_b") <= F.col("_t")) & (F.col("_t") <= F.col("_e")))
     return met.select(*instants.columns, *out)

@@ -45,9 +45,11 @@ JOIN scd_subscriptions s ON s.valid_from <= a.as_of AND (s.valid_to IS NULL OR a
 """))
 def q_states_at(spark, sf_dir):
     """The state of every subscription at every month's end."""
-    history = lake(spark, sf_dir).scd_subscriptions
+    path = scratch_path(spark, "states-history")
+    lake(spark, sf_dir).scd_subscriptions.select("subscription_id", "account_id", "plan", "status", "valid_from", "valid_to").write.parquet(path)
+    history = spark.read.parquet(path)
     ends = history.select((F.date_trunc("month", "valid_from") + F.expr("INTERVAL 1 MONTH")).alias("as_of")).distinct()
-    return scd2.states_at(history.select("subscription_id", "account_id", "plan", "status", "valid_from", "valid_to"), ends, "as_of").drop("valid_to")
+    return scd2.states_at(history, ends, "as_of").drop("valid_to")
 
 
 def report_all(read) -> DataFrame:
