@@ -26,7 +26,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import customer_key_of, months_between_whole, ratio, clamp_non_negative, ts_literal
@@ -46,6 +46,10 @@ BUCKETED = {
     "fact_subscriptions": ["_place"],
     "ltv": ["customer_key"],
 }
+#: keys and ids are hex digests: half their size in a codec that counts symbols
+CODEC = {"compression": "zstd"}
+#: parts of a bucket that ``_upsert`` gives to tasks of their own
+SLICES = 8
 #: small tables, written whole by each run
 TOTALS = ["mrr_counts", "funnel_counts", "recon_counts", "orphan_months"]
 
@@ -85,19 +89,35 @@ class GoldStore:
             return like.limit(0)
         return self.spark.read.schema(like.schema).parquet(*[f"{self.root}/{p}" for p in places])
 
-    def _keep(self, df: DataFrame, folder: str, model: str, numbers: list[int]) -> tuple[DataFrame, dict[str, str]]:
+    def _keep(self, df: DataFrame, folder: str, model: str, numbers: list[int], joined: bool = False) -> tuple[DataFrame, dict[str, str]]:
         """Write the touched buckets of a model; places of all of them (a
-        bucket left without rows has no folder)."""
+        bucket left without rows has no folder). A bucket goes to as many
+        tasks as its size asks for; ``joined`` rows are written by the tasks
+        that joined them (a file each per bucket), not shuffled once more."""
         path = f"{self.root}/{folder}/{model}"
-        (df.withColumn("_b", self._bucket(model)).repartition("_b").write.partitionBy("_b").parquet(path))
+        placed = df.withColumn("_b", self._bucket(model))
+        (placed if joined else placed.hint("rebalance", "_b")).write.options(**CODEC).partitionBy("_b").parquet(path)
         return self._written(path, df), {f"{model}/{b}": f"{folder}/{model}/_b={b}" for b in numbers}
 
+    def _upsert(self, held: DataFrame, moved: DataFrame, key: str, folder: str, model: str, numbers: list[int]) -> tuple[DataFrame, dict[str, str]]:
+        """As ``_keep``, of the ``held`` rows and, in place of those with the
+        key of a ``moved`` one (which has the same bucket columns), the
+        ``moved``: each row is shuffled once, to a slice of its bucket, and
+        rows of one account stay together, which packs better."""
+        path, place = f"{self.root}/{folder}/{model}", BUCKETED[model]
+        same = Window.partitionBy("_b", "_slice", *place, key)
+        both = held.withColumn("_moved", F.lit(0)).unionByName(moved.withColumn("_moved", F.lit(1)))
+        (both.withColumn("_b", self._bucket(model)).withColumn("_slice", F.pmod(F.hash(*place), F.lit(SLICES))).repartition("_b", "_slice")
+         .withColumn("_last", F.max("_moved").over(same)).filter(F.col(key).isNull() | (F.col("_moved") == F.col("_last")))
+         .select(*held.columns, "_b").write.options(**CODEC).partitionBy("_b").parquet(path))
+        return self._written(path, held), {f"{model}/{b}": f"{folder}/{model}/_b={b}" for b in numbers}
+
     def _written(self, path: str, like: DataFrame) -> DataFrame:
         return self.spark.read.schema(like.schema).option("basePath", path).option("recursiveFileLookup", True).parquet(path)
 
     def _store(self, df: DataFrame, folder: str, name: str) -> DataFrame:
         path = f"{self.root}/{folder}/{name}"
-        df.write.parquet(path)
+        df.write.options(**CODEC).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     # ---------------------------------------------------------------- reading
@@ -198,7 +218,11 @@ class GoldStore:
                               folder, "in_records")
         empty_versions = spark.createDataFrame([], "subscription_id string, account_id string, plan string, status string, sub_started_at timestamp, "
                                                    "sub_updated_at timestamp, scd_id string, valid_from timestamp, valid_to timestamp")
-        moved = self._store(_placed((versions if versions is not None else empty_versions).select(empty_versions.columns)), folder, "in_versions")
+        moved = _placed((versions if versions is not None else empty_versions).select(empty_versions.columns))
+        if before is None:      # all versions there are: stored as the model at once
+            moved, moved_places = self._keep(moved, folder, "versions", list(range(self.buckets)))
+        else:
+            moved = self._store(moved, folder, "in_versions")
         changed = changed.result()
         if changed.isEmpty() and moved.isEmpty():
             return None
@@ -219,11 +243,18 @@ class GoldStore:
                                     folder, "records", p_numbers)
         places |= p
         # dimension
-        touched_records = new_records.join(persons, "customer_key", "left_semi").select(*CUSTOMER_COLUMNS)
-        dim_new = self._store(gold.dim_customer(None, touched_records), folder, "dim_new")
+        # what a first run stores is touched, all of it
+        touched = lambda df, keys, on: (df.filter(F.col(on).isNotNull()) if before is None else df.join(keys, on, "left_semi"))
+        dim_plan = gold.dim_customer(None, touched(new_records, persons, "customer_key").select(*CUSTOMER_COLUMNS))
+        if before is None:
+            dim_new, p = self._keep(dim_plan, folder, "dim_customer", p_numbers)
+            places |= p
+        else:
+            dim_new = self._store(dim_plan, folder, "dim_new")
         held_dim = self._held(before, "dim_customer", p_numbers, dim_new)
         dim_old = held_dim.join(persons, "customer_key", "left_semi")
-        kept.append(beside(self._keep, held_dim.join(persons, "customer_key", "left_anti").unionByName(dim_new), folder, "dim_customer", p_numbers))
+        if before is not None:
+            kept.append(beside(self._keep, held_dim.join(persons, "customer_key", "left_anti").unionByName(dim_new), folder, "dim_customer", p_numbers))
         # accounts
         of_dim = lambda d: d.filter("account_id IS NOT NULL").select("account_id")
         accounts = self._store(of_dim(dim_old).union(of_dim(dim_new)).union(of_dim(moved)).distinct(), folder, "accounts")
@@ -237,15 +268,29 @@ class GoldStore:
         v_numbers = self._numbers("versions", spots)
         held_versions = self._held(before, "versions", v_numbers, moved)
         # a version keeps its account, so its earlier form lies in a touched bucket
-        new_versions, p = self._keep(held_versions.join(moved.select("scd_id"), "scd_id", "left_anti").unionByName(moved), folder, "versions", v_numbers)
+        new_versions, p = (moved, moved_places) if before is None else self._upsert(
+            held_versions, moved, "scd_id", folder, "versions", v_numbers)
         places |= p
         bridge, p = bridged.result()
         places |= p
-        held_fact = self._held(before, "fact_subscriptions", v_numbers, _placed(gold.fact_subscriptions(new_versions, bridge)))
-        fact_old = beside(self._store, held_fact.join(spots, "_place", "left_semi"), folder, "fact_old")
-        fact_new = self._store(_placed(gold.fact_subscriptions(
-            new_versions.join(spots, "_place", "left_semi"), bridge)), folder, "fact_new")
-        kept.append(beside(self._keep, held_fact.join(spots, "_place", "left_anti").unionByName(fact_new), folder, "fact_subscriptions", v_numbers))
+        fact_of = lambda v: _placed(gold.fact_subscriptions(v, bridge))
+        held_fact = self._held(before, "fact_subscriptions", v_numbers, fact_of(new_versions))
+        # sums are over current, active versions: of the others nothing is kept apart
+        counted = lambda fact: gold.current_active(fact).select(
+            "_place", "customer_key", "plan", "status", "sub_started_at", "is_current")
+        fact_old = beside(self._store, counted(held_fact).join(spots, "_place", "left_semi"), folder, "fact_old")
+        if before is None:
+            fact = fact_of(touched(new_versions, spots, "_place"))
+        else:                   # by account where there is one: that is also the key of the bridge
+            has = F.col("account_id").isNotNull()
+            again = new_versions.filter(has).join(accounts, "account_id", "left_semi").select(new_versions.columns).unionByName(
+                new_versions.filter(~has).join(spots, "_place", "left_semi").select(new_versions.columns))
+            # where few places are left alone, they are looked for without a shuffle of the rows
+            alone = self._store(held_fact.select("_place").distinct().join(spots, "_place", "left_anti"), folder, "alone")
+            fact = held_fact.join(alone, "_place", "left_semi").select(held_fact.columns).unionByName(fact_of(again))
+        fact, p = self._keep(fact, folder, "fact_subscriptions", v_numbers, joined=True)
+        places |= p
+        fact_new = self._store(touched(counted(fact), spots, "_place"), folder, "fact_new")
         # persons whose sums can differ: the touched ones, and all whose fact rows were written anew
         affected = self._store(reduce(DataFrame.union, [persons, bridge.join(accounts, "account_id", "left_semi").select("customer_key"),
                                                         held_bridge.join(accounts, "account_id", "left_semi").select("customer_key")])
@@ -268,7 +313,7 @@ class GoldStore:
             job.result()
             places[name] = f"{folder}/{name}"
         return {"record_keys": like_keys.schema, "records": like_records.schema, "dim_customer": dim_new.schema, "bridge": like_bridge.schema,
-                "versions": moved.schema, "fact_subscriptions": fact_new.schema, "ltv": ltv_new.schema}
+                "versions": moved.schema, "fact_subscriptions": fact.schema, "ltv": ltv_new.schema}
 
     def _paying(self, fact: DataFrame) -> DataFrame:
         return gold.current_active(fact).join(self.pricing, "plan").withColumn(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators import components, gold, reconcile, scd2, sketch, timeline
-from tidemark.plans.gold_store import GoldStore
+from tidemark.plans.gold_store import CODEC, GoldStore
 from tidemark.plans.oracle import build
 from tidemark.plans.queries import fresh_lake, lake, register
 from tidemark.plans.scd_store import BucketedHistory
@@ -103,18 +103,23 @@ def q_gold_incremental(spark, sf_dir):
         "source_id", F.concat(F.lit("ghost_"), "source_id"))
     earlier = final.filter(~F.coalesce(late, F.lit(False))).withColumn("email_hash", F.when(
         typo, F.upper(F.sha2(F.concat(F.lit("typo"), F.col("source_id")).cast("binary"), 256))).otherwise(F.col("email_hash"))).unionByName(ghosts)
-    log = lh.subscription_log
+    path = scratch_path(spark, "gold-history")
+    lh.subscription_log.write.options(**CODEC).parquet(f"{path}/log")
+    log = spark.read.parquet(f"{path}/log")
     rebuilt = lambda rows: scd2.history_from_log(rows, "subscription_id", "sub_updated_at", batch="_ingested_at",
                                                  tie_break=list(TIES))
-    path = scratch_path(spark, "gold-history")
-    rebuilt(log.filter(F.col("_ingested_at") <= F.lit("1998-01-01 00:00:00").cast("timestamp"))).write.parquet(f"{path}/before")
-    rebuilt(log).write.parquet(f"{path}/after")
-    before, after = spark.read.parquet(f"{path}/before"), spark.read.parquet(f"{path}/after")
+    rebuilt(log.filter(F.col("_ingested_at") <= F.lit("1998-01-01 00:00:00").cast("timestamp"))).write.options(**CODEC).parquet(f"{path}/before")
+    before, after = spark.read.parquet(f"{path}/before"), rebuilt(log)
     store = GoldStore(spark, scratch_path(spark, "gold-store"), lh.pricing, lh.as_of, buckets=16)
     store.apply(earlier, before, "before")
     put_right = final.filter(F.coalesce(typo | late, F.lit(False))).withColumn("_deleted", F.lit(False)).unionByName(
         ghosts.withColumn("_deleted", F.lit(True)))
-    store.apply(put_right, after.exceptAll(before), "after")
+    # versions of later runs start after those before; of these only the open ones can end
+    was = before.filter("valid_to IS NULL").select("subscription_id", F.col("valid_from").alias("was_from"))
+    moved = after.join(was, "subscription_id", "left").filter(
+        F.col("was_from").isNull() | (F.col("valid_from") > F.col("was_from")) |
+        ((F.col("valid_from") == F.col("was_from")) & F.col("valid_to").isNotNull())).drop("was_from")
+    store.apply(put_right, moved, "after")
     return report_all(store.read)
 
 
