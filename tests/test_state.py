@@ -192,6 +192,27 @@ def test_gold_is_published_after_its_gate(spark, monkeypatch):
     assert {n: all_rows(store.read(n)) for n in MODELS} == before
 
 
+def test_gold_keeps_apart_only_what_its_sums_need(spark, monkeypatch):
+    store = GoldStore(spark, scratch_path(spark, "gold"), plan_pricing(spark), "2026-03-01 00:00:00", buckets=2)
+    stored, store_ = {}, GoldStore._store
+    def note(self, df, folder, name):
+        kept = store_(self, df, folder, name)
+        stored[name] = kept.count()
+        return kept
+    monkeypatch.setattr(GoldStore, "_store", note)
+    people = [person("app", "1", "m1", "a1"), person("app", "2", "m2", "a2"), person("crm", "x", "m1"), person("crm", "y", None)]
+    old = [("s1", "a1", "free", "active", 1, 5), ("s1", "a1", "pro", "active", 5, None), ("s2", "a2", "pro", "canceled", 2, None),
+           ("s3", None, "basic", "active", 3, None)]
+    store.apply(customer_frame(spark, people), history_frame(spark, old), "one")
+    assert not {"in_versions", "dim_new"} & set(stored) and stored["fact_old"] == 0 and stored["fact_new"] == 2
+    more = [("s1", "a1", "pro", "active", 5, 9), ("s1", "a1", "basic", "active", 9, None)]
+    store.apply(None, history_frame(spark, more), "two")
+    assert stored["in_versions"] == 2 and stored["alone"] <= 2 and stored["fact_old"] == 1 and stored["fact_new"] == 1
+    exp = full_build(spark, people[:3], [old[0], more[0], more[1], *old[2:]], store.as_of)
+    for name in MODELS:
+        assert all_rows(store.read(name), *sorted(exp[name].columns)) == all_rows(exp[name], *sorted(exp[name].columns)), name
+
+
 # ---------------------------------------------------------------- many instants
 def test_states_at_many_instants(spark):
     rnd = random.Random(3)
